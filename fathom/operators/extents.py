@@ -118,7 +118,9 @@ def _first_text(attrs: Column, *names: str) -> Column:
     return F.coalesce(*[F.nullif(attribute(attrs, n), F.lit("")) for n in names])
 
 
-def dim_profile(headers: DataFrame, coords: DataFrame) -> DataFrame:
+def dim_profile(
+    headers: DataFrame, coords: DataFrame, order: Sequence[str] = ("idx",)
+) -> DataFrame:
     """Per dimension of a file: type, axis, ends, step, description and unit."""
     axes = pick_axes(headers).drop("error")
     v = F.col("variable")
@@ -143,7 +145,7 @@ def dim_profile(headers: DataFrame, coords: DataFrame) -> DataFrame:
     return (
         dims.join(axes, "hash")
         .join(described, ["hash", "var"], "left")
-        .join(dim_steps(coords), ["hash", "var"], "left")
+        .join(dim_steps(coords, order=order), ["hash", "var"], "left")
         .select(
             "hash",
             "var",
