@@ -60,29 +60,37 @@ def _json_kind(value: Column) -> Column:
 def payload_paths(payloads: DataFrame, column: str = "metadata") -> DataFrame:
     """Every path of the payloads down to attributes, with value type and row count.
 
-    Object keys are exploded level by level; array elements are not paths.
+    Payloads are parsed once and object keys exploded level by level (section, variable,
+    attribute group, attribute); array elements are not paths. A node above the last level is
+    repeated for everything below it and counted where all deeper positions are the first.
     """
     spark = payloads.sparkSession
-    level = payloads.select(
-        F.lit("").alias("path"), F.parse_json(column).alias("value")
-    )
-    found = []
-    for _ in range(4):  # section, variable, attribute group, attribute
-        objects = level.filter(_json_kind(F.col("value")) == "object")
-        parts = objects.lateralJoin(
-            spark.tvf.variant_explode(F.col("value").outer()).select(
-                F.col("key").alias("part"), F.col("value").alias("inner")
-            )
+    levels = 4
+    rows = payloads.select(F.parse_json(column).alias("value_0"))
+    for i in range(levels):
+        value = F.col(f"value_{i}")
+        below = spark.tvf.variant_explode_outer(
+            F.when(_json_kind(value) == "object", value).outer()
+        ).select(
+            F.col("pos").alias(f"pos_{i + 1}"),
+            F.col("key").alias(f"key_{i + 1}"),
+            F.col("value").alias(f"value_{i + 1}"),
         )
-        step = F.when(F.col("path") == "", F.col("part")).otherwise(
-            F.concat(F.col("path"), F.lit("."), F.col("part"))
-        )
-        level = parts.filter(F.col("part").isNotNull()).select(
-            step.alias("path"), F.col("inner").alias("value")
+        rows = rows.lateralJoin(below)
+    nodes = []
+    for i in range(1, levels + 1):
+        path = F.concat_ws(".", *[F.col(f"key_{j}") for j in range(1, i + 1)])
+        first = F.lit(True)
+        for j in range(i + 1, levels + 1):
+            first = first & (F.coalesce(f"pos_{j}", F.lit(0)) == 0)
+        nodes.append(
+            F.when(
+                F.col(f"key_{i}").isNotNull() & first,
+                F.struct(path.alias("path"), _json_kind(F.col(f"value_{i}")).alias("kind")),
+            )
         )
-        found.append(level.select("path", _json_kind(F.col("value")).alias("kind")))
-    every = reduce(DataFrame.unionAll, found)
-    return every.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n_rows"))
+    found = rows.select(F.inline(F.filter(F.array(*nodes), lambda n: n.isNotNull())))
+    return found.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def similar_pairs(names: DataFrame, cutoff: int = ALIKE, column: str = "attribute") -> DataFrame:

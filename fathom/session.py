@@ -49,3 +49,12 @@ def materialize(df: DataFrame) -> DataFrame:
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores when its input has fewer splits than cores; else unchanged.
+
+    For steps that cost much per row. Inputs of many files are never shuffled by this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -52,6 +52,8 @@ _HEADER_ATTRS = _list(
     _when("k % 6 = 0",
           _attr("'instrument_nominal_depth'", "CASE WHEN k % 12 = 0 THEN '1e2' ELSE 'deep' END")),
     _when("k % 8 = 0", _attr("'Keywords'", "'sea, water'")),
+    _when("k % 2 = 0", _attr("'geospatial_vertical_max'",
+                             "CASE WHEN k % 100 = 0 THEN '12.5' ELSE 'unknown' END")),
 )
 _HEADER_VARIABLES = _list(
     _variable("TIME", "float64", ["TIME"], "true",

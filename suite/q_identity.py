@@ -84,12 +84,19 @@ def derive_collection(spark, sf_dir):
 
 @query(
     "identity_duplicates",
-    """SELECT 's3://' || bucket || '/' || key || '?versionId=' || coalesce(version_id, 'None')
+    """SELECT 's3://corpus/IMOS/' || l_orderkey || '/' || l_linenumber || '.nc?versionId=None'
               AS uri, count(*) AS n
-       FROM inv_lines GROUP BY ALL HAVING count(*) > 1""",
+       FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
 )
 def identity_duplicates(spark, sf_dir):
-    return Q.identity_duplicates(V.inv_lines(spark, sf_dir))
+    """Order lines named by order and line number only, which some lines share."""
+    name = F.concat_ws("/", F.lit("IMOS"), "l_orderkey", "l_linenumber")
+    references = V.table(spark, sf_dir, "lineitem").select(
+        F.lit(V.BUCKET).alias("bucket"),
+        F.concat(name, F.lit(".nc")).alias("key"),
+        F.lit(None).cast("string").alias("version_id"),
+    )
+    return Q.identity_duplicates(references)
 
 
 @query(

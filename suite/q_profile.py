@@ -151,23 +151,16 @@ def attribute_clusters(spark, sf_dir):
 @query(
     "payload_paths",
     f"""WITH p AS ({UNSTRUCTURED_SQL}),
-        parts AS (SELECT unnest(['global_attrs', 'variables', 'coordinates']) AS section),
-        sections AS (SELECT section, metadata->section AS v FROM p, parts),
-        lower AS (SELECT section || '.' || key AS path, value AS v FROM (
-                    SELECT section, unnest(json_keys(v)) AS key,
-                           unnest(json_extract(v, list_transform(json_keys(v), lambda x: '$."' || x || '"'))) AS value
-                    FROM sections)),
-        deep AS (SELECT path || '.' || key AS path, value AS v FROM (
-                   SELECT path, unnest(json_keys(v)) AS key,
-                          unnest(json_extract(v, list_transform(json_keys(v), lambda x: '$."' || x || '"'))) AS value
-                   FROM lower WHERE json_type(v) = 'OBJECT')),
-        deepest AS (SELECT path || '.' || key AS path, value AS v FROM (
-                   SELECT path, unnest(json_keys(v)) AS key,
-                          unnest(json_extract(v, list_transform(json_keys(v), lambda x: '$."' || x || '"'))) AS value
-                   FROM deep WHERE json_type(v) = 'OBJECT')),
-        every AS (SELECT section AS path, v FROM sections UNION ALL SELECT path, v FROM lower
-                  UNION ALL SELECT path, v FROM deep UNION ALL SELECT path, v FROM deepest)
-        SELECT path, CASE json_type(v) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array'
+        sections AS (SELECT e.key AS path, e.value AS v, e.type AS kind
+                     FROM p, json_each(CAST(p.metadata AS JSON)) e),
+        lower AS (SELECT s.path || '.' || e.key AS path, e.value AS v, e.type AS kind
+                  FROM sections s, json_each(s.v) e WHERE s.kind = 'OBJECT'),
+        deep AS (SELECT s.path || '.' || e.key AS path, e.value AS v, e.type AS kind
+                 FROM lower s, json_each(s.v) e WHERE s.kind = 'OBJECT'),
+        deepest AS (SELECT s.path || '.' || e.key AS path, e.value AS v, e.type AS kind
+                    FROM deep s, json_each(s.v) e WHERE s.kind = 'OBJECT'),
+        every AS (FROM sections UNION ALL FROM lower UNION ALL FROM deep UNION ALL FROM deepest)
+        SELECT path, CASE kind WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array'
                        WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean'
                        WHEN 'NULL' THEN 'null' WHEN 'UBIGINT' THEN 'integer'
                        WHEN 'BIGINT' THEN 'integer' ELSE 'number' END AS kind, count(*) AS n_rows

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathom.functions.identity import derive_facility, object_hash
+from fathom.session import materialize, spread
 
 BUCKET = "corpus"
 
@@ -204,7 +205,18 @@ def _variable(name, dtype, dims, is_coord, *attrs) -> Column:
     )
 
 
+_STORED: dict[tuple[str, str], DataFrame] = {}
+
+
 def header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The header table, written once per session as a reader's run would leave it."""
+    place = (spark.sparkContext.applicationId, sf_dir)
+    if place not in _STORED:
+        _STORED[place] = materialize(spread(_header_rows(spark, sf_dir)))
+    return _STORED[place]
+
+
+def _header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header rows: one per order, with varied attribute names, bad numbers and bad files."""
     k = F.col("o_orderkey")
 
@@ -237,6 +249,10 @@ def header(spark: SparkSession, sf_dir: str) -> DataFrame:
             is_mod(6), _attr("instrument_nominal_depth", F.when(is_mod(12), "1e2").otherwise("deep"))
         ),
         F.when(is_mod(8), _attr("Keywords", "sea, water")),
+        F.when(
+            is_mod(2),
+            _attr("geospatial_vertical_max", F.when(is_mod(100), "12.5").otherwise("unknown")),
+        ),
     )
     lon_units = F.when(is_mod(2), "degrees_east").otherwise("degreeE")
     variables = F.when(
