@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -61,25 +61,46 @@ def normalize_name(name: Column) -> Column:
     return F.translate(F.lower(name), "_-", "")
 
 
-def normalized_names(attrs: Column) -> Column:
-    return F.transform(attrs, lambda a: normalize_name(a["name"]))
+def _spelling(field: MappedField) -> str:
+    """The normalized name that all names of a field share."""
+    forms = {a.lower().replace("_", "").replace("-", "") for a in field.aliases}
+    if len(forms) != 1:
+        raise ValueError(f"names of {field.name} differ in more than case and separators")
+    return forms.pop()
 
 
-def resolve_alias(attrs: Column, aliases: Sequence[str], normalized: Column) -> Column:
-    """Position (from 1) of the attribute for ``aliases``; null when there is none.
+def best_by_name(attrs: Column) -> Column:
+    """Map from normalized name to the value of the attribute that counts.
 
-    Exact names win in order of priority; then, in the same order, the first attribute of
-    the file whose normalized name agrees. ``normalized`` is ``normalized_names(attrs)``,
-    computed once for all fields.
+    An exact name of a mapped field wins, in order of priority; otherwise the first attribute
+    of the file does. Only files in which two names are alike need that order; for the others
+    the names already are the keys. One map serves all fields with one look-up each.
     """
-    exact = [F.array_position(attrs["name"], a) for a in aliases]
-    spellings = dict.fromkeys(a.lower().replace("_", "").replace("-", "") for a in aliases)
-    loose = [F.array_position(normalized, a) for a in spellings]
-    return F.coalesce(*[F.nullif(p, F.lit(0).cast("bigint")) for p in (*exact, *loose)])
+    names = F.transform(attrs, lambda a: F.coalesce(normalize_name(a["name"]), F.lit("")))
+    rank = F.create_map(
+        *[F.lit(x) for f in MAPPED_FIELDS for i, a in enumerate(f.aliases) for x in (a, i)]
+    )
+    last = max(len(f.aliases) for f in MAPPED_FIELDS)
+
+    def candidate(a: Column, i: Column) -> Column:
+        return F.struct(
+            F.coalesce(normalize_name(a["name"]), F.lit("")).alias("key"),
+            F.coalesce(F.element_at(rank, F.coalesce(a["name"], F.lit(""))), F.lit(last)),
+            i,
+            a["value"].alias("value"),
+        )
+
+    ordered = F.sort_array(F.transform(attrs, candidate))
+    first = F.filter(
+        ordered, lambda c, i: (i == 0) | (F.get(ordered["key"], i - 1) != c["key"])
+    )
+    chosen = F.map_from_arrays(first["key"], first["value"])
+    return F.when(repeats(names), chosen).otherwise(F.map_from_arrays(names, attrs["value"]))
 
 
-def attribute_value(attrs: Column, position: Column) -> Column:
-    return F.get(attrs["value"], (position - 1).cast("int"))
+def mapped_value(by_name: Column, field: MappedField) -> Column:
+    """Value of a structured field out of ``best_by_name``; null when there is none."""
+    return by_name[_spelling(field)]
 
 
 def to_number(text: Column) -> Column:
@@ -97,7 +118,7 @@ def repeats(names: Column) -> Column:
 
 def as_map_or_null(entries: Column) -> Column:
     """Map of entries sorted by key; null instead of an empty map."""
-    return F.when(F.size(entries) > 0, F.map_from_entries(F.array_sort(entries)))
+    return F.when(F.size(entries) > 0, F.map_from_entries(F.sort_array(entries)))
 
 
 def json_text(value: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from fathom.functions import attributes as A
+from fathom.functions.coordinates import attribute
 from fathom.functions.identity import derive_facility, format_from_magic, object_hash
 from fathom.schema import (
     HEADER_DDL,
@@ -21,7 +22,7 @@ from fathom.schema import (
     UNSTRUCTURED_VERSION,
 )
 
-_NORMALIZED = "_normalized"
+_BY_NAME = "_by_name"
 
 
 def _entries(variables: Column, keep, value) -> Column:
@@ -45,31 +46,22 @@ def dimension_sizes(dims: Column) -> Column:
     return A.as_map_or_null(entry)
 
 
-def _attr(attrs: Column, name: str) -> Column:
-    position = F.nullif(F.array_position(attrs["name"], name), F.lit(0).cast("bigint"))
-    return A.attribute_value(attrs, position)
-
-
 def standard_names(variables: Column) -> Column:
     """Variable to standard name, data and coordinate variables alike; empty names left out."""
     return A.as_map_or_null(
         _entries(
             variables,
-            lambda v: F.coalesce(_attr(v["attrs"], "standard_name"), F.lit("")) != "",
-            lambda v: _attr(v["attrs"], "standard_name"),
+            lambda v: F.coalesce(attribute(v["attrs"], "standard_name"), F.lit("")) != "",
+            lambda v: attribute(v["attrs"], "standard_name"),
         )
     )
 
 
 def raw_values(headers: DataFrame) -> DataFrame:
     """Headers with ``raw``: one text field per mapped structured field."""
-    df = headers.withColumn(_NORMALIZED, A.normalized_names(F.col("global_attrs")))
-    attrs, names = F.col("global_attrs"), F.col(_NORMALIZED)
-    found = [
-        A.attribute_value(attrs, A.resolve_alias(attrs, f.aliases, names)).alias(f.name)
-        for f in A.MAPPED_FIELDS
-    ]
-    return df.withColumn("raw", F.struct(*found)).drop(_NORMALIZED)
+    df = headers.withColumn(_BY_NAME, A.best_by_name(F.col("global_attrs")))
+    found = [A.mapped_value(F.col(_BY_NAME), f).alias(f.name) for f in A.MAPPED_FIELDS]
+    return df.withColumn("raw", F.struct(*found)).drop(_BY_NAME)
 
 
 def _error() -> Column:

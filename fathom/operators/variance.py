@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from fathom.functions.identity import dir_prefix
 from fathom.operators.ranking import with_position
+from fathom.session import materialize
 
 # How many schemas the overview shows and where their text is cut.
 TOP_SCHEMAS = 10
@@ -34,7 +35,7 @@ def variable_list(df: DataFrame, column: str = "variables") -> Column:
         names = F.from_json(F.translate(F.col(column), "'", '"'), _STRINGS)
     else:
         names = F.col(column)
-    return F.array_sort(names)
+    return F.sort_array(names)
 
 
 def schema_text(names: Column) -> Column:
@@ -77,20 +78,21 @@ def prefix_counts(df: DataFrame, column: str = "variables") -> DataFrame:
     )
 
 
-def _schema_variables(df: DataFrame, column: str) -> DataFrame:
-    distinct = with_schema(df, column).select("schema", "names").distinct()
-    return distinct.select("schema", F.explode(F.array_distinct("names")).alias("variable"))
+def _distinct(df: DataFrame, column: str) -> DataFrame:
+    return with_schema(df, column).select("schema", "names").distinct()
 
 
-def all_variables(df: DataFrame, column: str = "variables") -> DataFrame:
-    """Every variable name of any schema, in order."""
-    return _schema_variables(df, column).select("variable").distinct().orderBy("variable")
+def _variables(schemas: DataFrame) -> DataFrame:
+    return schemas.select("schema", F.explode(F.array_distinct("names")).alias("variable"))
 
 
-def unique_variables(df: DataFrame, column: str = "variables") -> DataFrame:
-    """Variables that occur in one schema only, with that schema."""
+def _vocabulary(schemas: DataFrame) -> DataFrame:
+    return _variables(schemas).select("variable").distinct()
+
+
+def _unique(schemas: DataFrame) -> DataFrame:
     return (
-        _schema_variables(df, column)
+        _variables(schemas)
         .groupBy("variable")
         .agg(F.count(F.lit(1)).alias("n"), F.min("schema").alias("schema"))
         .filter(F.col("n") == 1)
@@ -98,21 +100,46 @@ def unique_variables(df: DataFrame, column: str = "variables") -> DataFrame:
     )
 
 
+def _missing(schemas: DataFrame) -> DataFrame:
+    # One list of the distinct variable names: every output row is up to that long anyway.
+    names = F.sort_array(F.collect_set("variable"))
+    every = _variables(schemas).agg(names).scalar()
+    return schemas.select("schema", F.array_except(every, F.col("names")).alias("missing"))
+
+
+def all_variables(df: DataFrame, column: str = "variables") -> DataFrame:
+    """Every variable name of any schema, in order."""
+    return _vocabulary(_distinct(df, column)).orderBy("variable")
+
+
+def unique_variables(df: DataFrame, column: str = "variables") -> DataFrame:
+    """Variables that occur in one schema only, with that schema."""
+    return _unique(_distinct(df, column))
+
+
 def missing_variables(df: DataFrame, column: str = "variables") -> DataFrame:
     """Per schema the variables of other schemas that it lacks."""
-    distinct = with_schema(df, column).select("schema", "names").distinct()
-    names = all_variables(df, column)
-    # One list of the distinct variable names: every output row is up to that long anyway.
-    every = names.agg(F.sort_array(F.collect_list("variable"))).scalar()
-    return distinct.select("schema", F.array_except(every, F.col("names")).alias("missing"))
+    return _missing(_distinct(df, column))
 
 
 def variance_summary(df: DataFrame, column: str = "variables") -> DataFrame:
-    """Schemas, files (also those without variables) and variable names in total."""
-    counts = schema_counts(df, column).agg(F.count(F.lit(1)).alias("total_schemas"))
-    records = df.agg(F.count(F.lit(1))).scalar()
-    names = all_variables(df, column).agg(F.count(F.lit(1))).scalar()
-    return counts.withColumn("total_records", records).withColumn("total_variables", names)
+    """Schemas, files (also those without variables) and variable names in total.
+
+    One pass over the files: rows without variables are counted under a null schema.
+    """
+    names = variable_list(df, column)
+    counted = (
+        df.select(names.alias("names"))
+        .groupBy("names")
+        .agg(F.count(F.lit(1)).alias("n_files"))
+    )
+    total = counted.agg(
+        F.count("names").alias("total_schemas"),
+        F.coalesce(F.sum("n_files"), F.lit(0)).alias("total_records"),
+    )
+    schemas = counted.filter(F.col("names").isNotNull()).withColumn("schema", schema_text(F.col("names")))
+    vocabulary = _vocabulary(schemas).agg(F.count(F.lit(1))).scalar()
+    return total.withColumn("total_variables", vocabulary)
 
 
 def top_schemas(df: DataFrame, column: str = "variables", n: int = TOP_SCHEMAS) -> DataFrame:
@@ -157,10 +184,21 @@ def variance_report(
     one long text. The run's time is left out; ``write_report`` puts it in front.
     """
     bar = "=" * 80
-    counts = schema_counts(df, column)
-    # Ranked by their count over the distinct schemas; a count decides, the text breaks ties.
-    ranked = _ranked(counts)
-    summary = variance_summary(df, column)
+    # Files are read once; the report is made from their counts per schema and directory.
+    places = materialize(
+        df.withColumn("names", variable_list(df, column))
+        .withColumn("schema", F.when(F.col("names").isNotNull(), schema_text(F.col("names"))))
+        .groupBy("schema", "names", dir_prefix(F.col("key")).alias("prefix"))
+        .agg(F.count(F.lit(1)).alias("n_files"))
+    )
+    known = places.filter(F.col("schema").isNotNull())
+    counts = materialize(known.groupBy("schema", "names").agg(F.sum("n_files").alias("n_files")))
+    ranked = materialize(_ranked(counts))
+    summary = counts.agg(F.count(F.lit(1)).alias("total_schemas")).select(
+        "total_schemas",
+        F.coalesce(places.agg(F.sum("n_files")).scalar(), F.lit(0)).alias("total_records"),
+        _vocabulary(counts).agg(F.count(F.lit(1))).scalar().alias("total_variables"),
+    )
 
     def lines(source: DataFrame, block: Column, line: int, item: Column, text: Column):
         return source.select(
@@ -184,9 +222,8 @@ def variance_report(
             )
         ).alias("line", "text")
     ).select(F.lit(0).cast("bigint").alias("block"), "line", F.lit("").alias("item"), "text")
-    variables = all_variables(df, column)
     listed = lines(
-        variables, F.lit(1), 1, F.col("variable"), F.concat(F.lit("  - "), F.col("variable"))
+        _vocabulary(counts), F.lit(1), 1, F.col("variable"), F.concat(F.lit("  - "), F.col("variable"))
     )
     title = lines(ranked, block, 0, none, F.concat(F.lit("Schema #"), F.col("rank").cast("string")))
     shown = lines(
@@ -203,15 +240,13 @@ def variance_report(
     )
     rank_of = ranked.select("schema", "rank")
     own = lines(
-        unique_variables(df, column).join(rank_of, "schema"),
+        _unique(counts).join(rank_of, "schema"),
         block,
         3,
         F.col("variable"),
         F.concat(F.lit("  Only here: "), F.col("variable")),
     )
-    lacking = missing_variables(df, column).select(
-        "schema", F.explode("missing").alias("variable")
-    )
+    lacking = _missing(counts).select("schema", F.explode("missing").alias("variable"))
     lacks = lines(
         lacking.join(rank_of, "schema"),
         block,
@@ -219,15 +254,15 @@ def variance_report(
         F.col("variable"),
         F.concat(F.lit("  Missing: "), F.col("variable")),
     )
-    places = lines(
-        schema_prefixes(df, column).join(rank_of, "schema"),
+    folders = lines(
+        known.select("schema", "prefix").join(rank_of, "schema"),
         block,
         5,
         F.col("prefix"),
         F.concat(F.lit("    - "), F.col("prefix")),
     )
     report = head
-    for part in (listed, title, shown, files, own, lacks, places):
+    for part in (listed, title, shown, files, own, lacks, folders):
         report = report.unionByName(part)
     return report.orderBy("block", "line", "item")
 

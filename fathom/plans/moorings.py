@@ -31,7 +31,7 @@ def index_rows(structured: DataFrame) -> DataFrame:
         object_uri(F.col("bucket"), F.col("key")).alias("s3_uri"),
         F.col("time_coverage_start").alias("time_min"),
         F.col("time_coverage_end").alias("time_max"),
-        F.array_sort(F.map_keys("variable_schema")).alias("variables"),
+        F.sort_array(F.map_keys("variable_schema")).alias("variables"),
     )
 
 
