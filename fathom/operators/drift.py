@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fathom.functions.attributes import MAPPED_FIELDS, normalize_name
 from fathom.functions.similarity import natural_sort_key, sorted_ratio, token_sorted
@@ -224,13 +225,9 @@ def attribute_clusters(
     edges = pairs.join(places, "a").join(others, "b")
     if limit is not None:
         # The best matches per name, ties by order; the name itself is one of them.
-        ranked = F.array_sort(
-            F.collect_list(F.struct((-F.col("score")).alias("s"), "place_b", "b"))
-        )
-        edges = (
-            edges.groupBy("a", "place_a")
-            .agg(F.slice(ranked, 1, limit - 1).alias("best"))
-            .select("a", "place_a", F.inline("best"))
+        best = Window.partitionBy("a").orderBy(F.desc("score"), "place_b")
+        edges = edges.withColumn("_rank", F.row_number().over(best)).filter(
+            F.col("_rank") <= limit - 1
         )
     edges = materialize(
         edges.filter(F.struct("place_a") < F.struct("place_b")).select("a", "b", "place_a")
@@ -275,27 +272,29 @@ def mapping_correctness(
     files in which only a differently written name is found. The row with the null facility
     sums over all.
     """
-    names = unstructured.select("hash", global_attribute_names(column).alias("_names"))
-    joined = structured.join(names, "hash")
-    lowered = F.transform("_names", lambda n: F.lower(n))
-    joined = joined.withColumn("_lower", lowered)
+    # Both sides are reduced to flags before they meet, so the shuffle carries no text.
+    filled = structured.select(
+        "hash", "facility", *[F.col(f.name).isNotNull().alias(f"_p_{f.name}") for f in MAPPED_FIELDS]
+    )
+    listed = unstructured.select("hash", global_attribute_names(column).alias("_names"))
+    listed = listed.withColumn("_lower", F.transform("_names", lambda n: F.lower(n)))
+    flags = []
+    for f in MAPPED_FIELDS:
+        exact = F.arrays_overlap("_names", F.array(*[F.lit(a) for a in f.aliases]))
+        lowered = dict.fromkeys(a.lower() for a in f.aliases)
+        anycase = F.arrays_overlap("_lower", F.array(*[F.lit(a) for a in lowered]))
+        flags += [exact.alias(f"_k_{f.name}"), (anycase & ~exact).alias(f"_c_{f.name}")]
+    joined = filled.join(listed.select("hash", *flags), "hash")
     tests = []
     for f in MAPPED_FIELDS:
-        exact = reduce(
-            lambda a, b: a | b, (F.array_contains("_names", a) for a in f.aliases)
-        )
-        anycase = reduce(
-            lambda a, b: a | b,
-            (F.array_contains("_lower", a) for a in dict.fromkeys(x.lower() for x in f.aliases)),
-        )
-        filled = F.col(f.name).isNotNull()
-        lost = exact & ~filled if f.numeric else F.lit(False)
+        key, populated = F.col(f"_k_{f.name}"), F.col(f"_p_{f.name}")
+        lost = key & ~populated if f.numeric else F.lit(False)
         tests.append(
             F.struct(
-                exact.alias("key"),
-                filled.alias("populated"),
+                key.alias("key"),
+                populated.alias("populated"),
                 lost.alias("lost"),
-                (anycase & ~exact).alias("case_only"),
+                F.col(f"_c_{f.name}").alias("case_only"),
             ).alias(f.name)
         )
     flat = joined.select("facility", *tests)

@@ -96,20 +96,45 @@ def item_properties(attrs: Column) -> Column:
 
 
 def dim_steps(
-    coords: DataFrame, keys: Sequence[str] = ("hash", "var"), order: Sequence[str] = ("idx",)
+    coords: DataFrame,
+    keys: Sequence[str] = ("hash", "var"),
+    order: Sequence[str] = ("idx",),
+    stretch: int = 1_000_000,
 ) -> DataFrame:
     """Per dimension of a file: ends, length, and the step when all differences agree.
 
-    ``order`` must order the values totally. A step needs at least two differences.
+    ``order`` starts with the index and must order the values totally. A step needs at least
+    two differences. Values are compared inside stretches of the index, and the stretches by
+    their first and last values, so that one huge dimension is spread over many tasks.
     """
-    line = Window.partitionBy(*keys).orderBy(*order)
-    gaps = coords.withColumn("_gap", F.col("value") - F.lag("value").over(line))
-    regular = (F.count("_gap") > 1) & (F.min("_gap") == F.max("_gap"))
+    place = F.struct(*order)
+    part = [*keys, "_stretch"]
+    line = Window.partitionBy(*part).orderBy(*order)
+    inner = (
+        coords.withColumn("_stretch", F.floor(F.col(order[0]) / stretch))
+        .withColumn("_gap", F.col("value") - F.lag("value").over(line))
+        .groupBy(*part)
+        .agg(
+            F.count(F.lit(1)).alias("n_values"),
+            F.min("value").alias("extent_min"),
+            F.max("value").alias("extent_max"),
+            F.count("_gap").alias("_n"),
+            F.min("_gap").alias("_low"),
+            F.max("_gap").alias("_high"),
+            F.min_by("value", place).alias("_first"),
+            F.max_by("value", place).alias("_last"),
+        )
+    )
+    between = F.col("_first") - F.lag("_last").over(Window.partitionBy(*keys).orderBy("_stretch"))
+    gaps = inner.withColumn("_between", between)
+    low = F.least(F.min("_low"), F.min("_between"))
+    high = F.greatest(F.max("_high"), F.max("_between"))
+    regular = (F.sum("_n") + F.count("_between") > 1) & (low == high)
     return gaps.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_values"),
-        F.min("value").alias("extent_min"),
-        F.max("value").alias("extent_max"),
-        F.when(regular, F.min("_gap")).alias("step"),
+        F.sum("n_values").alias("n_values"),
+        F.min("extent_min").alias("extent_min"),
+        F.max("extent_max").alias("extent_max"),
+        F.when(regular, low).alias("step"),
     )
 
 

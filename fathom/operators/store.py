@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fathom.schema import conform
+from fathom.session import materialize
 
 COMMIT = "commit_id"
 
@@ -62,25 +63,43 @@ def provision(
 
 
 def _write_commit(df: DataFrame, path: str, commit: int, partition_by: str | None) -> None:
-    writer = df.write.mode("overwrite").option("compression", "zstd")
-    if partition_by is not None:
-        if partition_by not in df.columns:
-            raise ValueError(f"no such partition column: {partition_by}")
-        writer = writer.partitionBy(partition_by)
+    if partition_by is None:
+        writer = df.write
+    elif partition_by not in df.columns:
+        raise ValueError(f"no such partition column: {partition_by}")
+    else:
+        writer = clustered(df, partition_by).write.partitionBy(partition_by)
+    writer = writer.mode("overwrite").option("compression", "zstd")
     writer.parquet(f"{path}/{COMMIT}={commit}")
 
 
+def clustered(df: DataFrame, column: str) -> DataFrame:
+    """Rows brought together by ``column`` for a partitioned write.
+
+    Without this every task would write a file into every folder. Adaptive execution cuts the
+    partitions by size, so a value that holds most rows is written by many tasks.
+    """
+    return df.hint("rebalance", column)
+
+
 def write(
     path: str,
     rows: DataFrame,
     schema: T.StructType | None = None,
     partition_by: str | None = None,
     order: Column | None = None,
+    unique: bool = False,
 ) -> int:
-    """Upsert ``rows`` as the next commit; of equal hashes in one write the last one stays."""
-    typed = rows if schema is None else conform(rows, schema)
-    if order is not None:
-        typed = conform(dedupe_last(rows, order), schema) if schema else dedupe_last(rows, order)
+    """Upsert ``rows`` as the next commit; of equal hashes in one write the last one stays.
+
+    The last one by ``order`` or, without it, in the order of the frame. ``unique`` says that
+    the caller knows the hashes to differ, which saves the shuffle.
+    """
+    kept = rows
+    if not unique:
+        place = F.monotonically_increasing_id() if order is None else order
+        kept = dedupe_last(rows.withColumn("_order", place), F.col("_order")).drop("_order")
+    typed = kept if schema is None else conform(kept, schema)
     commit = max(commits(rows.sparkSession, path), default=-1) + 1
     _write_commit(typed, path, commit, partition_by)
     return commit
@@ -109,14 +128,39 @@ def read(
     path: str,
     schema: T.StructType | None = None,
     snapshot: int | None = None,
+    where: Column | None = None,
 ) -> DataFrame:
-    """Current rows of a table, or those of an older state."""
+    """Current rows of a table, or those of an older state.
+
+    ``where`` is applied before rows are resolved, so it can skip folders. It must depend on
+    the identity only (as the facility does), else it could bring back replaced rows.
+    """
     log = read_log(spark, path, schema)
-    state = latest(log, F.col(COMMIT)) if snapshot is None else as_of(log, snapshot)
+    log = log if where is None else log.filter(where)
+    state = current(log if snapshot is None else log.filter(F.col(COMMIT) <= snapshot))
     state = state.drop(COMMIT)
     return state if schema is None else state.select(*schema.names)
 
 
+def current(log: DataFrame) -> DataFrame:
+    """Rows of a log that no later commit replaced.
+
+    Most hashes are in one commit only. A narrow pass over hash and commit finds the others;
+    the wide rows are then joined to that list, which the optimizer broadcasts when the size
+    of its files allows, so the bulk of the table is not shuffled. Within a commit hashes are
+    unique, which ``write`` sees to.
+    """
+    replaced = materialize(
+        log.groupBy(F.col("hash").alias("_hash"))
+        .agg(F.max(COMMIT).alias("_last"), F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > 1)
+        .select("_hash", "_last")
+    )
+    joined = log.join(replaced, log["hash"] == replaced["_hash"], "left")
+    stays = F.col("_last").isNull() | (F.col(COMMIT) == F.col("_last"))
+    return joined.filter(stays).drop("_hash", "_last")
+
+
 def latest(df: DataFrame, order: Column, keys: Sequence[str] = ("hash",)) -> DataFrame:
     """Last row per key by ``order``.
 
@@ -135,7 +179,7 @@ def dedupe_last(df: DataFrame, order: Column, keys: Sequence[str] = ("hash",)) -
 
 def as_of(log: DataFrame, commit: int) -> DataFrame:
     """The state after ``commit``; later commits' folders are not read."""
-    return latest(log.filter(F.col(COMMIT) <= commit), F.col(COMMIT))
+    return current(log.filter(F.col(COMMIT) <= commit))
 
 
 def upsert(

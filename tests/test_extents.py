@@ -49,8 +49,11 @@ def test_boxes(spark):
 def test_steps(spark):
     rows = [("f", "x", i, 2.0 * i) for i in range(4)]
     rows += [("f", "y", 0, 1.0), ("f", "y", 1, 2.0), ("f", "z", 0, 1.0), ("f", "z", 1, 2.0), ("f", "z", 2, 4.0)]
-    got = {r["var"]: r.step for r in X.dim_steps(spark.createDataFrame(rows, COORDS)).collect()}
-    assert got == {"x": 2.0, "y": None, "z": None}
+    df = spark.createDataFrame(rows, COORDS)
+    for stretch in (1, 2, 3, 100):
+        got = {r["var"]: r for r in X.dim_steps(df, stretch=stretch).collect()}
+        assert {v: r.step for v, r in got.items()} == {"x": 2.0, "y": None, "z": None}
+        assert (got["x"].n_values, got["x"].extent_min, got["x"].extent_max) == (4, 0.0, 6.0)
 
 
 def test_properties(spark):
