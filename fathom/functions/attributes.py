@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fathom.functions.identity import strip
+
 
 @dataclass(frozen=True)
 class MappedField:
@@ -105,7 +107,7 @@ def mapped_value(by_name: Column, field: MappedField) -> Column:
 
 def to_number(text: Column) -> Column:
     """Double, or null where the text is not a number."""
-    cleaned = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    cleaned = strip(text)
     plain = F.when(cleaned.rlike(_NUMBER), F.translate(cleaned, "_", ""))
     signless = F.regexp_replace(plain, r"(?i)^[+-](?=nan$)", "")
     return signless.try_cast("double")

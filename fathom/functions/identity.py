@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The unknown marker, the identity text layout, the format names and their
+# White space at the ends of a name, the unknown marker, the identity text layout, the format names and their
 # leading bytes, and the size from which a file is read by range.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 UNKNOWN_FACILITY = "UNKNOWN"
 MISSING_VERSION = "None"
 MAGIC_FORMATS = (
@@ -57,14 +61,18 @@ def version_path(bucket: Column, key: Column, version_id: Column) -> Column:
     return _clean_path(F.concat(bucket, F.lit("/"), key, suffix))
 
 
+def strip(text: Column) -> Column:
+    """Text without white space at its ends."""
+    return F.trim(text, F.lit(WHITE_SPACE))
+
+
 def derive_facility(key: Column) -> Column:
     """Second non-empty segment of a key with at least three; ``UNKNOWN`` otherwise.
 
     One regular expression instead of split and filter, so it does not leave generated code.
     """
     segment = F.regexp_extract(key, r"^/*[^/]+/+([^/]+)/+[^/]", 1)
-    name = F.regexp_replace(segment, r"(?U)^\s+|\s+$", "")
-    return F.coalesce(F.nullif(name, F.lit("")), F.lit(UNKNOWN_FACILITY))
+    return F.coalesce(F.nullif(strip(segment), F.lit("")), F.lit(UNKNOWN_FACILITY))
 
 
 def derive_collection(uri: Column) -> Column:

@@ -62,17 +62,15 @@ def payload_paths(payloads: DataFrame, column: str = "metadata") -> DataFrame:
     """Every path of the payloads down to attributes, with value type and row count.
 
     Payloads are parsed once and object keys exploded level by level (section, variable,
-    attribute group, attribute); array elements are not paths. A node above the last level is
-    repeated for everything below it and counted where all deeper positions are the first.
+    attribute group, attribute); array elements have no key and are not paths. A node above
+    the last level is repeated for everything below it and counted where all deeper positions
+    are the first.
     """
     spark = payloads.sparkSession
     levels = 4
     rows = payloads.select(F.parse_json(column).alias("value_0"))
     for i in range(levels):
-        value = F.col(f"value_{i}")
-        below = spark.tvf.variant_explode_outer(
-            F.when(_json_kind(value) == "object", value).outer()
-        ).select(
+        below = spark.tvf.variant_explode_outer(F.col(f"value_{i}").outer()).select(
             F.col("pos").alias(f"pos_{i + 1}"),
             F.col("key").alias(f"key_{i + 1}"),
             F.col("value").alias(f"value_{i + 1}"),
@@ -80,16 +78,20 @@ def payload_paths(payloads: DataFrame, column: str = "metadata") -> DataFrame:
         rows = rows.lateralJoin(below)
     nodes = []
     for i in range(1, levels + 1):
-        path = F.concat_ws(".", *[F.col(f"key_{j}") for j in range(1, i + 1)])
-        first = F.lit(True)
+        keys = [F.col(f"key_{j}") for j in range(1, i + 1)]
+        counts = reduce(lambda a, b: a & b, (k.isNotNull() for k in keys))
         for j in range(i + 1, levels + 1):
-            first = first & (F.coalesce(f"pos_{j}", F.lit(0)) == 0)
-        nodes.append(
-            F.when(
-                F.col(f"key_{i}").isNotNull() & first,
-                F.struct(path.alias("path"), _json_kind(F.col(f"value_{i}")).alias("kind")),
+            counts = counts & (F.coalesce(f"pos_{j}", F.lit(0)) == 0)
+        kind = _json_kind(F.col(f"value_{i}"))
+        if i < levels:
+            # A node with children shows its kind by them; only leaves are looked into.
+            kind = (
+                F.when(F.col(f"key_{i + 1}").isNotNull(), "object")
+                .when(F.col(f"pos_{i + 1}").isNotNull(), "array")
+                .otherwise(kind)
             )
-        )
+        node = F.struct(F.concat_ws(".", *keys).alias("path"), kind.alias("kind"))
+        nodes.append(F.when(counts, node))
     found = rows.select(F.inline(F.filter(F.array(*nodes), lambda n: n.isNotNull())))
     return found.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -179,7 +181,6 @@ def similar_pairs(names: DataFrame, cutoff: int = ALIKE, column: str = "attribut
                 "text"
             ),
         )
-        .distinct()
     )
     met = pieces.join(offers, ["short_len", "edits", "piece", "text"])
     scored = (
@@ -262,6 +263,12 @@ def attribute_clusters(
     return taken.unionByName(leaders.select(F.col("name").alias("leader"), F.col("name").alias("member")))
 
 
+def _number_of(numbers: dict[str, int]):
+    """Function from a name to its number, -1 for names without one."""
+    table = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])
+    return lambda name: F.coalesce(F.element_at(table, name), F.lit(-1))
+
+
 def mapping_correctness(
     structured: DataFrame, unstructured: DataFrame, column: str = "metadata"
 ) -> DataFrame:
@@ -277,13 +284,21 @@ def mapping_correctness(
         "hash", "facility", *[F.col(f.name).isNotNull().alias(f"_p_{f.name}") for f in MAPPED_FIELDS]
     )
     listed = unstructured.select("hash", global_attribute_names(column).alias("_names"))
-    listed = listed.withColumn("_lower", F.transform("_names", lambda n: F.lower(n)))
+    # Names become numbers of the fields they belong to, once exactly and once without case.
+    exact_of = _number_of({a: i for i, f in enumerate(MAPPED_FIELDS) for a in f.aliases})
+    loose_of = _number_of({a.lower(): i for i, f in enumerate(MAPPED_FIELDS) for a in f.aliases})
+    listed = listed.select(
+        "hash",
+        F.transform("_names", exact_of).alias("_exact"),
+        F.transform("_names", lambda n: loose_of(F.lower(n))).alias("_loose"),
+    )
     flags = []
-    for f in MAPPED_FIELDS:
-        exact = F.arrays_overlap("_names", F.array(*[F.lit(a) for a in f.aliases]))
-        lowered = dict.fromkeys(a.lower() for a in f.aliases)
-        anycase = F.arrays_overlap("_lower", F.array(*[F.lit(a) for a in lowered]))
-        flags += [exact.alias(f"_k_{f.name}"), (anycase & ~exact).alias(f"_c_{f.name}")]
+    for i, f in enumerate(MAPPED_FIELDS):
+        exact = F.array_contains("_exact", i)
+        flags += [
+            exact.alias(f"_k_{f.name}"),
+            (F.array_contains("_loose", i) & ~exact).alias(f"_c_{f.name}"),
+        ]
     joined = filled.join(listed.select("hash", *flags), "hash")
     tests = []
     for f in MAPPED_FIELDS:

@@ -48,13 +48,13 @@ def dimension_sizes(dims: Column) -> Column:
 
 def standard_names(variables: Column) -> Column:
     """Variable to standard name, data and coordinate variables alike; empty names left out."""
-    return A.as_map_or_null(
-        _entries(
-            variables,
-            lambda v: F.coalesce(attribute(v["attrs"], "standard_name"), F.lit("")) != "",
-            lambda v: attribute(v["attrs"], "standard_name"),
-        )
+    named = F.transform(
+        variables,
+        lambda v: F.struct(
+            v["name"].alias("key"), attribute(v["attrs"], "standard_name").alias("value")
+        ),
     )
+    return A.as_map_or_null(F.filter(named, lambda e: e["value"] != ""))
 
 
 def raw_values(headers: DataFrame) -> DataFrame:
