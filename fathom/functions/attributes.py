@@ -124,9 +124,11 @@ def as_map_or_null(entries: Column) -> Column:
 
 
 def json_text(value: Column) -> Column:
-    """JSON string literal of a text column."""
-    quoted = F.to_json(F.array(value))
-    return F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    """JSON string literal of a text column.
+
+    Written as an array of one text; the quotes keep the trim from reaching the text itself.
+    """
+    return F.trim(F.to_json(F.array(value)), F.lit("[]"))
 
 
 def _json_value(attr: Column) -> Column:
