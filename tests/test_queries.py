@@ -19,7 +19,8 @@ def con():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    assert compare(spark, con, name, SF_DIR) is None
+    # The smallest tables have no row for some filters.
+    assert compare(spark, con, name, SF_DIR, may_be_empty=True) is None
 
 
 def test_contract(spark):
