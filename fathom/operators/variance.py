@@ -177,7 +177,7 @@ def variable_contains(
 def variance_report(
     df: DataFrame, column: str = "variables", prefix: str | None = None
 ) -> DataFrame:
-    """The report as ordered lines ``(block, line, part, item, text)``.
+    """The report as ordered lines ``(block, line, item, text)``.
 
     Block 0 is the head, block 1 the list of all variables, and the blocks from 2 on are the
     schemas by frequency. Every line is a row, so a schema with very many directories is not

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fathom.functions.coordinates import variable_role
 from fathom.operators import collections as T
 from fathom.operators import extents as X
 from fathom.functions.identity import derive_facility, item_id
