@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fathom.llm.packing import op1_packing
+from fathom.llm.secret_scan import op6_secret_scans
+from fathom.llm.token_counts import op8_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op6_secret_scans": op6_secret_scans,
+    "op8_token_counts": op8_token_counts,
 }
 
 ORACLES: dict[str, str] = {}

@@ -17,7 +17,7 @@ _SPACED = re.compile(r"[^ \t\n\r]+")
 _PLAIN = re.compile("[!-~À-įı-ɏ]+")
 
 
-def _byte_characters() -> list[str]:
+def byte_characters() -> list[str]:
     """The character that stands for each byte in byte-level vocabularies.
 
     Printable bytes stand for themselves, the others for the characters from 256 on, in order.
@@ -38,7 +38,7 @@ class WordPieces:
         self._library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self._model = self._library.model
         self._split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
-        self._bytes = _byte_characters()
+        self._bytes = byte_characters()
         self._kept = kept
         self._chunks: dict[str, bytes] = {}
 
