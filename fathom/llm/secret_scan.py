@@ -278,10 +278,11 @@ def digest(found: DataFrame) -> DataFrame:
         text = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))
         return F.array_join(F.transform(spans, text), ",")
 
+    def count(kind):
+        return F.size(F.filter("findings", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
     base = F.filter("findings", lambda s: s["kind"].isin(*KINDS))
-    counts = [
-        F.size(F.filter("findings", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in KINDS
-    ]
+    counts = [count(kind) for kind in KINDS]
     return found.select(
         "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans")
     )
