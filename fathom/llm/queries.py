@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from fathom.llm.packing import op1_packing
 from fathom.llm.secret_scan import op6_secret_scans
 from fathom.llm.token_counts import op8_token_counts
+from fathom.llm.toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_toxicity": op3_toxicity,
     "op6_secret_scans": op6_secret_scans,
     "op8_token_counts": op8_token_counts,
 }
