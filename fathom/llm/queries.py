@@ -10,12 +10,17 @@ from fathom.llm.packing import op1_packing
 from fathom.llm.secret_scan import op6_secret_scans
 from fathom.llm.token_counts import op8_token_counts
 from fathom.llm.toxicity import op3_toxicity
+from fathom.llm import url_filter
+from fathom.llm.url_filter import op9_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_toxicity": op3_toxicity,
     "op6_secret_scans": op6_secret_scans,
     "op8_token_counts": op8_token_counts,
+    "op9_url_filter": op9_url_filter,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_url_filter": url_filter.ORACLE_SQL,
+}
