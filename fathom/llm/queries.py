@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fathom.llm.neighbours import op7_neighbours
 from fathom.llm.packing import op1_packing
 from fathom.llm.secret_scan import op6_secret_scans
 from fathom.llm.token_counts import op8_token_counts
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_toxicity": op3_toxicity,
     "op6_secret_scans": op6_secret_scans,
+    "op7_neighbours": op7_neighbours,
     "op8_token_counts": op8_token_counts,
     "op9_url_filter": op9_url_filter,
 }
