@@ -27,7 +27,7 @@ PIVOT_ROWS = 4 * PIVOTS
 #: Rows and queries of a block; a block of rows takes its best by footrule on: this share of
 #: its rows, and this many at least. A tenth of the share does for spread vectors (recall 0.98);
 #: where a third of all vectors lie close together, their orders differ little, and a quarter
-#: is needed (0.97).
+#: is needed (0.95).
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 512
 SHARE, LEAST = 0.25, 200
 

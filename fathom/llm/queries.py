@@ -13,9 +13,11 @@ from fathom.llm.token_counts import op8_token_counts
 from fathom.llm.toxicity import op3_toxicity
 from fathom.llm import url_filter
 from fathom.llm.url_filter import op9_url_filter
+from fathom.llm.warc import op2_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
     "op6_secret_scans": op6_secret_scans,
     "op7_neighbours": op7_neighbours,
