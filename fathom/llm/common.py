@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,7 +13,9 @@ from fathom.session import materialize
 
 ARROW_ROWS = 512
 
-__all__ = ["ARROW_ROWS", "arrow_rows", "map_rows", "materialize", "row_key", "table"]
+__all__ = [
+    "ARROW_ROWS", "arrow_rows", "ascii_lower", "bind", "join_keys", "map_rows", "materialize", "row_key", "table",
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,3 +59,35 @@ def row_key(id_col: str | Column, text_col: str | Column) -> Column:
     one = F.col(id_col) if isinstance(id_col, str) else id_col
     text = F.col(text_col) if isinstance(text_col, str) else text_col
     return F.concat_ws(":", F.coalesce(one.cast("string"), F.lit("-")), F.md5(F.coalesce(text, F.lit("\0"))))
+
+
+#: Rows of a narrow table (a key and few numbers: about 100 bytes) that may be broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def join_keys(df: DataFrame, keys: DataFrame, on: str | list[str], how: str) -> DataFrame:
+    """``df`` joined to a narrow stored table, broadcast only if it has few enough rows.
+
+    Counting a stored Parquet table reads its footers. Beyond the bound both sides are
+    shuffled, and adaptive execution splits what is skewed.
+    """
+    if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    return df.join(keys, on, how)
+
+
+def ascii_lower(text: Column) -> Column:
+    """A-Z in lower case and nothing else changed; null as empty.
+
+    ``lower`` does the same, and faster, where all characters are ASCII.
+    """
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    plain = F.length(text) == F.octet_length(text)
+    return F.when(plain, F.lower(text)).otherwise(
+        F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    )
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

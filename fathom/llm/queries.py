@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fathom.llm import decontaminate, url_filter
+from fathom.llm.decontaminate import op10_decontaminate
 from fathom.llm.neighbours import op7_neighbours
 from fathom.llm.packing import op1_packing
 from fathom.llm.secret_scan import op6_secret_scans
 from fathom.llm.token_counts import op8_token_counts
 from fathom.llm.toxicity import op3_toxicity
-from fathom.llm import url_filter
 from fathom.llm.url_filter import op9_url_filter
 from fathom.llm.warc import op2_warc
 
@@ -23,8 +24,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_neighbours": op7_neighbours,
     "op8_token_counts": op8_token_counts,
     "op9_url_filter": op9_url_filter,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
     "op9_url_filter": url_filter.ORACLE_SQL,
+    "op10_decontaminate": decontaminate.ORACLE_SQL,
 }

@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.llm.common import materialize, table
+from fathom.llm.common import ascii_lower, materialize, table
 
 
 class Rule(NamedTuple):
@@ -45,13 +45,9 @@ LEVELS = ("suffix", "domain", "host")
 MAX_RULES = 1_000
 
 
-def ascii_lower(text: Column) -> Column:
-    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
-
-
 def url_host(url: Column) -> Column:
     """What is between the first ``://`` and the next of ``/?#``; empty without one."""
-    return ascii_lower(F.coalesce(F.regexp_extract(url, "://([^/?#]*)([^?#]*)", 1), F.lit("")))
+    return ascii_lower(F.regexp_extract(url, "://([^/?#]*)([^?#]*)", 1))
 
 
 def url_path(url: Column) -> Column:
