@@ -194,8 +194,8 @@ hits AS (
     SELECT doc_id, start, p.n, item_id FROM places p
     JOIN items i ON i.n = p.n AND i.win = array_to_string(ws[start : start + p.n - 1], ' ')),
 covered AS (
-    SELECT doc_id, count(DISTINCT at) AS n_hit
-    FROM (SELECT doc_id, unnest(range(start, start + n)) AS at FROM hits) GROUP BY doc_id),
+    SELECT doc_id, count(DISTINCT spot) AS n_hit
+    FROM (SELECT doc_id, unnest(range(start, start + n)) AS spot FROM hits) GROUP BY doc_id),
 named AS (
     SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
     FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
