@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fathom.llm import decontaminate, url_filter
 from fathom.llm.decontaminate import op10_decontaminate
+from fathom.llm.near_duplicates import op5_near_duplicates
 from fathom.llm.neighbours import op7_neighbours
 from fathom.llm.packing import op1_packing
 from fathom.llm.secret_scan import op6_secret_scans
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_secret_scans": op6_secret_scans,
     "op7_neighbours": op7_neighbours,
     "op8_token_counts": op8_token_counts,
