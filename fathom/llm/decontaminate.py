@@ -162,6 +162,14 @@ def contaminated(least_share: int = LEAST_SHARE) -> Column:
     return (F.col("n_hit") > 0) & (least_share * F.col("n_hit") >= F.col("n_words"))
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text and others) without the contaminated rows."""
+    name = "__row_key"
+    found = contamination(docs, items).filter(contaminated())
+    keys = materialize(found.select(F.col("key").alias(name)).distinct())
+    return join_keys(docs.withColumn(name, row_key("doc_id", "text")), keys, name, "left_anti").drop(name)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(

@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -225,42 +225,49 @@ def document_score(scores: list[float]) -> float:
     return -math.expm1(sum(math.log1p(-min(p, 1 - 1e-12)) for p in scores))
 
 
+class _Scorer:
+    """Scores of whole documents; the weights of words already met are kept."""
+
+    def __init__(self, model: Model) -> None:
+        self._model = model
+        self._known: dict[str, float] = {}
+
+    def score(self, text: str) -> tuple[float, int]:
+        """The document's score, and its number of sentences."""
+        model, known = self._model, self._known
+        if len(known) > KEPT_WORDS:
+            known.clear()
+        words, scores = {}, []
+        for part in _PARTS.findall(text.lower()):
+            z = known.get(part)
+            if z is None:
+                z = known[part] = math.inf if part[0] in ".!?\n" else model.word(part)
+            if z == math.inf:
+                if words:
+                    scores.append(sum([words[w] for w in sorted(words)]))
+                    words = {}
+            elif z:
+                words[part] = z
+        if words:
+            scores.append(sum([words[w] for w in sorted(words)]))
+        n = sum(1 for _ in _SENTENCE.finditer(text))
+        clean = -math.log1p(math.exp(model.bias)) * (n - len(scores))
+        for z in scores:
+            clean -= np.logaddexp(0.0, max(-40.0, min(40.0, z + model.bias)))
+        return min(1.0, max(0.0, -math.expm1(clean))), n
+
+
 def _scorer(model: Model) -> Callable[[], Callable]:
     located = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("score", pa.float64())]))
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        known: dict[str, float] = {}
-
-        def plain(text: str) -> tuple[float, int]:
-            """The document's score without the places of its sentences."""
-            low, n, words, scores = text.lower(), 0, {}, []
-            for part in _PARTS.findall(low):
-                z = known.get(part)
-                if z is None:
-                    z = known[part] = math.inf if part[0] in ".!?\n" else model.word(part)
-                if z == math.inf:
-                    if words:
-                        scores.append(sum([words[w] for w in sorted(words)]))
-                        words = {}
-                    n += 1
-                elif z:
-                    words[part] = z
-            if words:
-                scores.append(sum([words[w] for w in sorted(words)]))
-            n = sum(1 for _ in _SENTENCE.finditer(text))
-            rest = n - len(scores)
-            silent = -math.log1p(math.exp(model.bias)) * rest
-            for z in scores:
-                silent -= np.logaddexp(0.0, max(-40.0, min(40.0, z + model.bias)))
-            return -math.expm1(silent), n
+        scorer = _Scorer(model)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            if len(known) > KEPT_WORDS:
-                known.clear()
             scores, counts, places = [], [], []
             for text in batch.column(1).to_pylist():
-                score, n = plain(text or "")
-                scores.append(min(1.0, max(0.0, float(score))))
+                score, n = scorer.score(text or "")
+                scores.append(score)
                 counts.append(n)
                 found = sentence_scores(text, model) if score >= THRESHOLD else []
                 most = max([p for _, _, p in found], default=0.0)
@@ -287,6 +294,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return map_rows(rows, _scorer(model), SCORED)
 
 
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that score the threshold or more; row-local, all columns kept."""
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(model)
+        for batch in batches:
+            texts = batch.column(place).to_pylist()
+            yield batch.filter(pa.array([scorer.score(t or "")[0] < THRESHOLD for t in texts], pa.bool_()))
+
+    return arrow_rows(docs).mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that no label is learnt from: crc32 of the id as text, mod 5, is 0."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0

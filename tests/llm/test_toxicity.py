@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathom.llm import toxicity
-from fathom.llm.toxicity import Model, document_score, features, fit, held_out, score, sentence_scores, train
+from fathom.llm.toxicity import Model, document_score, drop_toxic, features, fit, held_out, score, sentence_scores, train
 
 WORDS = [f"w{i}" for i in range(60)]
 
@@ -82,6 +82,10 @@ def test_odd_rows(spark, documents, model):
     assert by[1].score == by[2].score == by[5].score == 0.0
     assert by[3].score >= 0.5 > by[4].score and by[None].score < 0.5
     assert score(documents([]), model).count() == 0
+    df = documents(rows)
+    kept = drop_toxic(df, model)
+    assert kept.columns == df.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "2", "5", "4", "None"])
 
 
 def test_no_usable_labels(spark, documents):
