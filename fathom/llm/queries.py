@@ -11,6 +11,7 @@ from fathom.llm.decontaminate import op10_decontaminate
 from fathom.llm.near_duplicates import op5_near_duplicates
 from fathom.llm.neighbours import op7_neighbours
 from fathom.llm.packing import op1_packing
+from fathom.llm.personal_data import op4_personal_data
 from fathom.llm.secret_scan import op6_secret_scans
 from fathom.llm.token_counts import op8_token_counts
 from fathom.llm.toxicity import op3_toxicity
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
+    "op4_personal_data": op4_personal_data,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_secret_scans": op6_secret_scans,
     "op7_neighbours": op7_neighbours,
