@@ -14,10 +14,10 @@ WHITE_SPACE = (
 UNKNOWN_FACILITY = "UNKNOWN"
 MISSING_VERSION = "None"
 MAGIC_FORMATS = (
-    ("43444601", "NETCDF3_CLASSIC"),
-    ("43444602", "NETCDF3_64BIT_OFFSET"),
-    ("43444605", "NETCDF5"),
-    ("894844460D0A1A0A", "NETCDF4"),
+    (b"CDF\x01", "NETCDF3_CLASSIC"),
+    (b"CDF\x02", "NETCDF3_64BIT_OFFSET"),
+    (b"CDF\x05", "NETCDF5"),
+    (b"\x89HDF\r\n\x1a\n", "NETCDF4"),
 )
 RANGE_READ_BYTES = 100 * 1024**2
 # End of fixed values.
@@ -95,8 +95,8 @@ def format_from_magic(magic: Column) -> Column:
     """Array-file format by leading bytes; null when none is known."""
     found = F.lit(None).cast("string")
     for signature, name in reversed(MAGIC_FORMATS):
-        head = F.substring(F.hex(F.substring(magic, 1, 8)), 1, len(signature))
-        found = F.when(head == signature, name).otherwise(found)
+        head = F.substring(magic, 1, len(signature))
+        found = F.when(head == F.lit(signature), name).otherwise(found)
     return found
 
 

@@ -24,7 +24,7 @@ def natural_sort_key(text: Column) -> Column:
             r.rlike(r"^\d"),
             F.concat(
                 F.lit("0"),
-                F.lpad(F.length(F.ltrim(r, F.lit("0"))).cast("string"), 4, "0"),
+                F.lpad(F.length(F.ltrim(r, F.lit("0"))).cast("string"), 10, "0"),
                 F.ltrim(r, F.lit("0")),
             ),
         ).otherwise(F.concat(F.lit("1"), r)),

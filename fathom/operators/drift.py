@@ -12,10 +12,9 @@ from fathom.functions.attributes import MAPPED_FIELDS, normalize_name
 from fathom.functions.similarity import natural_sort_key, sorted_ratio, token_sorted
 from fathom.session import materialize
 
-# Likeness from which names are alike, matches kept per name, likeness of a
-# suggestion, and the two bounds of a flagged field.
+# Likeness from which names are alike, likeness of a suggestion, and the two
+# bounds of a flagged field.
 ALIKE = 80
-MATCHES_PER_NAME = 5
 SUGGESTION = 90
 FLAG_PRESENT_PCT = 20.0
 FLAG_POPULATED_PCT = 5.0
@@ -25,9 +24,24 @@ _TEXTS = "map<string,string>"
 
 
 def infer_json_schema(payloads: DataFrame, column: str = "metadata") -> DataFrame:
-    """One row: the merged schema of all payloads."""
-    return payloads.agg(
-        F.schema_of_variant_agg(F.parse_json(column)).alias("json_schema")
+    """The merged schema of all payloads: ``path, kind, n_rows, required``, a row per path and kind.
+
+    A path is required if it is there in every object that its parent is (for a path without
+    parent: in every payload that is an object). A table, since the number of paths follows
+    the names that occur.
+    """
+    counted = materialize(_path_counts(payloads, column))
+    there = counted.groupBy("path").agg(F.sum("n_rows").alias("n_there"))
+    holders = counted.filter(F.col("kind") == "object").groupBy(F.col("path").alias("parent")).agg(
+        F.sum("n_rows").alias("n_holders")
+    )
+    is_object = _json_kind(F.parse_json(column)) == "object"
+    payload_rows = payloads.agg(F.lit("").alias("parent"), F.count_if(is_object).alias("n_holders"))
+    holders = holders.unionByName(payload_rows)
+    return (
+        counted.join(there, "path")
+        .join(holders, "parent", "left")
+        .select("path", "kind", "n_rows", (F.col("n_there") == F.col("n_holders")).alias("required"))
     )
 
 
@@ -58,24 +72,29 @@ def _json_kind(value: Column) -> Column:
     )
 
 
-def payload_paths(payloads: DataFrame, column: str = "metadata") -> DataFrame:
-    """Every path of the payloads down to attributes, with value type and row count.
+#: Levels exploded in one pass: section, variable, attribute group, attribute.
+LEVELS = 4
 
-    Payloads are parsed once and object keys exploded level by level (section, variable,
-    attribute group, attribute); array elements have no key and are not paths. A node above
-    the last level is repeated for everything below it and counted where all deeper positions
-    are the first.
-    """
-    spark = payloads.sparkSession
-    levels = 4
-    rows = payloads.select(F.parse_json(column).alias("value_0"))
+
+def _walked(rows: DataFrame, levels: int) -> DataFrame:
+    """``rows`` (above, value_0) with their keys, positions and values ``levels`` down."""
+    tvf = rows.sparkSession.tvf
     for i in range(levels):
-        below = spark.tvf.variant_explode_outer(F.col(f"value_{i}").outer()).select(
+        below = tvf.variant_explode_outer(F.col(f"value_{i}").outer()).select(
             F.col("pos").alias(f"pos_{i + 1}"),
             F.col("key").alias(f"key_{i + 1}"),
             F.col("value").alias(f"value_{i + 1}"),
         )
         rows = rows.lateralJoin(below)
+    return rows
+
+
+def _path(levels: int) -> Column:
+    return F.concat_ws(".", "above", *[F.col(f"key_{j}") for j in range(1, levels + 1)])
+
+
+def _counted(walked: DataFrame, levels: int) -> DataFrame:
+    """``path, parent, kind, last, n_rows``; a node is counted where all deeper places are first."""
     nodes = []
     for i in range(1, levels + 1):
         keys = [F.col(f"key_{j}") for j in range(1, i + 1)]
@@ -90,20 +109,63 @@ def payload_paths(payloads: DataFrame, column: str = "metadata") -> DataFrame:
                 .when(F.col(f"pos_{i + 1}").isNotNull(), "array")
                 .otherwise(kind)
             )
-        node = F.struct(F.concat_ws(".", *keys).alias("path"), kind.alias("kind"))
+        node = F.struct(
+            _path(i).alias("path"), _path(i - 1).alias("parent"), kind.alias("kind"),
+            F.lit(i == levels).alias("last"),
+        )
         nodes.append(F.when(counts, node))
-    found = rows.select(F.inline(F.filter(F.array(*nodes), lambda n: n.isNotNull())))
-    return found.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n_rows"))
+    found = walked.select(F.inline(F.filter(F.array(*nodes), lambda n: n.isNotNull())))
+    return found.groupBy("path", "parent", "kind", "last").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _path_counts(payloads: DataFrame, column: str, levels: int = LEVELS) -> DataFrame:
+    """``path, parent, kind, n_rows`` of all levels; a further pass only where there are objects
+    below the last level of one."""
+    rows = payloads.select(F.lit(None).cast("string").alias("above"), F.parse_json(column).alias("value_0"))
+    total = None
+    while True:
+        walked = _walked(rows, levels)
+        part = materialize(_counted(walked, levels))
+        total = part if total is None else total.unionByName(part)
+        if part.filter(F.col("last") & (F.col("kind") == "object")).isEmpty():
+            return total.drop("last")
+        deeper = walked.filter(
+            F.col(f"key_{levels}").isNotNull() & (_json_kind(F.col(f"value_{levels}")) == "object")
+        )
+        rows = deeper.select(_path(levels).alias("above"), F.col(f"value_{levels}").alias("value_0"))
+
+
+def payload_paths(payloads: DataFrame, column: str = "metadata", levels: int = LEVELS) -> DataFrame:
+    """Every path of the payloads, with value type and row count, however deep it lies.
+
+    Payloads are parsed once and object keys exploded level by level; array elements have no
+    key and are not paths. ``levels`` is how many a pass takes, not a bound.
+    """
+    return _path_counts(payloads, column, levels).select("path", "kind", "n_rows")
+
+
+def _letters(text: Column) -> Column:
+    """Its letters as a set: each with the number of equal ones before it."""
+    ordered = F.array_sort(F.split(text, ""))
+    return F.transform(ordered, lambda c, i: F.concat(c, (i + 1 - F.array_position(ordered, c)).cast("string")))
+
+
+def likely(pairs: DataFrame, least: float) -> DataFrame:
+    """Pairs ``(short, long)`` with letters enough in common for a score of ``least``."""
+    both = F.size(F.array_intersect(_letters(F.col("short")), _letters(F.col("long"))))
+    total = F.length("short") + F.length("long")
+    return pairs.filter(2 * both >= least * total - 1e-9)
 
 
 def similar_pairs(names: DataFrame, cutoff: int = ALIKE, column: str = "attribute") -> DataFrame:
     """Pairs ``(a, b, score)`` of distinct names whose score reaches the cutoff.
 
-    No name is compared with all others. Two texts with few insertions and deletions between
-    them share a piece: if the shorter one is cut into one piece more than there may be
-    edits, some piece occurs unchanged in the longer one, not far from its place. Pieces and
-    the longer text's candidates meet in an equi-join on (length, piece number, piece text),
-    so only names with a common piece are scored. The rule loses no pair.
+    Two texts with few insertions and deletions between them share a piece: if the shorter one
+    is cut into one piece more than there may be edits, some piece occurs unchanged in the
+    longer one, not far from its place. Pieces and the longer text's candidates meet in an
+    equi-join on (length, piece number, piece text). At low cutoffs pieces are short and many
+    texts meet; of those only pairs with enough letters in common are scored, since a common
+    subsequence cannot be longer than that. Neither rule loses a pair.
     """
     distinct = names.select(column).distinct().withColumn("sorted", token_sorted(F.col(column)))
     distinct = materialize(distinct.filter(F.col("sorted") != ""))
@@ -184,8 +246,7 @@ def similar_pairs(names: DataFrame, cutoff: int = ALIKE, column: str = "attribut
     )
     met = pieces.join(offers, ["short_len", "edits", "piece", "text"])
     scored = (
-        met.select("short", "long")
-        .distinct()
+        likely(met.select("short", "long").distinct(), least)
         .withColumn("score", sorted_ratio("short", "long"))
         .filter(F.col("score") >= cutoff)
     )
@@ -204,13 +265,13 @@ def similar_pairs(names: DataFrame, cutoff: int = ALIKE, column: str = "attribut
 def attribute_clusters(
     names: DataFrame,
     cutoff: int = ALIKE,
-    limit: int | None = MATCHES_PER_NAME,
+    limit: int | None = None,
     column: str = "attribute",
 ) -> DataFrame:
     """Clusters of alike names as rows ``(leader, member)``.
 
     In natural order a name that no earlier leader took becomes a leader and takes its still
-    free matches (its ``limit`` best ones, itself included). The rule is applied in rounds:
+    free matches (with ``limit`` its best ones only, itself included). The rule is applied in rounds:
     a name is a leader once all earlier names matching it are known to be members, and a
     member once one of them is a leader. Each round is a join, and a round settles many names.
     """
@@ -234,7 +295,8 @@ def attribute_clusters(
         edges.filter(F.struct("place_a") < F.struct("place_b")).select("a", "b", "place_a")
     )
     state = distinct.select("name", F.lit(None).cast("string").alias("role"))
-    while True:
+    # Each round settles the first open name at least.
+    for _ in range(distinct.count() + 1):
         known = state.select(F.col("name").alias("a"), F.col("role").alias("role_a"))
         votes = (
             edges.join(known, "a")
@@ -252,6 +314,8 @@ def attribute_clusters(
         state = materialize(state.join(votes, "name", "left").select("name", role.alias("role")))
         if state.filter(F.col("role").isNull()).isEmpty():
             break
+    else:
+        raise RuntimeError("attribute_clusters: a round settled no name")
     leaders = state.filter(F.col("role") == "leader").select("name")
     taken = (
         edges.join(leaders, edges["a"] == leaders["name"])

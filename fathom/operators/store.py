@@ -1,17 +1,21 @@
 """Index tables: provisioning, upsert by hash, schema evolution, older states.
 
 A table is a folder of Parquet commits, ``<path>/commit_id=N[/facility=F]``. A write adds
-one commit; a reader keeps the latest row per identity hash. No file that a reader may be
-using is rewritten, a failed write leaves no visible file, and a repeated write of the same
-rows changes nothing a reader sees. That makes a re-run after a lost job safe without any
-table format on the cluster.
+one commit; a reader keeps the latest row per identity hash. Rows are written to a staging
+folder of their own, then a commit number is claimed by creating a file that must not exist,
+and the folder gets its name: of writers at the same time each gets a number, in the order of
+their claims. No file that a reader may be using is rewritten, a failed write leaves no visible
+file, and a repeated write of the same rows changes nothing a reader sees. The shared file
+system must create files exclusively and rename folders at once, as HDFS does.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +25,9 @@ from fathom.session import materialize
 
 COMMIT = "commit_id"
 
+#: Below a table, passed over by readers: numbers taken, and folders being written.
+CLAIMS, STAGING = "_claims", "_staging"
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
@@ -59,18 +66,39 @@ def provision(
         where, fs = _fs(spark, path)
         fs.delete(where, True)
     if not commits(spark, path):
-        _write_commit(spark.createDataFrame([], schema), path, 0, partition_by)
-
-
-def _write_commit(df: DataFrame, path: str, commit: int, partition_by: str | None) -> None:
+        _write_commit(spark.createDataFrame([], schema), path, partition_by)
+
+
+def _claim(spark: SparkSession, path: str) -> int:
+    """The next commit number, which no other writer has or will get."""
+    claims, fs = _fs(spark, f"{path}/{CLAIMS}")
+    fs.mkdirs(claims)
+    taken = [int(s.getPath().getName()) for s in fs.listStatus(claims) if s.getPath().getName().isdigit()]
+    number = max([*taken, *commits(spark, path)], default=-1) + 1
+    while True:
+        try:
+            fs.create(_fs(spark, f"{path}/{CLAIMS}/{number}")[0], False).close()
+            return number
+        except Py4JJavaError as error:
+            if "AlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            number += 1
+
+
+def _write_commit(df: DataFrame, path: str, partition_by: str | None) -> int:
     if partition_by is None:
         writer = df.write
     elif partition_by not in df.columns:
         raise ValueError(f"no such partition column: {partition_by}")
     else:
         writer = clustered(df, partition_by).write.partitionBy(partition_by)
-    writer = writer.mode("overwrite").option("compression", "zstd")
-    writer.parquet(f"{path}/{COMMIT}={commit}")
+    spark = df.sparkSession
+    staged, fs = _fs(spark, f"{path}/{STAGING}/{uuid.uuid4().hex}")
+    writer.option("compression", "zstd").parquet(staged.toString())
+    commit = _claim(spark, path)
+    if not fs.rename(staged, _fs(spark, f"{path}/{COMMIT}={commit}")[0]):
+        raise OSError(f"commit {commit} of {path} could not be named")
+    return commit
 
 
 def clustered(df: DataFrame, column: str) -> DataFrame:
@@ -92,17 +120,17 @@ def write(
 ) -> int:
     """Upsert ``rows`` as the next commit; of equal hashes in one write the last one stays.
 
-    The last one by ``order`` or, without it, in the order of the frame. ``unique`` says that
-    the caller knows the hashes to differ, which saves the shuffle.
+    The last one by ``order``, which must tell rows of one hash apart. ``unique`` says that the
+    caller knows the hashes to differ, which saves the shuffle; one of the two is needed, since
+    the order of a frame's rows may differ when a lost task runs again.
     """
     kept = rows
     if not unique:
-        place = F.monotonically_increasing_id() if order is None else order
-        kept = dedupe_last(rows.withColumn("_order", place), F.col("_order")).drop("_order")
+        if order is None:
+            raise ValueError("an order is needed unless hashes are unique")
+        kept = dedupe_last(rows.withColumn("_order", order), F.col("_order")).drop("_order")
     typed = kept if schema is None else conform(kept, schema)
-    commit = max(commits(rows.sparkSession, path), default=-1) + 1
-    _write_commit(typed, path, commit, partition_by)
-    return commit
+    return _write_commit(typed, path, partition_by)
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

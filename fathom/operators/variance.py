@@ -17,7 +17,6 @@ from fathom.session import materialize
 
 # How many schemas the overview shows and where their text is cut.
 TOP_SCHEMAS = 10
-SCHEMA_TEXT = 60
 # End of fixed values.
 
 _STRINGS = "array<string>"
@@ -143,16 +142,12 @@ def variance_summary(df: DataFrame, column: str = "variables") -> DataFrame:
 
 
 def top_schemas(df: DataFrame, column: str = "variables", n: int = TOP_SCHEMAS) -> DataFrame:
-    """The most frequent schemas with their text cut for display."""
-    text = F.col("schema")
-    shown = F.when(
-        F.length(text) > SCHEMA_TEXT, F.concat(F.substring(text, 1, SCHEMA_TEXT), F.lit("..."))
-    ).otherwise(text)
+    """The most frequent schemas, with their whole text."""
     return (
         prefix_counts(df, column)
         .orderBy(F.desc("n_files"), "schema")
         .limit(n)
-        .select("n_files", "n_prefixes", shown.alias("schema"))
+        .select("n_files", "n_prefixes", "schema")
     )
 
 

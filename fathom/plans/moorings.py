@@ -65,7 +65,7 @@ def prefix_summary(structured: DataFrame) -> DataFrame:
 def moorings(structured: DataFrame, root: str = MOORINGS) -> DataFrame:
     """Moorings files with sub-facility, category, processing level and real-time flag."""
     level = F.regexp_extract("file_version", LEVEL_PATTERN, 1).try_cast("int")
-    below_root = F.substring("key", len(root) + 1, 1 << 16)
+    below_root = F.substring("key", F.lit(len(root) + 1), F.length("key"))
     return (
         index_rows(structured)
         .filter(F.col("key").startswith(root))
@@ -165,7 +165,7 @@ def stale_products(ranges: DataFrame, products: DataFrame) -> DataFrame:
 
     def per_product(rows: DataFrame) -> DataFrame:
         return rows.groupBy("v_site", "product_data_end", "product_key").agg(
-            F.array_join(F.sort_array(F.collect_list("var")), ",").alias("vars"),
+            F.sort_array(F.collect_list("var")).alias("vars"),
             F.max("source_end").alias("source_data_end"),
         )
 

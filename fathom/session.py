@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,16 +31,61 @@ def build_session(app: str = "fathom", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str:
+#: Folder of the job that runs now, if it is one that clears up after itself.
+_JOB: ContextVar[str | None] = ContextVar("fathom_job", default=None)
+
+
+def _shared_root(spark: SparkSession) -> str:
+    root = spark.conf.get(CHECKPOINT_CONF, None)
+    if root:
+        return root.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
+    root = tempfile.mkdtemp(prefix="fathom-")  # a local run or a test: one machine
+    spark.conf.set(CHECKPOINT_CONF, root)
+    return root
+
+
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def shared_dir(spark: SparkSession, keep: bool = False) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
-    Only where the session names none (a local run or a test) is one made on this machine.
+    It goes with the job (``job_scratch``) or else with the application: results that are
+    still to be read stay readable. ``keep``: it stays.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="fathom-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    root = _shared_root(spark)
+    name = uuid.uuid4().hex
+    if keep:
+        return f"{root}/kept/{name}"
+    if _JOB.get():
+        return f"{_JOB.get()}/{name}"
+    application = f"{root}/{spark.sparkContext.applicationId}"
+    where, fs = _folder(spark, application)
+    if not fs.exists(where):
+        fs.mkdirs(where)
+        fs.deleteOnExit(where)
+    return f"{application}/{name}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[str]:
+    """What is written to shared folders inside is deleted at the end, failed or not.
+
+    For jobs whose results are written elsewhere or are plain numbers.
+    """
+    path = shared_dir(spark)
+    token = _JOB.set(path)
+    try:
+        yield path
+    finally:
+        _JOB.reset(token)
+        where, fs = _folder(spark, path)
+        fs.delete(where, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -49,12 +97,3 @@ def materialize(df: DataFrame) -> DataFrame:
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores when its input has fewer splits than cores; else unchanged.
-
-    For steps that cost much per row. Inputs of many files are never shuffled by this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

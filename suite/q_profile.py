@@ -108,11 +108,6 @@ def facility_counts(spark, sf_dir):
     return P.value_counts(V.inv_lines(spark, sf_dir), "facility")
 
 
-@query("infer_json_schema")
-def infer_json_schema(spark, sf_dir):
-    return R.infer_json_schema(unstructured(spark, sf_dir))
-
-
 ATTRIBUTES_SQL = f"""
     SELECT name AS attribute, count(*) AS n_files FROM attr_rows WHERE error IS NULL GROUP BY name"""
 
@@ -138,38 +133,127 @@ def _vocabulary(spark, sf_dir):
     return pages.unionAll(parts).distinct()
 
 
-@query("similar_attribute_pairs")
+# The same names in SQL.
+VOCABULARY_SQL = """
+    SELECT DISTINCT attribute FROM (
+      SELECT unnest(string_split_regex(regexp_replace(url, '^https?://', ''), '[/?&#]')) AS attribute
+      FROM pages
+      UNION ALL SELECT concat_ws('_', p_name, p_type) FROM part)"""
+
+
+def alike_sql(names: str, cutoff: int) -> str:
+    """Common table expressions up to ``alike`` (a, b, score): all pairs that score ``cutoff``.
+
+    Pairs with too few letters in common are left out first. The longest common subsequence
+    is the last number of a row that is carried over the letters of the second text.
+    """
+    return rf"""
+    vocabulary AS ({names}),
+    spelled AS (
+      SELECT attribute, array_to_string(list_sort(list_filter(
+               string_split_regex(lower(regexp_replace(attribute, '[^\p{{L}}\p{{N}}]', ' ', 'g')), '\s+'),
+               lambda w: w <> '')), ' ') AS t
+      FROM vocabulary),
+    texts AS (SELECT DISTINCT t, length(t) AS n FROM spelled WHERE t <> ''),
+    letters AS (
+      SELECT t, n, c, row_number() OVER (PARTITION BY t, c) AS nth
+      FROM (SELECT t, n, unnest(string_split(t, '')) AS c FROM texts)),
+    near AS (
+      SELECT x.t AS x, y.t AS y, any_value(x.n) + any_value(y.n) AS total
+      FROM letters x JOIN letters y ON x.c = y.c AND x.nth = y.nth AND x.t <= y.t
+      GROUP BY x.t, y.t HAVING 200 * count(*) >= {cutoff - 0.5} * (any_value(x.n) + any_value(y.n))),
+    subsequence AS (
+      SELECT x, y, total, list_reduce(
+        list_transform(string_split(y, ''), lambda c: list_transform(string_split(x, ''),
+                       lambda a: CASE WHEN a = c THEN 1::BIGINT ELSE 0::BIGINT END)),
+        lambda r, m: list_transform(range(1, len(m) + 1), lambda i: greatest(
+                       r[i], list_max(list_transform(range(1, i + 1), lambda j: coalesce(r[j - 1], 0) + m[j])))),
+        list_transform(string_split(x, ''), lambda a: 0::BIGINT))[-1] AS n
+      FROM near),
+    scored AS (
+      SELECT x, y, CAST(round_even(200.0::DOUBLE * n / total, 0) AS BIGINT) AS score FROM subsequence),
+    alike AS (
+      SELECT DISTINCT p.attribute AS a, q.attribute AS b, score
+      FROM (SELECT x, y, score FROM scored UNION SELECT y, x, score FROM scored) s
+      JOIN spelled p ON p.t = x JOIN spelled q ON q.t = y
+      WHERE score >= {cutoff} AND p.attribute <> q.attribute)"""
+
+
+@query("similar_attribute_pairs", f"WITH {alike_sql(VOCABULARY_SQL, 80)} SELECT a, b, score FROM alike")
 def similar_attribute_pairs(spark, sf_dir):
     return R.similar_pairs(_vocabulary(spark, sf_dir))
 
 
-@query("attribute_clusters")
+@query(
+    "attribute_clusters",
+    rf"""WITH RECURSIVE {alike_sql(VOCABULARY_SQL, 80)},
+        placed AS (
+          SELECT attribute AS name, row_number() OVER (ORDER BY list_transform(
+                   regexp_extract_all(lower(attribute), '\d+|\D+'),
+                   lambda r: CASE WHEN regexp_matches(r, '^\d')
+                     THEN '0' || lpad(CAST(length(ltrim(r, '0')) AS VARCHAR), 10, '0') || ltrim(r, '0')
+                     ELSE '1' || r END), attribute) AS place
+          FROM vocabulary),
+        earlier AS (
+          SELECT q.place, list(p.place) AS before, row_number() OVER (ORDER BY q.place) AS step
+          FROM alike JOIN placed p ON p.name = a JOIN placed q ON q.name = b
+          WHERE p.place < q.place GROUP BY q.place),
+        walk AS (
+          SELECT 0::BIGINT AS step, []::BIGINT[] AS members
+          UNION ALL
+          SELECT e.step, CASE WHEN len(list_filter(e.before, lambda x: NOT list_contains(w.members, x))) > 0
+                              THEN list_append(w.members, e.place) ELSE w.members END
+          FROM walk w JOIN earlier e ON e.step = w.step + 1),
+        done AS (SELECT members FROM walk ORDER BY step DESC LIMIT 1),
+        taken AS (
+          SELECT place, list_min(list_filter(before, lambda x: NOT list_contains(members, x))) AS by
+          FROM earlier, done WHERE list_contains(members, place))
+        SELECT l.name AS leader, m.name AS member
+        FROM placed m LEFT JOIN taken t ON t.place = m.place JOIN placed l ON l.place = coalesce(t.by, m.place)""",
+)
 def attribute_clusters(spark, sf_dir):
     return R.attribute_clusters(_vocabulary(spark, sf_dir))
 
 
-@query(
-    "payload_paths",
-    f"""WITH p AS ({UNSTRUCTURED_SQL}),
-        sections AS (SELECT e.key AS path, e.value AS v, e.type AS kind
-                     FROM p, json_each(CAST(p.metadata AS JSON)) e),
-        lower AS (SELECT s.path || '.' || e.key AS path, e.value AS v, e.type AS kind
-                  FROM sections s, json_each(s.v) e WHERE s.kind = 'OBJECT'),
-        deep AS (SELECT s.path || '.' || e.key AS path, e.value AS v, e.type AS kind
-                 FROM lower s, json_each(s.v) e WHERE s.kind = 'OBJECT'),
-        deepest AS (SELECT s.path || '.' || e.key AS path, e.value AS v, e.type AS kind
-                    FROM deep s, json_each(s.v) e WHERE s.kind = 'OBJECT'),
-        every AS (FROM sections UNION ALL FROM lower UNION ALL FROM deep UNION ALL FROM deepest)
-        SELECT path, CASE kind WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array'
-                       WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean'
-                       WHEN 'NULL' THEN 'null' WHEN 'UBIGINT' THEN 'integer'
-                       WHEN 'BIGINT' THEN 'integer' ELSE 'number' END AS kind, count(*) AS n_rows
-        FROM every GROUP BY ALL""",
-)
+# The payloads of the given tables are four levels deep.
+PATHS_SQL = f"""
+    p AS ({UNSTRUCTURED_SQL}),
+    sections AS (SELECT '' AS parent, e.key AS path, e.value AS v, e.type AS kind
+                 FROM p, json_each(CAST(p.metadata AS JSON)) e),
+    lower AS (SELECT s.path AS parent, s.path || '.' || e.key AS path, e.value AS v, e.type AS kind
+              FROM sections s, json_each(s.v) e WHERE s.kind = 'OBJECT'),
+    deep AS (SELECT s.path AS parent, s.path || '.' || e.key AS path, e.value AS v, e.type AS kind
+             FROM lower s, json_each(s.v) e WHERE s.kind = 'OBJECT'),
+    deepest AS (SELECT s.path AS parent, s.path || '.' || e.key AS path, e.value AS v, e.type AS kind
+                FROM deep s, json_each(s.v) e WHERE s.kind = 'OBJECT'),
+    every AS (FROM sections UNION ALL FROM lower UNION ALL FROM deep UNION ALL FROM deepest),
+    paths AS (
+      SELECT path, parent, CASE kind WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array'
+               WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean'
+               WHEN 'NULL' THEN 'null' WHEN 'UBIGINT' THEN 'integer'
+               WHEN 'BIGINT' THEN 'integer' ELSE 'number' END AS kind, count(*) AS n_rows
+      FROM every GROUP BY ALL)"""
+
+
+@query("payload_paths", f"WITH {PATHS_SQL} SELECT path, kind, n_rows FROM paths")
 def payload_paths(spark, sf_dir):
     return R.payload_paths(unstructured(spark, sf_dir))
 
 
+@query(
+    "infer_json_schema",
+    f"""WITH {PATHS_SQL}
+        SELECT path, kind, n_rows,
+               sum(n_rows) OVER (PARTITION BY path) =
+               CASE WHEN parent = '' THEN (SELECT count(*) FROM p)
+                    ELSE (SELECT sum(h.n_rows) FROM paths h WHERE h.path = x.parent AND h.kind = 'object')
+               END AS required
+        FROM paths x""",
+)
+def infer_json_schema(spark, sf_dir):
+    return R.infer_json_schema(unstructured(spark, sf_dir))
+
+
 @query(
     "facility_success",
     """WITH a AS (SELECT facility, count(*) AS n_inventory FROM hashed GROUP BY facility),
@@ -260,6 +344,16 @@ def mapping_flags(spark, sf_dir):
     return R.mapping_flags(_correctness(spark, sf_dir))
 
 
-@query("mapping_suggestions")
+@query(
+    "mapping_suggestions",
+    f"""WITH {alike_sql(f"SELECT attribute FROM ({ATTRIBUTES_SQL}) UNION SELECT a.alias FROM (SELECT unnest({_ALIASES}) AS a)", 90)},
+        known AS (SELECT a.field, a.alias FROM (SELECT unnest({_ALIASES}) AS a))
+        SELECT k.field, b AS key, score,
+               replace(replace(lower(b), '_', ''), '-', '') = replace(replace(lower(k.alias), '_', ''), '-', '')
+                 AS same_normalized
+        FROM alike JOIN known k ON k.alias = a
+        WHERE b IN (SELECT attribute FROM ({ATTRIBUTES_SQL}))
+          AND NOT EXISTS (FROM known o WHERE o.field = k.field AND o.alias = b)""",
+)
 def mapping_suggestions(spark, sf_dir):
     return R.mapping_suggestions(_names(spark, sf_dir))

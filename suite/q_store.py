@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +13,7 @@ from fathom.operators import extract as E
 from fathom.operators import store as S
 from fathom.operators.batches import greedy_batches
 from fathom.functions.identity import derive_facility
+from fathom.plans.index_pipeline import IndexTables, run_index
 from fathom.session import materialize, shared_dir
 from suite import views as V
 from suite.registry import query
@@ -65,8 +68,8 @@ def two_commits(spark, sf_dir, partition_by="facility"):
     path = shared_dir(spark)
     S.provision(spark, path, ENTRY, partition_by)
     rows = entries(spark, sf_dir)
-    S.write(path, first_half(rows), ENTRY, partition_by)
-    S.write(path, second_half(rows), ENTRY, partition_by)
+    S.write(path, first_half(rows), ENTRY, partition_by, unique=True)
+    S.write(path, second_half(rows), ENTRY, partition_by, unique=True)
     return path
 
 
@@ -83,7 +86,7 @@ def scan_as_of(spark, sf_dir):
 def provision_table(spark, sf_dir):
     path = shared_dir(spark)
     S.provision(spark, path, ENTRY, "facility")
-    S.write(path, entries(spark, sf_dir), ENTRY, "facility")
+    S.write(path, entries(spark, sf_dir), ENTRY, "facility", unique=True)
     S.provision(spark, path, ENTRY, "facility")  # a second call keeps the rows
     return S.read(spark, path, ENTRY).select("hash", "key", "size", "facility")
 
@@ -93,9 +96,9 @@ def provision_reset(spark, sf_dir):
     path = shared_dir(spark)
     rows = entries(spark, sf_dir)
     S.provision(spark, path, ENTRY, "facility")
-    S.write(path, first_half(rows), ENTRY, "facility")
+    S.write(path, first_half(rows), ENTRY, "facility", unique=True)
     S.provision(spark, path, ENTRY, "facility", reset=True)
-    S.write(path, second_half(rows), ENTRY, "facility")
+    S.write(path, second_half(rows), ENTRY, "facility", unique=True)
     return S.read(spark, path, ENTRY).select("hash", "key", "size", "facility")
 
 
@@ -106,7 +109,7 @@ def provision_reset(spark, sf_dir):
 )
 def partition_by_column(spark, sf_dir):
     path = shared_dir(spark)
-    S.write(path, entries(spark, sf_dir), ENTRY, "facility")
+    S.write(path, entries(spark, sf_dir), ENTRY, "facility", unique=True)
     folder = F.regexp_extract(F.col("_metadata.file_path"), "/(facility=[^/]+)/", 1)
     log = S.read_log(spark, path, ENTRY).withColumn("folder", folder)
     return log.groupBy("facility", "folder").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -122,8 +125,8 @@ def partition_by_column(spark, sf_dir):
 def evolve_schema(spark, sf_dir):
     path = shared_dir(spark)
     rows = entries(spark, sf_dir)
-    S.write(path, first_half(rows), ENTRY, "facility")
-    S.write(path, second_half(rows), ENTRY_V2, "facility")
+    S.write(path, first_half(rows), ENTRY, "facility", unique=True)
+    S.write(path, second_half(rows), ENTRY_V2, "facility", unique=True)
     return S.read(spark, path).select("hash", "size", "last_modified_date")
 
 
@@ -193,8 +196,8 @@ def sink_dead_letters(spark, sf_dir):
     bad = entries(spark, sf_dir).filter(F.col("version_id").isNull())
     rows = D.dead_letters(bad, "identity field is missing: version_id", "run-1")
     for _ in range(2):  # a repeated write changes nothing
-        D.sink_dead_letters(rows, lambda r: S.write(path, r, C.DEAD_LETTER))
-    D.sink_dead_letters(rows.filter("size < 0"), lambda r: S.write(path, r, C.DEAD_LETTER))
+        D.sink_dead_letters(rows, lambda r: S.write(path, r, C.DEAD_LETTER, order=F.col("error")))
+    D.sink_dead_letters(rows.filter("size < 0"), lambda r: S.write(path, r, C.DEAD_LETTER, order=F.col("error")))
     columns = ["hash", "key", "size", "error", "schema_version", "index_flow_id", "batch_flow_id"]
     return S.read(spark, path, C.DEAD_LETTER).select(*columns)
 
@@ -229,8 +232,8 @@ def split_load(spark, sf_dir):
     good, _ = D.split_results(materialize(E.extract(V.header(spark, sf_dir))))
     failed = D.split_load(
         good,
-        lambda rows: S.write(structured, rows, C.STRUCTURED, "facility"),
-        lambda rows: S.write(unstructured, rows, C.UNSTRUCTURED, "facility"),
+        lambda rows: S.write(structured, rows, C.STRUCTURED, "facility", unique=True),
+        lambda rows: S.write(unstructured, rows, C.UNSTRUCTURED, "facility", unique=True),
     )
     assert failed is None
     a = S.read(spark, structured, C.STRUCTURED).groupBy("facility")
@@ -240,6 +243,59 @@ def split_load(spark, sf_dir):
     )
 
 
+@query(
+    "index_run_repaired",
+    """SELECT CASE WHEN k % 37 = 0 THEN 'UNKNOWN' ELSE 'ANMN' END AS facility,
+              count(*) AS n_structured, count(*) AS n_unstructured, 0::BIGINT AS n_left
+       FROM header_state WHERE error IS NULL GROUP BY 1""",
+)
+def index_run_repaired(spark, sf_dir):
+    """A run whose second sink is down, then the same run again, then one with nothing to do."""
+    tables = IndexTables.below(shared_dir(spark))
+    header = V.header(spark, sf_dir)
+    inventory = header.select(*C.IDENTITY_FIELDS, "size")
+
+    def read(references):
+        return header.join(references.select(*C.IDENTITY_FIELDS), list(C.IDENTITY_FIELDS), "left_semi")
+
+    def write(path, *args, **options):
+        if path == tables.unstructured:
+            raise ConnectionError("sink is down")
+        return S.write(path, *args, **options)
+
+    first = run_index(inventory, tables, read, write=write)
+    assert first.n_indexed == 0 and first.n_dead_letters >= first.n_new
+    run_index(inventory, tables, read)
+    both = [
+        S.read(spark, path, schema).groupBy("facility").agg(F.count(F.lit(1)).alias(name))
+        for path, schema, name in (
+            (tables.structured, C.STRUCTURED, "n_structured"),
+            (tables.unstructured, C.UNSTRUCTURED, "n_unstructured"),
+        )
+    ]
+    seen = S.read(spark, tables.structured, C.STRUCTURED).join(tables.indexed(spark), list(C.IDENTITY_FIELDS), "left_anti")
+    left = seen.groupBy("facility").agg(F.count(F.lit(1)).alias("n_left"))
+    return both[0].join(both[1], "facility").join(left, "facility", "left").fillna(0, ["n_left"])
+
+
+@query(
+    "concurrent_commits",
+    """SELECT hash, CAST(1 + h AS INTEGER) AS writer
+       FROM (SELECT hash, ascii(substr(hash, 1, 1)) % 3 AS h FROM hashed)""",
+)
+def concurrent_commits(spark, sf_dir):
+    """Three writers at once, each with a part of the inventory; no commit is lost."""
+    path = shared_dir(spark)
+    part = F.ascii(F.substring("hash", 1, 1)) % 3
+    rows = entries(spark, sf_dir).select("hash", (part + 1).cast("int").alias("writer"))
+    schema = C.struct_type({"hash": str, "writer": int | None})
+    S.provision(spark, path, schema)
+    with ThreadPoolExecutor(3) as pool:
+        jobs = [pool.submit(S.write, path, rows.filter(part == i), schema, unique=True) for i in range(3)]
+    assert sorted(job.result() for job in jobs) == [1, 2, 3]
+    return S.read(spark, path, schema).select("hash", F.col("writer").cast("int").alias("writer"))
+
+
 @query(
     "load_failure_dead_letters",
     """SELECT hash, key, size, 'sink is down' AS error FROM header_state WHERE error IS NULL""",

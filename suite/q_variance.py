@@ -106,9 +106,7 @@ def variance_summary(spark, sf_dir):
 
 @query(
     "top_schemas",
-    f"""SELECT n_files, n_prefixes,
-               CASE WHEN length(schema) > 60 THEN substr(schema, 1, 60) || '...' ELSE schema END
-                 AS schema
+    f"""SELECT n_files, n_prefixes, schema
         FROM (SELECT schema, count(*) AS n_files, count(DISTINCT prefix) AS n_prefixes
               FROM {PREFIXED} GROUP BY schema ORDER BY n_files DESC, schema LIMIT 10)""",
 )

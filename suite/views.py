@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathom.functions.identity import derive_facility, object_hash
-from fathom.session import materialize, spread
+from fathom.session import materialize
 
 BUCKET = "corpus"
 
@@ -212,7 +212,7 @@ def header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The header table, written once per session as a reader's run would leave it."""
     place = (spark.sparkContext.applicationId, sf_dir)
     if place not in _STORED:
-        _STORED[place] = materialize(spread(_header_rows(spark, sf_dir)))
+        _STORED[place] = materialize(_header_rows(spark, sf_dir))
     return _STORED[place]
 
 

@@ -110,7 +110,9 @@ def test_payload_paths(spark):
         ("variables.T", "object"): 1, ("variables.T.attrs", "object"): 1,
         ("variables.T.dims", "array"): 1, ("variables.T.attrs.u", "number"): 1,
     }
-    assert "global_attrs" in R.infer_json_schema(df).first().json_schema
+    merged = {(r.path, r.kind): r.required for r in R.infer_json_schema(df).collect()}
+    assert merged.keys() == got.keys()
+    assert {p for (p, _), required in merged.items() if not required} == {"variables.T"}
     keys = [(r.attribute, r.n_files) for r in R.attribute_keys(df).collect()]
     assert keys == [("n", 2), ("title", 2)]
 
@@ -121,3 +123,30 @@ def test_suggestions(spark):
     assert got[("conventions", "conventionss")] is False
     assert got[("site_code", "Site_Code")] is True
     assert ("site_code", "site_code") not in got and ("conventions", "Conventions") not in got
+
+
+def test_deep_payload_paths(spark):
+    deep = '{"a":{"b":{"c":{"d":{"e":{"f":{"g":{"h":{"i":1}}}},"x":{}}}}}}'
+    df = spark.createDataFrame([(deep,), ('{"a":{"b":2}}',), ("[1]",)], "metadata string")
+    for levels in (1, 2, 4, 9):
+        got = {(r.path, r.kind): r.n_rows for r in R.payload_paths(df, levels=levels).collect()}
+        path = "a.b.c.d.e.f.g.h.i"
+        want = {(path[: 2 * i + 1], "object"): 1 for i in range(8)} | {("a", "object"): 2, (path, "integer"): 1}
+        assert got == want | {("a.b", "integer"): 1, ("a.b.c.d.x", "object"): 1}, levels
+    required = {r.path: r.required for r in R.infer_json_schema(df).collect()}
+    assert required["a"] and required["a.b"] and required["a.b.c"] and required[path]
+
+
+def test_few_pairs_are_scored(spark):
+    """The bound on common letters keeps most pairs from being scored, and loses none."""
+    from suite.q_profile import _vocabulary
+    from fathom.functions.similarity import sorted_ratio, token_sorted
+
+    names = _vocabulary(spark, "/root/testdata/sf0.001")
+    texts = names.select(token_sorted(F.col("attribute")).alias("t")).filter("t <> ''").distinct().limit(150)
+    a, b = texts.select(F.col("t").alias("short")), texts.select(F.col("t").alias("long"))
+    pairs = a.join(b, F.length("short") <= F.length("long"))
+    left = R.likely(pairs, 0.795)
+    alike = lambda df: {tuple(r) for r in df.withColumn("s", sorted_ratio("short", "long")).filter("s >= 80").select("short", "long").collect()}
+    assert alike(left) == alike(pairs)
+    assert left.count() < 0.05 * pairs.count()

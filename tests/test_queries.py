@@ -26,11 +26,7 @@ def test_query(spark, con, name):
 def test_contract(spark):
     assert entry.entry(spark).columns == ["bucket", "key", "version_id", "size"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    # Only what SQL cannot say, or can say only row by row, has no SQL.
-    assert set(QUERIES) - set(ORACLES) == {
-        "greedy_batches_lines", "infer_json_schema", "similar_attribute_pairs",
-        "attribute_clusters", "mapping_suggestions",
-    }
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_results_do_not_depend_on_partitioning(spark):
