@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.llm.common import arrow_rows, map_rows, table
+from fathom.llm.common import arrow_rows, map_rows, materialize, table
 
 #: Bounds of the training sample: documents of each label, and characters in all. Documents
 #: enter in the order of a hash of their id; the others are scored but not learnt from.
@@ -99,8 +99,8 @@ def fit(
     return theta
 
 
-def _sample(docs: DataFrame, labels: DataFrame, per_label: int, chars: int) -> DataFrame:
-    """Labelled documents to learn from: ``doc_id, label, text``."""
+def _sample(docs: DataFrame, labels: DataFrame, per_label: int, chars: int) -> tuple[DataFrame, dict[int, int]]:
+    """Labelled documents to learn from (``label, text``, a stored table), and their number by label."""
     spark = docs.sparkSession
     one = labels.groupBy("doc_id").agg(F.max("label").alias("label"))
     # At most twice ``per_label`` ids: a proven bound for what is sent around.
@@ -109,49 +109,87 @@ def _sample(docs: DataFrame, labels: DataFrame, per_label: int, chars: int) -> D
         for label in (0, 1)
         for r in one.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label).collect()
     ]
-    if not ids:
-        return spark.createDataFrame([], "doc_id bigint, label int, text string")
-    chosen = F.broadcast(spark.createDataFrame([(r.doc_id, int(r.label)) for r in ids], "doc_id bigint, label int"))
-    texts = docs.join(chosen, "doc_id").filter(F.col("text").isNotNull())
-    sizes = texts.groupBy("doc_id").agg(F.sum(F.length("text")).alias("n"), F.xxhash64("doc_id").alias("h"))
-    total, kept = 0, []
+    chosen = spark.createDataFrame([(r.doc_id, int(r.label)) for r in ids], "doc_id bigint, label int")
+    texts = materialize(docs.join(F.broadcast(chosen), "doc_id").filter(F.col("text").isNotNull()))
+    sizes = texts.groupBy("doc_id", "label").agg(
+        F.sum(F.length("text")).alias("n"), F.count(F.lit(1)).alias("rows"), F.xxhash64("doc_id").alias("h")
+    )
+    total, kept, by_label = 0, [], {0: 0, 1: 0}
     for r in sorted(sizes.collect(), key=lambda r: (r.h, r.doc_id)):
         total += r.n
         if total > chars and kept:
             break
         kept.append((r.doc_id,))
-    return texts.join(F.broadcast(spark.createDataFrame(kept or [], "doc_id bigint")), "doc_id", "left_semi")
+        by_label[r.label] += r.rows
+    kept = spark.createDataFrame(kept, "doc_id bigint")
+    return texts.join(F.broadcast(kept), "doc_id", "left_semi").select("label", "text"), by_label
 
 
-def _bags(sample: DataFrame) -> DataFrame:
-    """Per document: its label, the features of its sentences one after another, their counts."""
+def _vocabulary(sample: DataFrame, by_label: dict[int, int], most: int) -> np.ndarray:
+    """Features that documents of one label show more often than those of the other, sorted.
 
-    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    Counted by Spark; at most ``most`` of them, those of the clearest difference, come here.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[int]] = {}
+        for batch in batches:
+            shown = []
+            for text in batch.column(1):
+                found: set[int] = set()
+                for word in set(_WORDS.findall(text.as_py().lower())):
+                    f = known.get(word)
+                    if f is None:
+                        f = known[word] = features(word)
+                    found.update(f)
+                shown.append(np.fromiter(found, np.int64, len(found)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(shown, pa.list_(pa.int64()))], names=["label", "features"]
+            )
 
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+    each = arrow_rows(sample).mapInArrow(run, "label int, features array<bigint>")
+    counts = each.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(
+        F.sum(F.when(F.col("label") == 1, 1.0).otherwise(0.0)).alias("a"),
+        F.sum(F.when(F.col("label") == 0, 1.0).otherwise(0.0)).alias("b"),
+    )
+    odds, error = F.lit(0.0), F.lit(0.0)
+    for name, label, sign in (("a", 1, 1.0), ("b", 0, -1.0)):
+        there, away = F.col(name) + 0.5, by_label[label] + 0.5 - F.col(name)
+        odds = odds + sign * F.log(there / away)
+        error = error + 1 / there + 1 / away
+    signal = F.abs(odds) / F.sqrt(error)
+    clear = counts.filter(F.greatest("a", "b") >= LEAST_DOCS).select("feature", signal.alias("signal"))
+    rows = clear.filter("signal > 2").orderBy(F.desc("signal"), "feature").limit(most).collect()
+    return np.array(sorted(r.feature for r in rows), dtype=np.int64)
+
+
+def _bags(sample: DataFrame, vocabulary: np.ndarray) -> DataFrame:
+    """Per document: its label, places in the vocabulary of the features of its sentences one
+    after another, and how many each sentence has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {f: i for i, f in enumerate(vocabulary.tolist())}
+        known: dict[str, list[int]] = {}
+        for batch in batches:
             flat, sizes = [], []
             for text in batch.column(1):
                 found, counts = [], []
                 for m in _SENTENCE.finditer(text.as_py().lower()):
-                    n = 0
-                    for word in set(_WORDS.findall(m[0])):
+                    n = len(found)
+                    for word in sorted(set(_WORDS.findall(m[0]))):
                         f = known.get(word)
                         if f is None:
-                            f = known[word] = features(word)
+                            f = known[word] = [place[x] for x in features(word) if x in place]
                         found += f
-                        n += len(f)
-                    counts.append(n)
+                    counts.append(len(found) - n)
                 flat.append(np.array(found, "<u4").tobytes())
                 sizes.append(np.array(counts, "<u4").tobytes())
-            return pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int32()), pa.array(flat, pa.binary()), pa.array(sizes, pa.binary())],
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(flat, pa.binary()), pa.array(sizes, pa.binary())],
                 names=["label", "features", "sizes"],
             )
 
-        return step
-
-    return map_rows(sample.select("label", "text"), make, "label int, features binary, sizes binary")
+    return arrow_rows(sample).mapInArrow(run, "label int, features binary, sizes binary")
 
 
 def train(
@@ -164,50 +202,28 @@ def train(
     """Model from ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0 or 1).
 
     Other labels and documents without a label or text are not learnt from. With no document
-    of one of the labels the model knows no word and scores everything near 0.
+    of one of the labels the model knows no word and scores everything near 0. The driver holds
+    the vocabulary and, of the sample, the places of known features.
     """
     labels = labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
-    bags = _bags(arrow_rows(_sample(docs.select("doc_id", "text"), labels, per_label, chars)))
-    label, flat, sizes = [], [], []
-    for row in bags.toLocalIterator(prefetchPartitions=True):
-        label.append(row.label)
-        flat.append(np.frombuffer(row.features, "<u4"))
-        sizes.append(np.frombuffer(row.sizes, "<u4").astype(np.int64))
-    y = np.array(label)
-    if not len(y) or y.min() == y.max():
+    sample, by_label = _sample(docs.select("doc_id", "text"), labels, per_label, chars)
+    if not by_label[0] or not by_label[1]:
         return Model({}, SILENT)
-    # Rows arrive in the order of the input's partitions, which may differ between runs.
-    order = sorted(range(len(y)), key=lambda i: (label[i], len(flat[i]), zlib.crc32(flat[i].tobytes())))
-    y, flat, sizes = y[order], [flat[i] for i in order], [sizes[i] for i in order]
-
-    shown = [np.unique(f) for f in flat]
-    names = np.unique(np.concatenate(shown))
-    in_docs = [
-        np.bincount(np.searchsorted(names, np.concatenate([s for s, k in zip(shown, y) if k == label])), minlength=len(names))
-        for label in (0, 1)
-    ]
-    n = [int((y == label).sum()) for label in (0, 1)]
-    odds = [np.log((d + 0.5) / (size - d + 0.5)) for d, size in zip(in_docs, n)]
-    error = np.sqrt(sum(1 / (d + 0.5) + 1 / (size - d + 0.5) for d, size in zip(in_docs, n)))
-    signal = np.abs(odds[1] - odds[0]) / error
-    signal[np.maximum(*in_docs) < LEAST_DOCS] = 0.0
-    chosen = np.sort(np.argsort(-signal, kind="stable")[:max_features])
-    chosen = chosen[signal[chosen] > 2.0]
-    if not len(chosen):
+    vocabulary = _vocabulary(sample, by_label, max_features)
+    if not len(vocabulary):
         return Model({}, SILENT)
-    kept = names[chosen]
-
+    # Rows arrive in the order of the sample's files, which may differ between runs.
+    bags = sorted((r.label, bytes(r.features), bytes(r.sizes)) for r in _bags(sample, vocabulary).toLocalIterator())
     rows, cols, doc_of_row, first = [], [], [], 0
-    for doc, (f, s) in enumerate(zip(flat, sizes)):
-        at = np.searchsorted(kept, f)
-        at[at == len(kept)] = 0
-        hit = np.flatnonzero(kept[at] == f)
-        rows.append(np.repeat(np.arange(len(s)), s)[hit] + first)
-        cols.append(at[hit])
-        doc_of_row.append(np.full(len(s), doc))
-        first += len(s)
-    weights = fit(np.concatenate(rows), np.concatenate(cols), np.concatenate(doc_of_row), y, len(kept))
-    return Model(dict(zip(kept.tolist(), weights.tolist())), SILENT)
+    for doc, (_, flat, sizes) in enumerate(bags):
+        counts = np.frombuffer(sizes, "<u4")
+        rows.append(np.repeat(np.arange(first, first + len(counts), dtype=np.int32), counts))
+        cols.append(np.frombuffer(flat, "<u4").astype(np.int32))
+        doc_of_row.append(np.full(len(counts), doc, dtype=np.int32))
+        first += len(counts)
+    y = np.array([label for label, _, _ in bags])
+    weights = fit(np.concatenate(rows), np.concatenate(cols), np.concatenate(doc_of_row), y, len(vocabulary))
+    return Model(dict(zip(vocabulary.tolist(), weights.tolist())), SILENT)
 
 
 def sentence_scores(text: str, model: Model) -> list[tuple[int, int, float]]:
