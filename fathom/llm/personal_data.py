@@ -183,7 +183,8 @@ def disclosing_terms(
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))
     # Counted in each task before anything is joined: the rows of a word are never brought together.
     of_term = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    of_term = join_keys(of_term, wanted, "term", "left_semi")
+    # An inner join: a semi-join would be pushed below the count.
+    of_term = join_keys(of_term, wanted, "term", "inner")
     counted = together.join(of_term, "term").join(of_entity, "entity")
     own = F.log(n_docs / F.col("n_e"))
     # A term can stand next to an entity more often than the plain word count sees it.
