@@ -7,6 +7,9 @@ and the folder gets its name: of writers at the same time each gets a number, in
 their claims. No file that a reader may be using is rewritten, a failed write leaves no visible
 file, and a repeated write of the same rows changes nothing a reader sees. The shared file
 system must create files exclusively and rename folders at once, as HDFS does.
+
+``compact`` writes the state after the last commit to ``<path>/compacted/commit_id=N``; readers
+start there and add the commits after N, so the log that a read resolves stays short.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ COMMIT = "commit_id"
 
 #: Below a table, passed over by readers: numbers taken, and folders being written.
 CLAIMS, STAGING = "_claims", "_staging"
+COMPACTED = "compacted"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -85,16 +89,23 @@ def _claim(spark: SparkSession, path: str) -> int:
             number += 1
 
 
-def _write_commit(df: DataFrame, path: str, partition_by: str | None) -> int:
+def _stage(df: DataFrame, path: str, partition_by: str | None):
+    """Rows of a future commit in a folder that no reader looks at; the folder."""
     if partition_by is None:
         writer = df.write
     elif partition_by not in df.columns:
         raise ValueError(f"no such partition column: {partition_by}")
     else:
         writer = clustered(df, partition_by).write.partitionBy(partition_by)
-    spark = df.sparkSession
-    staged, fs = _fs(spark, f"{path}/{STAGING}/{uuid.uuid4().hex}")
+    staged, _ = _fs(df.sparkSession, f"{path}/{STAGING}/{uuid.uuid4().hex}")
     writer.option("compression", "zstd").parquet(staged.toString())
+    return staged
+
+
+def _write_commit(df: DataFrame, path: str, partition_by: str | None) -> int:
+    spark = df.sparkSession
+    staged = _stage(df, path, partition_by)
+    _, fs = _fs(spark, path)
     commit = _claim(spark, path)
     if not fs.rename(staged, _fs(spark, f"{path}/{COMMIT}={commit}")[0]):
         raise OSError(f"commit {commit} of {path} could not be named")
@@ -133,22 +144,50 @@ def write(
     return _write_commit(typed, path, partition_by)
 
 
-def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Every row of every finished commit.
+def compact(spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None) -> int:
+    """Write the state after the last commit in one piece; the number of that commit.
+
+    The commits themselves stay, for readers of older states and for those that read now.
+    Writers are not held up: their commits are later ones. A second call changes nothing.
+    """
+    last = max(commits(spark, path))
+    if last not in commits(spark, f"{path}/{COMPACTED}"):
+        staged = _stage(read(spark, path, schema, snapshot=last), path, partition_by)
+        place, fs = _fs(spark, f"{path}/{COMPACTED}/{COMMIT}={last}")
+        fs.mkdirs(place.getParent())
+        if not fs.rename(staged, place):
+            raise OSError(f"compaction of {path} could not be named")
+    return last
+
+
+def read_log(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, snapshot: int | None = None
+) -> DataFrame:
+    """Every row of the newest compaction and of the finished commits after it.
 
     With ``schema``, columns a commit lacks read as null and no file footer is opened to
-    find the columns; without it they are merged by name from the files.
+    find the columns; without it they are merged by name from the files. ``snapshot`` leaves
+    out what is later than that commit.
     """
-    done = commits(spark, path)
+    done = [n for n in commits(spark, path) if snapshot is None or n <= snapshot]
     if not done:
         raise ValueError(f"table is not provisioned: {path}")
-    reader = spark.read.option("basePath", path)
-    if schema is None:
-        reader = reader.option("mergeSchema", "true")
-    else:
-        optional = [T.StructField(f.name, f.dataType) for f in schema]
-        reader = reader.schema(T.StructType([*optional, T.StructField(COMMIT, T.IntegerType())]))
-    return reader.parquet(*[f"{path}/{COMMIT}={n}" for n in done])
+    base = max([n for n in commits(spark, f"{path}/{COMPACTED}") if n in done], default=None)
+    later = [f"{path}/{COMMIT}={n}" for n in done if base is None or n > base]
+    parts = [(path, later)] if later else []
+    if base is not None:
+        parts.insert(0, (f"{path}/{COMPACTED}", [f"{path}/{COMPACTED}/{COMMIT}={base}"]))
+    log = None
+    for root, folders in parts:
+        reader = spark.read.option("basePath", root)
+        if schema is None:
+            reader = reader.option("mergeSchema", "true")
+        else:
+            optional = [T.StructField(f.name, f.dataType) for f in schema]
+            reader = reader.schema(T.StructType([*optional, T.StructField(COMMIT, T.IntegerType())]))
+        rows = reader.parquet(*folders)
+        log = rows if log is None else log.unionByName(rows, allowMissingColumns=True)
+    return log
 
 
 def read(
@@ -163,10 +202,8 @@ def read(
     ``where`` is applied before rows are resolved, so it can skip folders. It must depend on
     the identity only (as the facility does), else it could bring back replaced rows.
     """
-    log = read_log(spark, path, schema)
-    log = log if where is None else log.filter(where)
-    state = current(log if snapshot is None else log.filter(F.col(COMMIT) <= snapshot))
-    state = state.drop(COMMIT)
+    log = read_log(spark, path, schema, snapshot)
+    state = current(log if where is None else log.filter(where)).drop(COMMIT)
     return state if schema is None else state.select(*schema.names)
 
 

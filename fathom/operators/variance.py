@@ -15,33 +15,77 @@ from fathom.functions.identity import dir_prefix
 from fathom.operators.ranking import with_position
 from fathom.session import materialize
 
-# How many schemas the overview shows and where their text is cut.
+# Fixed value: how many schemas the overview shows.
 TOP_SCHEMAS = 10
 # End of fixed values.
 
-_STRINGS = "array<string>"
+_ITEM = r"""'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+\""""
+_TOKEN = r"\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|(?s:\\.)|[^\\]+"
+_ESCAPES = (("n", "\n"), ("r", "\r"), ("t", "\t"), ("a", "\a"), ("b", "\b"), ("f", "\f"), ("v", "\v"), ("0", "\0"))
 
 
 def variable_list(df: DataFrame, column: str = "variables") -> Column:
     """Sorted variable names of an array, a map, or the text form of a list.
 
-    List text is read as JSON after its quotes are changed; it is never evaluated.
+    List text is read as Python writes lists of text, with either quote and its escapes; it is
+    never evaluated. Text that is no such list is null, see ``unreadable_lists``.
     """
     kind = df.schema[column].dataType
     if isinstance(kind, T.MapType):
         names = F.map_keys(column)
     elif isinstance(kind, T.StringType):
-        names = F.from_json(F.translate(F.col(column), "'", '"'), _STRINGS)
+        names = read_list(F.col(column))
     else:
         names = F.col(column)
     return F.sort_array(names)
 
 
-def schema_text(names: Column) -> Column:
-    """List text of sorted names: the schema's key, free of the order in the file."""
-    return F.when(F.size(names) == 0, "[]").otherwise(
-        F.concat(F.lit("['"), F.array_join(names, "', '"), F.lit("']"))
+def _character(token: Column) -> Column:
+    """What a token of a quoted text stands for: itself, or the character of an escape."""
+    code = F.lpad(F.substring(token, F.lit(3), F.length(token)), 8, "0")
+    out = F.when(F.left(token, F.lit(1)) != "\\", token)
+    for name, character in _ESCAPES:
+        out = out.when(token == "\\" + name, character)
+    out = out.when(token.rlike(r"^\\[xuU]"), F.decode(F.unhex(code), "UTF-32"))
+    return out.otherwise(F.substring(token, F.lit(2), F.length(token)))
+
+
+def read_list(text: Column) -> Column:
+    """Items of a Python list of texts; null for anything else."""
+    items = F.regexp_extract_all(text, F.lit(_ITEM), F.lit(0))
+    read = F.transform(
+        items,
+        lambda i: F.array_join(
+            F.transform(
+                F.regexp_extract_all(F.substring(i, F.lit(2), F.length(i) - 2), F.lit(_TOKEN), F.lit(0)), _character
+            ),
+            "",
+        ),
     )
+    return F.when(text.rlike(rf"^\s*\[\s*(?:(?:{_ITEM})\s*(?:,\s*(?:{_ITEM})\s*)*+,?\s*)?\]\s*$"), read)
+
+
+def unreadable_lists(df: DataFrame, column: str = "variables") -> DataFrame:
+    """Rows whose list text cannot be read: they have no schema, and are none the less files."""
+    return df.filter(F.col(column).isNotNull() & variable_list(df, column).isNull())
+
+
+def _quoted(name: Column) -> Column:
+    """``name`` as Python writes it: double quotes only if it holds single ones alone."""
+    double = F.contains(name, F.lit("'")) & ~F.contains(name, F.lit('"'))
+    body = F.replace(name, F.lit("\\"), F.lit("\\\\"))
+    for character, escape in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        body = F.replace(body, F.lit(character), F.lit(escape))
+    single = F.concat(F.lit("'"), F.replace(body, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(double, F.concat(F.lit('"'), body, F.lit('"'))).otherwise(single)
+
+
+def schema_text(names: Column) -> Column:
+    """List text of sorted names: the schema's key, free of the order in the file.
+
+    Different lists have different texts, whatever quotes the names hold.
+    """
+    return F.concat(F.lit("["), F.array_join(F.transform(names, _quoted), ", "), F.lit("]"))
 
 
 def with_schema(df: DataFrame, column: str = "variables") -> DataFrame:

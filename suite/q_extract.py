@@ -266,29 +266,57 @@ def partition_results(spark, sf_dir):
     )
 
 
+# Columns that may not be null, by table.
+_REQUIRED = {
+    "structured": ("bucket", "key", "version_id", "hash", "file_format", "facility", "schema_version"),
+    "unstructured": ("bucket", "key", "version_id", "hash", "file_format", "facility", "schema_version", "metadata"),
+    "dead_letter": ("schema_version", "bucket", "key", "hash"),
+}
+# How many rows lack a value, and how many have an empty one.
+_HOLES = {
+    "bucket": ("0", "count(*) FILTER (key LIKE 'IMOS/SOOP/%')"),
+    "key": ("count(*) FILTER (size <= 65536000 OR size IS NULL)", "0"),
+    "version_id": ("count(*) FILTER (version_id IS NULL)", "0"),
+    "hash": ("count(*) FILTER (version_id IS NULL)", "0"),
+    "file_format": ("count(*) FILTER (size % 3 = 1)", "count(*) FILTER (size % 3 = 2)"),
+}
+
+
 @query(
     "required_nulls",
-    """SELECT 'dead_letter' AS table_name, c.name AS column_name, n_rows, c.n_null, c.n_empty
-       FROM (SELECT count(*) AS n_rows, unnest([
-               {'name': 'schema_version', 'n_null': CAST(0 AS BIGINT), 'n_empty': CAST(0 AS BIGINT)},
-               {'name': 'bucket', 'n_null': count(*) FILTER (bucket IS NULL),
-                'n_empty': count(*) FILTER (bucket = '')},
-               {'name': 'key', 'n_null': count(*) FILTER (key IS NULL),
-                'n_empty': count(*) FILTER (key = '')},
-               {'name': 'hash', 'n_null': count(*) FILTER (version_id IS NULL),
-                'n_empty': CAST(0 AS BIGINT)}]) AS c
-             FROM (SELECT CASE WHEN key LIKE 'IMOS/SOOP/%' THEN '' ELSE bucket END AS bucket,
-                          CASE WHEN size > 65536000 THEN key END AS key, version_id FROM inv))""",
+    "SELECT table_name, c.column_name, n_rows, c.n_null, c.n_empty FROM (SELECT n_rows, unnest(cells) AS c, table_name FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, count(*) AS n_rows, ["
+        + ", ".join(
+            f"{{'column_name': '{c}', 'n_null': CAST({_HOLES.get(c, ('0', '0'))[0]} AS BIGINT),"
+            f" 'n_empty': CAST({_HOLES.get(c, ('0', '0'))[1]} AS BIGINT)}}"
+            for c in columns
+        )
+        + "] AS cells FROM inv"
+        for table, columns in _REQUIRED.items()
+    )
+    + "))",
 )
 def required_nulls(spark, sf_dir):
-    """Dead letters with holes: emptied buckets, dropped keys, hashes only with a version."""
+    """All three tables with holes: emptied buckets, dropped keys, hashes only with a version."""
+    versioned = F.col("version_id").isNotNull()
     rows = V.inv(spark, sf_dir).select(
         F.lit(4).alias("schema_version"),
         F.when(F.col("key").startswith("IMOS/SOOP/"), "").otherwise(F.col("bucket")).alias("bucket"),
         F.when(F.col("size") > 65536000, F.col("key")).alias("key"),
-        F.when(F.col("version_id").isNotNull(), V.identity_hash()).alias("hash"),
+        F.when(versioned, F.col("version_id")).alias("version_id"),
+        F.when(versioned, V.identity_hash()).alias("hash"),
+        F.when(F.col("size") % 3 == 1, F.lit(None)).when(F.col("size") % 3 == 2, "").otherwise("NETCDF4").alias("file_format"),
+        F.lit("ANMN").alias("facility"),
+        F.lit("{}").alias("metadata"),
     )
-    return C.required_nulls(rows, C.DEAD_LETTER, "dead_letter")
+    parts = [
+        C.required_nulls(rows, schema, table)
+        for table, schema in (
+            ("structured", C.STRUCTURED), ("unstructured", C.UNSTRUCTURED), ("dead_letter", C.DEAD_LETTER)
+        )
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query(

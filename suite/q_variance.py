@@ -16,12 +16,28 @@ def rows(spark, sf_dir):
     )
 
 
-@query("normalized_schema", "SELECT key, schema FROM variance_rows")
+#: Names with one kind of quote, the other, both, a backslash, and a list's own marks.
+ODD_NAMES = ("it's", 'say "x"', "both ' and \"", "back\\slash", "a', 'b", "[,]")
+_ODD_SQL = ", ".join("'" + name.replace("'", "''") + "'" for name in ODD_NAMES)
+
+
+@query(
+    "normalized_schema",
+    rf"""SELECT key, '[' || array_to_string(list_transform(
+                  list_sort(CASE WHEN len(names) % 2 = 0 THEN list_concat(names, [{_ODD_SQL}]) ELSE names END),
+                  lambda n: CASE WHEN contains(n, '''') AND NOT contains(n, '"')
+                            THEN '"' || replace(n, '\', '\\') || '"'
+                            ELSE '''' || replace(replace(n, '\', '\\'), '''', '\''') || '''' END), ', ')
+                || ']' AS schema
+        FROM variance_rows""",
+)
 def normalized_schema(spark, sf_dir):
-    """From list text in file order, as older tables hold it."""
+    """From list text in file order, as older tables hold it; every other file has odd names too."""
     listed = rows(spark, sf_dir).filter(F.col("variables").isNotNull())
-    reverse = F.reverse(F.map_keys("variables"))
-    listed = listed.withColumn("variables", X.schema_text(reverse))
+    names = F.reverse(F.map_keys("variables"))
+    odd = F.array(*[F.lit(name) for name in ODD_NAMES])
+    names = F.when(F.size(names) % 2 == 0, F.concat(names, odd)).otherwise(names)
+    listed = listed.withColumn("variables", X.schema_text(names))
     return X.with_schema(listed).select("key", "schema")
 
 

@@ -72,3 +72,23 @@ def test_variable_contains(spark):
     df = spark.createDataFrame(rows, "key string, variables map<string,string>")
     assert [r.key for r in X.variable_contains(df, "TEMP").collect()] == ["k1"]
     assert [r.key for r in X.variable_contains(df, "TEMP", part=True).collect()] == ["k1", "k2"]
+
+
+ODD = [["it's", "B"], ['say "x"', "y"], ["both ' and \"", "back\\slash"], ["a', 'b"], ["a", "b"], ["tab\t", "line\n"], [],
+       ["café", "\u200b", "\x07", "\U0001f30a", "\U000e0001"], ["[", "]", ",", ", "], ['"', "'"], ["\\'", "x\\"]]
+
+
+def test_list_text_is_read_as_python_writes_it(spark):
+    bad = ["", "[", "['a'", "[a]", "['a' 'b']", "['a',, 'b']", "('a',)", "{'a'}", "['a']x", "[1]"]
+    odd = [("  [ 'a' ,\"b\", ] ", ["a", "b"])]
+    rows = [(i, repr(v), v) for i, v in enumerate(ODD)] + [(100 + i, t, None) for i, t in enumerate(bad)]
+    rows += [(200 + i, t, v) for i, (t, v) in enumerate(odd)]
+    df = spark.createDataFrame(rows, "n int, variables string, want array<string>")
+    for r in df.withColumn("got", X.variable_list(df)).collect():
+        assert r.got == (None if r.want is None else sorted(r.want, key=lambda x: x.encode())), r.variables
+    assert {r.variables for r in X.unreadable_lists(df).collect()} == set(bad)
+    texts = [r.schema for r in X.with_schema(df).filter("n < 100").collect()]
+    assert len(set(texts)) == len(ODD)
+    import ast
+
+    assert all(ast.literal_eval(t) == sorted(ast.literal_eval(t), key=lambda x: x.encode()) for t in texts)
