@@ -222,7 +222,7 @@ def locate_records(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataF
                 )
 
     # One archive to a task: a directory is small beside what it describes.
-    return arrow_rows(manifest.select("archive").repartition(F.col("archive")), 64).mapInArrow(run, RANGES)
+    return arrow_rows(manifest.select("archive").repartition(F.col("archive"))).mapInArrow(run, RANGES)
 
 
 def _checked(raw: bytes, with_payload: bool) -> dict:
@@ -269,7 +269,7 @@ def read_records(ranges: DataFrame, with_payload: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema=_READ_TYPES)
 
     spread = ranges.repartition(F.col("archive"), F.col("start"))
-    return arrow_rows(spread, 64).mapInArrow(run, READ)
+    return arrow_rows(spread).mapInArrow(run, READ)
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
