@@ -4,11 +4,15 @@ Masking an e-mail address is not enough if the words around it occur nowhere els
 whole corpus, the co-occurrence of a term and an entity gives their pointwise mutual
 information; its share of the entity's own information is how much the term discloses:
 
-    PMI(e; t) = log(N n_te / (n_e n_t)),  IC(e) = log(N / n_e),  disclosure = PMI / IC
-
-with N documents, n_e of them with the entity, n_t with the term, n_te with the term next to
-the entity. Terms next to an entity that disclose ``GENERALISE`` of it or more are generalised,
-from ``REMOVE`` on they are removed. All of it is DataFrame functions.
+    PMI(e; t) = log(N n_te / (n_e n_t)),  IC(e) = log(N / n_e),
+    disclosure = PMI / IC (1 - 2^-c)
+
+with N documents, n_e of them with the entity, n_t with the term, n_te with both, in c different
+contexts: the last factor smooths the estimate, so a coincidence of one context stays at a half.
+Most entities stand in one document only; for them the evidence is that of what they belong to:
+mail domain, IP network, card issuer, block of phone numbers. Terms anywhere in a document with
+an entity that disclose ``GENERALISE`` of it or more are generalised, from ``REMOVE`` on they
+are removed. All of it is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -34,14 +38,14 @@ PATTERNS = {
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _MARK = {"email": "@", "phone": "+"}
 
-#: Characters on either side of an entity in which terms are taken, and what a term is: a word
-#: of three letters or more that stands alone but for punctuation (so never part of an address).
+#: Characters on either side of an entity that are its context, and what a term is: a word of
+#: three letters or more that stands alone but for punctuation (so never part of an address).
 REACH = 80
 _TERM = r"""(?<![^\s("'\[])\p{L}{3,}(?=[.,;:!?)"'\]]*(?:\s|$))"""
 
-#: Different contexts in which a term must stand next to an entity, and the disclosure from
-#: which it is generalised or removed.
-LEAST_CONTEXTS = 3
+#: Different contexts in which a term must stand with an entity, and the disclosure from which
+#: it is generalised or removed.
+LEAST_CONTEXTS = 1
 GENERALISE, REMOVE = 0.7, 0.95
 
 _BLOCK = 64
@@ -128,68 +132,81 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.withColumns({kind: _entities(F.coalesce("text", F.lit("")), kind) for kind in KINDS})
 
 
-def _terms(found: DataFrame) -> DataFrame:
-    """``key, entity, context, term, start, stop``: the terms next to each entity."""
-    each = None
-    for kind in KINDS:
-        one = found.select("key", F.explode(kind).alias("s")).select(
-            "key", F.concat_ws(":", F.lit(kind), "s.value").alias("entity"), "s.start", "s.stop", "s.before", "s.after"
-        )
-        each = one if each is None else each.unionByName(one)
-    context = F.xxhash64("before", "after").alias("context")
-
-    def words(side: str, from_: Column) -> Column:
-        return _placed(
-            F.col(side), _TERM,
-            lambda at, v, before, after: F.struct(
-                F.lower(v).alias("term"), (from_ + at).alias("start"), (from_ + at + F.length(v)).alias("stop"),
-                # A word at the edge of a full window may go on outside it.
-                (at > 0).alias("begun"), (F.length(after) > 0).alias("ended"),
-            ),
-        )
+def _group(kind: str, value: Column) -> Column:
+    """What an entity belongs to: mail domain, IP network (/16), card issuer, phone block."""
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    if kind == "email":
+        return F.lower(F.substring_index(value, "@", -1))
+    if kind == "ip":
+        return F.substring_index(value, ".", 2)
+    if kind == "card":
+        return F.left(digits, F.lit(6))
+    return F.left(digits, F.length(digits) - 4)
+
 
-    left = words("before", F.col("start") - F.length("before"))
-    right = words("after", F.col("stop"))
-    left = F.filter(left, lambda w: w["begun"] | (F.length("before") < REACH))
-    right = F.filter(right, lambda w: w["ended"] | (F.length("after") < REACH))
-    none = F.array().cast("array<struct<term:string,start:bigint,stop:bigint,begun:boolean,ended:boolean>>")
-    both = F.concat(F.coalesce(left, none), F.coalesce(right, none))
-    return each.select("key", "entity", context, F.explode(both).alias("w")).select(
-        "key", "entity", "context", "w.term", "w.start", "w.stop"
+def _contexts(once: DataFrame) -> DataFrame:
+    """``key, entity, context, n``: entities and their groups, one context of each a row of ``once``."""
+    context = lambda s: F.xxhash64(s["before"], s["after"])
+
+    def named(kind: str) -> Column:
+        def both(s: Column) -> Column:
+            names = (("", s["value"]), ("*", _group(kind, s["value"])))
+            return F.array(*(F.struct(F.concat(F.lit(f"{kind}{m}:"), v).alias("entity"), context(s).alias("context")) for m, v in names))
+
+        return F.flatten(F.transform(kind, both))
+
+    none = F.array().cast("array<struct<entity:string,context:bigint>>")
+    each = F.concat(*(F.coalesce(named(kind), none) for kind in KINDS))
+    return once.select("key", "n", F.explode(each).alias("e")).groupBy("key", "e.entity", "n").agg(F.min("e.context").alias("context"))
+
+
+def _words(text: Column) -> Column:
+    """The terms of a text: term, start, stop."""
+    return _placed(
+        text, _TERM,
+        lambda at, v, before, after: F.struct(
+            F.lower(v).alias("term"), at.alias("start"), (at + F.length(v)).alias("stop")
+        ),
     )
 
 
 def disclosing_terms(
-    docs: DataFrame, found: DataFrame, terms: DataFrame, least_contexts: int = LEAST_CONTEXTS,
+    docs: DataFrame, held: DataFrame, words: DataFrame, least_contexts: int = LEAST_CONTEXTS,
     threshold: float = GENERALISE,
 ) -> DataFrame:
     """``term, entity, disclosure`` of the terms that disclose ``threshold`` or more.
 
     Frequencies are of all documents. Pairs are counted map-side first, so an entity or term
-    that is everywhere is a few rows of each task.
+    that is everywhere is a few rows of each task. PMI is never above IC, so disclosure is at
+    most the smoothing factor: entities and pairs in too few contexts to reach ``threshold``
+    are left out before anything is counted, without loss.
     """
     n_docs = max(1, docs.count())
-    held = None
-    for kind in KINDS:
-        one = found.select("key", F.explode(F.array_distinct(F.transform(kind, lambda s: s["value"]))).alias("value"))
-        one = one.select(F.concat_ws(":", F.lit(kind), "value").alias("entity"))
-        held = one if held is None else held.unionByName(one)
-    of_entity = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    together = terms.groupBy("term", "entity", "key").agg(F.min("context").alias("context"))
-    together = together.groupBy("term", "entity", "context").agg(F.count(F.lit(1)).alias("n"))
+    least = max(1, least_contexts)
+    while 1 - 2.0**-least < min(threshold, 1 - 2.0**-50):
+        least += 1
+    of_entity = held.groupBy("entity", "context").agg(F.sum("n").alias("n"))
+    of_entity = of_entity.groupBy("entity").agg(F.sum("n").alias("n_e"), F.count(F.lit(1)).alias("contexts"))
+    of_entity = materialize(of_entity.filter(F.col("contexts") >= least).select("entity", "n_e"))
+    often = join_keys(held, of_entity.select("entity"), "entity", "left_semi")
+    often = often.groupBy("key").agg(F.collect_list(F.struct("entity", "context", "n")).alias("e"))
+    # One row a document until terms and entities are written out together.
+    terms = F.array_distinct(F.transform("words", lambda w: w["term"]))
+    together = words.join(often, "key").select("e", F.explode(terms).alias("term"))
+    together = together.select("term", F.inline("e")).groupBy("term", "entity", "context").agg(F.sum("n").alias("n"))
     together = together.groupBy("term", "entity").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("contexts"))
-    together = materialize(together.filter(F.col("contexts") >= least_contexts))
+    together = materialize(together.filter(F.col("contexts") >= least))
     wanted = materialize(together.select("term").distinct())
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))
+    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))
     # Counted in each task before anything is joined: the rows of a word are never brought together.
-    of_term = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    of_term = docs.select(F.explode(found).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     # An inner join: a semi-join would be pushed below the count.
     of_term = join_keys(of_term, wanted, "term", "inner")
     counted = together.join(of_term, "term").join(of_entity, "entity")
     own = F.log(n_docs / F.col("n_e"))
-    # A term can stand next to an entity more often than the plain word count sees it.
+    # Lower case of a word alone can differ from that of the text around it.
     pmi = F.log(F.col("n_te") * n_docs / (F.col("n_e") * F.greatest("n_t", "n_te")))
-    disclosure = F.when(own > 0, pmi / own).otherwise(0.0)
+    disclosure = F.when(own > 0, pmi / own * (1 - F.pow(F.lit(2.0), -F.col("contexts")))).otherwise(0.0)
     return counted.select("term", "entity", disclosure.alias("disclosure")).filter(F.col("disclosure") >= threshold)
 
 
@@ -207,12 +224,18 @@ def personal_data(
     share a ``key`` and their result; an empty table gives no rows; other columns are not read.
     """
     source = entities(docs, id_col, text_col)
-    found = materialize(source.select("doc_id", "key", *KINDS))
-    once = found.filter(F.greatest(*(F.coalesce(F.size(k), F.lit(0)) for k in KINDS)) > 0)
-    terms = materialize(_terms(once))
-    strong = disclosing_terms(source.select("key", "text"), once, terms, least_contexts, generalise)
+    any_of = F.greatest(*(F.coalesce(F.size(k), F.lit(0)) for k in KINDS)) > 0
+    found = materialize(source.select("doc_id", "key", *KINDS, F.when(any_of, F.col("text")).alias("text")))
+    once = found.filter(F.col("text").isNotNull()).groupBy("key").agg(
+        F.first(F.struct("text", *KINDS)).alias("r"), F.count(F.lit(1)).alias("n")
+    )
+    once = materialize(once.select("key", "n", "r.*"))
+    held = materialize(_contexts(once))
+    words = materialize(once.select("key", _words(F.col("text")).alias("words")))
+    strong = materialize(disclosing_terms(source.select("text"), held, words, least_contexts, generalise))
     act = F.when(F.max("disclosure") >= remove, "remove").otherwise("generalise")
-    hit = terms.join(strong, ["term", "entity"]).groupBy("key", "start", "stop").agg(act.alias("act"))
+    hit = join_keys(words.select("key", F.inline("words")), strong, "term", "inner")
+    hit = hit.join(held.select("key", "entity"), ["key", "entity"]).groupBy("key", "start", "stop").agg(act.alias("act"))
     by_key = materialize(
         hit.groupBy("key").agg(
             F.array_sort(F.collect_list(F.struct(F.lit(TERM).alias("kind"), "start", "stop", "act"))).alias("terms")

@@ -93,6 +93,21 @@ def test_terms_that_disclose(spark, documents):
     assert any(texts[400][s.start : s.stop] == "Quentin" for s in low[400])
 
 
+def test_terms_of_rare_entities(spark, documents):
+    """Two contexts are enough, far from the entity too, and addresses seen once count for their domain."""
+    far = "the plan was agreed again " * 20
+    rows = [(i, f"note{chr(97 + i)} to boss@corp.example {far} says Zebulon, owner") for i in range(2)]
+    rows += [(10 + i, f"memo{chr(97 + i)} to u{i}@once{'.org'} {far} says Ottoline, owner") for i in range(4)]
+    rows += [(20, f"alone to x@single.example {far} says Hapax, owner")]
+    rows += [(100 + i, f"the plan number {i} says again it was agreed with the owner to do it {far}") for i in range(200)]
+    texts = dict(rows)
+    got = {r.doc_id: {(texts[r.doc_id][s.start : s.stop], s.act) for s in r.spans if s.kind == "term"}
+           for r in personal_data(documents(rows)).collect()}
+    assert got[0] == got[1] == {("Zebulon", "generalise")}  # 1 - 1/4
+    assert all(got[10 + i] == {("Ottoline", "generalise")} for i in range(4))  # 1 - 1/16
+    assert got[20] == set() and all(got[100 + i] == set() for i in range(200))
+
+
 def test_sanitised_rows(spark, documents):
     rows = [*corpus(), (900, None), (901, ""), (902, "é 4111 1111 1111 1111, +1 (555) 123-4567!"), (902, "é 4111 1111 1111 1111, +1 (555) 123-4567!"),
             (None, "x@y.zz"), (903, "+4111111111111111")]
