@@ -2,8 +2,8 @@
 
 A worklist holds the layers of a text: the text itself, and whatever a layer unwraps to by
 URL escapes, Unicode escapes, base64, or compressed bytes. Every layer is scanned with the same
-patterns and unwrapped again until no new layer turns up; layers already seen (by digest) are
-not taken twice, so encodings that lead back to themselves end. Every layer knows which span of
+patterns and unwrapped again until no new layer turns up; layers already seen (by digest and
+the span of the text they come from) are not taken twice, so encodings that lead back to themselves end. Every layer knows which span of
 the text each of its characters comes from, so a finding is reported where it stands there.
 """
 
@@ -198,13 +198,17 @@ def scan(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[list[Finding], list[F
     """Base findings of ``text`` itself, and those below it that no base finding covers."""
     base = [Finding(*f) for f in base_findings(text)]
     found: dict[Finding, None] = {}
-    seen = {hashlib.sha1(text.encode()).digest()}
+    seen = {(hashlib.sha1(text.encode()).digest(), 0, len(text))}
     work = deque([Layer(text, "", None, None)])
 
     def add(layer: Layer) -> None:
+        if not layer.text:
+            return
+        # Equal layers at other places are not the same layer: their findings stand there.
         digest = hashlib.sha1(layer.text.encode("utf-8", "surrogatepass")).digest()
-        if digest not in seen:
-            seen.add(digest)
+        key = (digest, *layer.span(0, len(layer.text)))
+        if key not in seen:
+            seen.add(key)
             work.append(layer)
 
     while work:

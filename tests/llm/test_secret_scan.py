@@ -78,6 +78,13 @@ def test_fixpoint_and_cycles():
     assert scan(f"{KEY} %41 password=abcdef1")[1] == []
 
 
+def test_equal_layers_at_two_places():
+    for wrapped in (b64(KEY.encode()), b64(gzip.compress(KEY.encode(), mtime=0))):
+        text = f"one {wrapped} two\n{wrapped} end"
+        below = scan(text)[1]
+        assert len(below) == 2 and {f.start for f in below} == {4, text.rindex(wrapped)}
+
+
 def test_oversize_is_reported():
     bomb = b64(gzip.compress(b"0" * 10_000))
     assert [f.kind for f in scan(bomb, limit=1000)[1]] == ["base64.oversize"]
