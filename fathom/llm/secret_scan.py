@@ -217,7 +217,7 @@ def scan(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[list[Finding], list[F
             for kind, start, end in base_findings(layer.text):
                 low, high = layer.span(start, end)
                 # Escapes elsewhere leave a base finding where it was.
-                if not any(b.kind == kind and b.start < high and low < b.end for b in base):
+                if not any(b.kind == kind and b.start <= low and high <= b.end for b in base):
                     found.setdefault(Finding(f"{layer.path}.{kind}", low, high))
         if "%" in layer.text or "\\u" in layer.text:
             if _ESCAPE.search(layer.text):

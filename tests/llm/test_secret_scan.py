@@ -85,6 +85,12 @@ def test_equal_layers_at_two_places():
         assert len(below) == 2 and {f.start for f in below} == {4, text.rindex(wrapped)}
 
 
+def test_longer_finding_below_a_base_finding():
+    base, below = scan("password=abc123%2Bdef456")
+    assert [f[:] for f in base] == [("assign", 0, 15)]
+    assert [f[:] for f in below] == [("url.assign", 0, 24)]
+
+
 def test_oversize_is_reported():
     bomb = b64(gzip.compress(b"0" * 10_000))
     assert [f.kind for f in scan(bomb, limit=1000)[1]] == ["base64.oversize"]
