@@ -10,7 +10,6 @@ the text each of its characters comes from, so a finding is reported where it st
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import lzma
 import re
@@ -39,8 +38,15 @@ LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 _ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+")
-#: Runs that may be base64 (either alphabet); shorter ones cannot hold a secret.
+#: Runs that may be base64 (either alphabet), also joined over line breaks; shorter ones cannot
+#: hold a secret.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{4,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+_NOT_BASE64 = re.compile(r"[^A-Za-z0-9+/_-]+")
+#: The shortest finding has 12 characters ("token=" and six more), and what it is wrapped in is
+#: no shorter: bytes without such a run, plain or in UTF-16, hold none.
+_PLAIN = re.compile(rb"[\t\r\n\x20-\x7e]{12}")
+_WIDE = re.compile(rb"((?:[\t\r\n\x20-\x7e]\0){11,}+)|((?:\0[\t\r\n\x20-\x7e]){11,}+)")
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 
 #: Bytes that one compressed layer may unwrap to; a larger one is reported as ``oversize``
@@ -134,64 +140,109 @@ class _Oversize(Exception):
     pass
 
 
-def _unpack(raw: bytes, limit: int) -> tuple[str, bytes] | None:
-    """Name of the compression and the bytes inside; None if ``raw`` is not compressed."""
-    if raw[:2] == b"\x1f\x8b":
-        name, packed = "gzip", zlib.decompressobj(31)
-    elif raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2], "big") % 31 == 0:
-        name, packed = "zlib", zlib.decompressobj()
-    elif raw[:3] == b"BZh":
-        name, packed = "bzip2", BZ2Decompressor()
-    elif raw[:6] == b"\xfd7zXZ\0":
-        name, packed = "xz", lzma.LZMADecompressor()
-    else:
-        return None
-    try:
-        out = packed.decompress(raw, limit + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
-    if len(out) > limit:
-        raise _Oversize
-    return name, out
-
-
-def _readable(raw: bytes) -> str | None:
+_PACKED = {
+    b"\x1f\x8b": ("gzip", lambda: zlib.decompressobj(31)),
+    b"\x78": ("zlib", zlib.decompressobj),
+    b"BZh": ("bzip2", BZ2Decompressor),
+    b"\xfd7zXZ\0": ("xz", lzma.LZMADecompressor),
+}
+#: How compressed bytes begin; zlib's second byte makes the first two a multiple of 31.
+_MAGIC = re.compile(rb"(\x1f\x8b)|(\x78)[\x01\x5e\x9c\xda]|(BZh)[1-9]|(\xfd7zXZ\0)")
+
+
+def _unpack(raw: bytes, limit: int) -> Iterator[tuple[str, bytes, int, int]]:
+    """Name of the compression, the bytes inside, and the span in ``raw`` of the complete members,
+    wherever they begin; members that follow one another are one. _Oversize if they are too many."""
+    at = 0
+    while m := _MAGIC.search(raw, at):
+        magic = m[m.lastindex]
+        name, make = _PACKED[magic]
+        out, end = b"", m.start()
+        whole = True
+        while whole and raw.startswith(magic, end):
+            packed = make()
+            try:
+                out += packed.decompress(raw[end:], limit + 1 - len(out))
+            except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+                break
+            if len(out) > limit:
+                raise _Oversize
+            whole = packed.eof
+            if whole:
+                end = len(raw) - len(packed.unused_data)
+        if out:
+            yield name, out, m.start(), end
+        at = max(end, m.start() + 1)
+
+
+def _texts(raw: bytes) -> Iterator[tuple[str, list[int]]]:
+    """Readings of ``raw`` that can hold a finding: a character and the place of its first byte.
+
+    The patterns are ASCII, so a byte is a character; UTF-16 is read as its runs stand.
+    """
+    if _PLAIN.search(raw):
+        yield raw.decode("latin-1"), list(range(len(raw) + 1))
+    for codec, first in sorted({(m.lastindex, m.start() % 2) for m in _WIDE.finditer(raw)}):
+        text, places = raw[first:].decode("utf-16-le" if codec == 1 else "utf-16-be", "replace"), [first]
+        for c in text:
+            places.append(min(len(raw), places[-1] + (4 if ord(c) > 0xFFFF else 2)))
+        yield text, places
+
+
+def _inside(
+    raw: bytes, path: str, place: tuple[int, int], limit: int, above: frozenset = frozenset()
+) -> tuple[list[Layer | Finding], bytes]:
+    """Layers of what is compressed in ``raw``, all characters from ``place``; and ``raw`` with
+    complete members, which are read, blanked."""
+    above |= {hashlib.sha1(raw).digest()}
+    found, rest = [], bytearray(raw)
     try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\t\r\n" for c in text) else None
+        for name, inner, start, end in _unpack(raw, limit):
+            rest[start:end] = bytes(end - start)
+            if hashlib.sha1(inner).digest() in above:
+                continue
+            deeper, plain = _inside(inner, f"{path}.{name}", place, limit, above)
+            for text, _ in _texts(plain):
+                found.append(Layer(text, f"{path}.{name}", [place[0]] * len(text), [place[1]] * len(text)))
+            found += deeper
+    except _Oversize:
+        found.append(Finding(f"{path}.oversize", *place))
+    return found, bytes(rest)
 
 
 def _base64_layers(layer: Layer, limit: int) -> Iterator[Layer | Finding]:
-    for m in _BASE64.finditer(layer.text):
-        run = m[0].rstrip("=")
-        if len(run) % 4 == 1 or _HEX_ONLY.fullmatch(run):
-            continue
-        try:
-            raw = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        place, path = layer.span(m.start(), m.end()), f"{layer.path}.base64".lstrip(".")
-        packed = False
-        try:
-            while inner := _unpack(raw, limit):
-                packed = True
-                path, raw = f"{path}.{inner[0]}", inner[1]
-        except _Oversize:
-            yield Finding(f"{path}.oversize", *place)
-            continue
-        text = raw.decode("utf-8", "replace") if packed else _readable(raw)
-        if not text:
-            continue
-        if packed or not text.isascii():
-            starts, ends = [place[0]] * len(text), [place[1]] * len(text)
-        else:
-            # Byte k comes from the characters that hold its bits.
-            low, n = m.start(), len(run)
-            spans = [layer.span(low + 8 * k // 6, low + min(n, (8 * k + 7) // 6 + 1)) for k in range(len(text))]
-            starts, ends = [a for a, _ in spans], [b for _, b in spans]
-        yield Layer(text, path, starts, ends)
+    path = f"{layer.path}.base64".lstrip(".")
+    for pattern in (_BASE64, _WRAPPED):
+        for m in pattern.finditer(layer.text):
+            whole = _NOT_BASE64.sub("", m[0])
+            if len(whole) < 16 or _HEX_ONLY.fullmatch(whole):
+                continue
+            whole = whole.replace("-", "+").replace("_", "/")
+            at = None
+            for skip in range(4):  # what is glued to the front moves the alignment
+                run = whole[skip:]
+                if len(run) % 4 == 1:
+                    run = run[:-1]
+                raw = base64.b64decode(run + "=" * (-len(run) % 4))
+                if not (_MAGIC.search(raw) or _PLAIN.search(raw) or _WIDE.search(raw)):
+                    continue
+                if at is None:
+                    at = [i for i, c in enumerate(m[0], m.start()) if c not in "= \t\r\n"]
+                inside, rest = _inside(raw, path, layer.span(at[skip], m.end()), limit)
+                yield from inside
+                texts = list(_texts(rest))
+                if texts:
+                    # Byte k comes from the characters that hold its bits.
+                    n = len(run)
+                    spans = [
+                        layer.span(at[skip + 8 * k // 6], at[skip + min(n, (8 * k + 7) // 6 + 1) - 1] + 1)
+                        for k in range(len(raw))
+                    ]
+                for text, places in texts:
+                    last = len(raw) - 1
+                    starts = [spans[min(p, last)][0] for p in places[:-1]]
+                    ends = [spans[max(0, min(p, len(raw)) - 1)][1] for p in places[1:]]
+                    yield Layer(text, path, starts, ends)
 
 
 def scan(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[list[Finding], list[Finding]]:

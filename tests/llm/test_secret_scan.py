@@ -91,6 +91,29 @@ def test_longer_finding_below_a_base_finding():
     assert [f[:] for f in below] == [("url.assign", 0, 24)]
 
 
+def test_base64_that_is_not_clean():
+    cases = [
+        b64(b"\xef\xbb\xbf" + f"see {KEY} there".encode()), b64(f"a\u00a0b\u200b {KEY}\f".encode()),
+        b64(f"x\x1b[0m\0 {KEY} \xff".encode("latin-1")), b64(f"see {KEY} there".encode("utf-16")),
+        b64(f"see {KEY} there".encode("utf-16-be")), b64(b"." + f"see {KEY}".encode("utf-16-le")),
+        *(f"{'com/path/x'[:n]}/" + b64(f"see {KEY} there".encode()) for n in range(3, 11)),
+        "com/path/" + b64(gzip.compress(KEY.encode())), "key_" + b64(f"see {KEY} there".encode()),
+    ]
+    for wrapped in cases:
+        below = scan(f"día {wrapped} end")[1]
+        assert [f.kind.rpartition(".")[2] for f in below] == ["access"], wrapped
+        assert 4 <= below[0].start < below[0].end <= 4 + len(wrapped), wrapped
+    half, rest = KEY[:9].encode(), KEY[9:].encode()
+    for pack in (gzip.compress, bz2.compress, lzma.compress):
+        assert [f.kind.rpartition(".")[2] for f in scan(b64(pack(half) + pack(rest)))[1]] == ["access"]
+    text = gzip.compress(("".join(chr(33 + i * i % 90) for i in range(300)) + f" {KEY}").encode())
+    for raw in (text, b"x" * 40 + b" " + KEY.encode()):
+        lines = base64.encodebytes(raw).decode()
+        for wrapped in (lines, lines.replace("\n", "\r\n")):
+            found = scan(f"a:\n\n{wrapped}\n.")[1]
+            assert any(f.kind.endswith("access") and f.start >= 4 for f in found), wrapped
+
+
 def test_oversize_is_reported():
     bomb = b64(gzip.compress(b"0" * 10_000))
     assert [f.kind for f in scan(bomb, limit=1000)[1]] == ["base64.oversize"]
