@@ -30,8 +30,8 @@ SAMPLE_CHARS = 1 << 26
 #: Features kept of the sample, and the least documents of a label that show one.
 MAX_FEATURES = 50_000
 LEAST_DOCS = 3
-#: Log-odds of a sentence without any known word. So low that the noisy-or of a hundred thousand
-#: of them stays below the threshold: a long document is not toxic for its length.
+#: Log-odds to which the words of a sentence add. A sentence without any known word has no part
+#: in the noisy-or, in training and scoring alike: a document is not toxic for its length.
 SILENT = -12.0
 #: Words whose weights a task keeps at most.
 KEPT_WORDS = 500_000
@@ -79,16 +79,17 @@ def fit(
     """Weights that minimise the documents' log loss, by full-batch Adam.
 
     ``rows, cols``: a sentence and one of its features, ``doc_of_row``: the sentence's document.
-    Every document weighs the same; the bias is given.
+    Every document weighs the same; the bias is given. A sentence without a feature is silent.
     """
     labels = labels.astype(float)
     n_rows, n_docs = len(doc_of_row), len(labels)
+    heard = np.bincount(rows, minlength=n_rows) > 0
     theta = np.zeros(n_cols)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
         z = np.bincount(rows, theta[cols], n_rows) + bias
         p = _sigmoid(z)
-        log_clean = -np.bincount(doc_of_row, np.logaddexp(0.0, z), n_docs)
+        log_clean = -np.bincount(doc_of_row, np.where(heard, np.logaddexp(0.0, z), 0.0), n_docs)
         toxic = np.maximum(-np.expm1(log_clean), 1e-12)
         pull = np.where(labels > 0, -np.exp(log_clean) / toxic, 1.0) / n_docs
         dz = p * pull[doc_of_row]
@@ -227,12 +228,13 @@ def train(
 
 
 def sentence_scores(text: str, model: Model) -> list[tuple[int, int, float]]:
-    """Start, stop and score of each sentence of ``text``."""
+    """Start, stop and score of each sentence of ``text``; 0 for one without a known word."""
     out = []
     for m in _SENTENCE.finditer(text):
         # Sorted: a sum of floats depends on its order.
-        z = model.bias + sum(model.word(w) for w in sorted(set(_WORDS.findall(m[0].lower()))))
-        out.append((m.start(), m.end(), 1.0 / (1.0 + math.exp(-max(-40.0, min(40.0, z))))))
+        known = [z for w in sorted(set(_WORDS.findall(m[0].lower()))) if (z := model.word(w))]
+        z = max(-40.0, min(40.0, model.bias + sum(known)))
+        out.append((m.start(), m.end(), 1.0 / (1.0 + math.exp(-z)) if known else 0.0))
     return out
 
 
@@ -267,7 +269,7 @@ class _Scorer:
         if words:
             scores.append(sum([words[w] for w in sorted(words)]))
         n = sum(1 for _ in _SENTENCE.finditer(text))
-        clean = -math.log1p(math.exp(model.bias)) * (n - len(scores))
+        clean = 0.0
         for z in scores:
             clean -= np.logaddexp(0.0, max(-40.0, min(40.0, z + model.bias)))
         return min(1.0, max(0.0, -math.expm1(clean))), n

@@ -74,6 +74,18 @@ def test_gradient_of_noisy_or():
         assert np.sign(weights[k]) == -np.sign(slope)
 
 
+def test_long_clean_text(documents):
+    """Sentences without a known word add nothing, however many; one that is toxic still counts."""
+    model = Model({features("vilest")[0]: 30.0}, toxicity.SILENT)
+    clean = "3.14\n" * 100_000
+    df = documents([(1, clean), (2, clean + "vilest"), (3, "some words")])
+    got = {r.doc_id: r for r in score(df, model).collect()}
+    assert got[1].score == got[3].score == 0.0 and got[1].n_sentences == 200_000
+    assert got[2].score >= 0.5 and [(s.start, s.stop) for s in got[2].offending] == [(len(clean), len(clean) + 6)]
+    assert document_score([p for _, _, p in sentence_scores(clean, model)]) == 0.0
+    assert sorted(r.doc_id for r in drop_toxic(df, model).collect()) == [1, 3]
+
+
 def test_odd_rows(spark, documents, model):
     rows = [(1, None), (2, ""), (3, "Vilestax"), (3, "Vilestax"), (None, "w1 w2."), (4, "w1 w2. " * 20_000), (5, "..!?\n")]
     got = score(documents(rows), model).collect()
