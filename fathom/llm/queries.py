@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fathom.llm import decontaminate, filter_audit, url_filter
+from fathom.llm import decontaminate, filter_audit, hard_negatives, url_filter
 from fathom.llm.decontaminate import op10_decontaminate
 from fathom.llm.filter_audit import op13_filter_audit
+from fathom.llm.hard_negatives import op12_hard_negatives
 from fathom.llm.near_duplicates import op5_near_duplicates
 from fathom.llm.neighbours import op7_neighbours
 from fathom.llm.packing import op1_packing
@@ -30,11 +31,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_url_filter": op9_url_filter,
     "op10_decontaminate": op10_decontaminate,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
     "op9_url_filter": url_filter.ORACLE_SQL,
     "op10_decontaminate": decontaminate.ORACLE_SQL,
+    "op12_hard_negatives": hard_negatives.ORACLE_SQL,
     "op13_filter_audit": filter_audit.ORACLE_SQL,
 }
