@@ -12,6 +12,7 @@ from fathom.llm.filter_audit import op13_filter_audit
 from fathom.llm.hard_negatives import op12_hard_negatives
 from fathom.llm.near_duplicates import op5_near_duplicates
 from fathom.llm.neighbours import op7_neighbours
+from fathom.llm.ngram_join import op11_ngram_join
 from fathom.llm.packing import op1_packing
 from fathom.llm.personal_data import op4_personal_data
 from fathom.llm.secret_scan import op6_secret_scans
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_url_filter": op9_url_filter,
     "op10_decontaminate": op10_decontaminate,
+    "op11_ngram_join": op11_ngram_join,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_filter_audit": op13_filter_audit,
 }
