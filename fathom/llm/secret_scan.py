@@ -14,8 +14,8 @@ import hashlib
 import lzma
 import re
 import zlib
+from bisect import bisect_right
 from bz2 import BZ2Decompressor
-from collections import deque
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -49,9 +49,10 @@ _PLAIN = re.compile(rb"[\t\r\n\x20-\x7e]{12}")
 _WIDE = re.compile(rb"((?:[\t\r\n\x20-\x7e]\0){11,}+)|((?:\0[\t\r\n\x20-\x7e]){11,}+)")
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 
-#: Bytes that one compressed layer may unwrap to; a larger one is reported as ``oversize``
-#: at its place instead of being read on, so memory is bounded and nothing is passed over.
-MAX_LAYER_BYTES = 1 << 24
+#: Bytes of a compressed layer that are scanned at once, and bytes of the piece before that the
+#: next one begins with: a larger layer is read in such pieces, so memory is bounded, and what is
+#: no longer than the overlap stands whole in one of them.
+PIECE_BYTES, OVERLAP_BYTES = 1 << 24, 1 << 20
 
 
 class Finding(NamedTuple):
@@ -60,16 +61,32 @@ class Finding(NamedTuple):
     end: int
 
 
+class _Same:
+    """A list of any length that holds one number."""
+
+    def __init__(self, value: int) -> None:
+        self.value = value
+
+    def __getitem__(self, part: slice) -> list[int]:
+        return [self.value] * (part.stop - part.start)
+
+
 class Layer(NamedTuple):
     text: str
     path: str  # how it was unwrapped: "url.base64"; empty for the text itself
     #: Where character i comes from: spans of the text; None: character i is there itself.
-    starts: list[int] | None
-    ends: list[int] | None
+    starts: list[int] | _Same | None
+    ends: list[int] | _Same | None
+
+    @property
+    def depth(self) -> int:
+        return self.path.count(".") + 1 if self.path else 0
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None:
             return start, end
+        if isinstance(self.starts, _Same):
+            return self.starts.value, self.ends.value
         return min(self.starts[start:end]), max(self.ends[start:end])
 
 
@@ -136,10 +153,6 @@ def _unicode_layer(layer: Layer) -> Layer | None:
     return _replaced(layer, "unicode", parts) if parts else None
 
 
-class _Oversize(Exception):
-    pass
-
-
 _PACKED = {
     b"\x1f\x8b": ("gzip", lambda: zlib.decompressobj(31)),
     b"\x78": ("zlib", zlib.decompressobj),
@@ -150,28 +163,42 @@ _PACKED = {
 _MAGIC = re.compile(rb"(\x1f\x8b)|(\x78)[\x01\x5e\x9c\xda]|(BZh)[1-9]|(\xfd7zXZ\0)")
 
 
-def _unpack(raw: bytes, limit: int) -> Iterator[tuple[str, bytes, int, int]]:
-    """Name of the compression, the bytes inside, and the span in ``raw`` of the complete members,
-    wherever they begin; members that follow one another are one. _Oversize if they are too many."""
+def _pieces(packed, data: bytes, out: bytearray, size: int, overlap: int) -> Iterator[bytes]:
+    """What ``packed`` makes of ``data``, appended to ``out``; full pieces are cut off it."""
+    while not packed.eof:
+        new = packed.decompress(data, size - len(out))
+        data = getattr(packed, "unconsumed_tail", b"")
+        out += new
+        if len(out) >= size:
+            yield bytes(out)
+            del out[: size - overlap]
+        elif not new and not data:
+            return  # the rest is missing
+
+
+def _unpack(raw: bytes, size: int, overlap: int) -> Iterator[tuple[str, bytes, tuple[int, int]]]:
+    """Name of the compression, a piece of the bytes inside, and the span in ``raw`` of the complete
+    members it ends (empty before the last piece), wherever they begin; members that follow one
+    another are one."""
     at = 0
     while m := _MAGIC.search(raw, at):
         magic = m[m.lastindex]
         name, make = _PACKED[magic]
-        out, end = b"", m.start()
-        whole = True
+        out, end = bytearray(), m.start()
+        whole, cut = True, False
         while whole and raw.startswith(magic, end):
             packed = make()
             try:
-                out += packed.decompress(raw[end:], limit + 1 - len(out))
+                for piece in _pieces(packed, raw[end:], out, size, overlap):
+                    cut = True
+                    yield name, piece, (m.start(), m.start())
+                whole = packed.eof
             except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-                break
-            if len(out) > limit:
-                raise _Oversize
-            whole = packed.eof
+                whole = False
             if whole:
                 end = len(raw) - len(packed.unused_data)
-        if out:
-            yield name, out, m.start(), end
+        if out or cut:
+            yield name, bytes(out), (m.start(), end)
         at = max(end, m.start() + 1)
 
 
@@ -189,28 +216,29 @@ def _texts(raw: bytes) -> Iterator[tuple[str, list[int]]]:
         yield text, places
 
 
-def _inside(
-    raw: bytes, path: str, place: tuple[int, int], limit: int, above: frozenset = frozenset()
-) -> tuple[list[Layer | Finding], bytes]:
-    """Layers of what is compressed in ``raw``, all characters from ``place``; and ``raw`` with
-    complete members, which are read, blanked."""
-    above |= {hashlib.sha1(raw).digest()}
-    found, rest = [], bytearray(raw)
-    try:
-        for name, inner, start, end in _unpack(raw, limit):
-            rest[start:end] = bytes(end - start)
-            if hashlib.sha1(inner).digest() in above:
-                continue
-            deeper, plain = _inside(inner, f"{path}.{name}", place, limit, above)
-            for text, _ in _texts(plain):
-                found.append(Layer(text, f"{path}.{name}", [place[0]] * len(text), [place[1]] * len(text)))
-            found += deeper
-    except _Oversize:
-        found.append(Finding(f"{path}.oversize", *place))
-    return found, bytes(rest)
+def _inside(raw: bytes, path: str, place: tuple[int, int], size: int, overlap: int) -> Iterator[tuple[str, bytes]]:
+    """``path, bytes`` of ``raw`` and of all that is compressed in it, however deep.
 
+    Complete members, which come by themselves, are blanked in the bytes around them. A stack
+    holds what is still to be read on; the digests above a layer keep it from leading back.
+    """
+    start = bytearray(raw)
+    todo = [(path, raw, start, _unpack(raw, size, overlap), frozenset([hashlib.sha1(raw).digest()]))]
+    while todo:
+        own_path, own, rest, packed, above = todo[-1]
+        for name, inner, (low, high) in packed:
+            rest[low:high] = bytes(high - low)
+            digest = hashlib.sha1(inner).digest()
+            if digest not in above:
+                below = f"{own_path}.{name}"
+                todo.append((below, inner, bytearray(inner), _unpack(inner, size, overlap), above | {digest}))
+                break
+        else:
+            todo.pop()
+            yield own_path, bytes(rest)
 
-def _base64_layers(layer: Layer, limit: int) -> Iterator[Layer | Finding]:
+
+def _base64_layers(layer: Layer, size: int, overlap: int) -> Iterator[Layer]:
     path = f"{layer.path}.base64".lstrip(".")
     for pattern in (_BASE64, _WRAPPED):
         for m in pattern.finditer(layer.text):
@@ -228,8 +256,14 @@ def _base64_layers(layer: Layer, limit: int) -> Iterator[Layer | Finding]:
                     continue
                 if at is None:
                     at = [i for i, c in enumerate(m[0], m.start()) if c not in "= \t\r\n"]
-                inside, rest = _inside(raw, path, layer.span(at[skip], m.end()), limit)
-                yield from inside
+                place = layer.span(at[skip], m.end())
+                rest = raw
+                for deeper, inner in _inside(raw, path, place, size, overlap):
+                    if deeper == path:
+                        rest = inner
+                        continue
+                    for text, _ in _texts(inner):
+                        yield Layer(text, deeper, _Same(place[0]), _Same(place[1]))
                 texts = list(_texts(rest))
                 if texts:
                     # Byte k comes from the characters that hold its bits.
@@ -245,46 +279,61 @@ def _base64_layers(layer: Layer, limit: int) -> Iterator[Layer | Finding]:
                     yield Layer(text, path, starts, ends)
 
 
-def scan(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[list[Finding], list[Finding]]:
-    """Base findings of ``text`` itself, and those below it that no base finding covers."""
-    base = [Finding(*f) for f in base_findings(text)]
-    found: dict[Finding, None] = {}
-    seen = {(hashlib.sha1(text.encode()).digest(), 0, len(text))}
-    work = deque([Layer(text, "", None, None)])
+class _Base:
+    """Base findings of a text, to ask whether one of them covers a span."""
+
+    def __init__(self, found: list[Finding]) -> None:
+        # Those of a kind do not overlap, so the last one that begins in time decides.
+        self.of = {kind: sorted((f.start, f.end) for f in found if f.kind == kind) for kind in KINDS}
+
+    def covers(self, kind: str, start: int, end: int) -> bool:
+        spans = self.of[kind]
+        at = bisect_right(spans, start, key=lambda s: s[0]) - 1
+        return at >= 0 and end <= spans[at][1]
+
+
+def _unwrapped(layer: Layer, size: int, overlap: int) -> Iterator[Layer]:
+    if ("%" in layer.text or "\\u" in layer.text) and _ESCAPE.search(layer.text):
+        for unwrap in (_url_layer, _unicode_layer):
+            inner = unwrap(layer)
+            if inner is not None:
+                yield inner
+    yield from _base64_layers(layer, size, overlap)
+
 
-    def add(layer: Layer) -> None:
+def scan(text: str, size: int = PIECE_BYTES, overlap: int = OVERLAP_BYTES) -> tuple[list[Finding], list[Finding]]:
+    """Base findings of ``text`` itself, and those below it that no base finding covers.
+
+    Layers are worked off as they are unwrapped, the deepest first, so few are held at once.
+    """
+    base = [Finding(*f) for f in base_findings(text)]
+    known = _Base(base)
+    below: dict[tuple[str, int, int], tuple[int, Finding]] = {}
+    seen: dict[tuple, int] = {}
+    work = [iter([Layer(text, "", None, None)])]
+    while work:
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
         if not layer.text:
-            return
-        # Equal layers at other places are not the same layer: their findings stand there.
+            continue
+        # Equal layers at other places are not the same layer: their findings stand there. A
+        # layer that is met again on a shorter way is taken once more, for that way's name.
         digest = hashlib.sha1(layer.text.encode("utf-8", "surrogatepass")).digest()
         key = (digest, *layer.span(0, len(layer.text)))
-        if key not in seen:
-            seen.add(key)
-            work.append(layer)
-
-    while work:
-        layer = work.popleft()
+        if layer.depth >= seen.get(key, layer.depth + 1):
+            continue
+        seen[key] = layer.depth
         if layer.path:
             for kind, start, end in base_findings(layer.text):
                 low, high = layer.span(start, end)
-                # Escapes elsewhere leave a base finding where it was.
-                if not any(b.kind == kind and b.start <= low and high <= b.end for b in base):
-                    found.setdefault(Finding(f"{layer.path}.{kind}", low, high))
-        if "%" in layer.text or "\\u" in layer.text:
-            if _ESCAPE.search(layer.text):
-                for unwrap in (_url_layer, _unicode_layer):
-                    inner = unwrap(layer)
-                    if inner is not None:
-                        add(inner)
-        for inner in _base64_layers(layer, limit):
-            if isinstance(inner, Finding):
-                found.setdefault(inner)
-            else:
-                add(inner)
-    below: dict[tuple[str, int, int], Finding] = {}
-    for f in found:  # one finding for each place and kind: that of the shortest path
-        below.setdefault((f.kind.rpartition(".")[2], f.start, f.end), f)
-    return base, list(below.values())
+                # Escapes elsewhere leave a base finding where it was. One finding for each place
+                # and kind: that of the shortest path.
+                if not known.covers(kind, low, high) and layer.depth < below.get((kind, low, high), (layer.depth + 1,))[0]:
+                    below[kind, low, high] = layer.depth, Finding(f"{layer.path}.{kind}", low, high)
+        work.append(_unwrapped(layer, size, overlap))
+    return base, [f for _, f in below.values()]
 
 
 def _order(finding: Finding) -> tuple:
@@ -295,14 +344,14 @@ def _order(finding: Finding) -> tuple:
 FOUND = "doc_id bigint, findings array<struct<kind:string,start:bigint,stop:bigint>>"
 
 
-def _scanner(limit: int) -> Callable[[], Callable]:
+def _scanner(size: int, overlap: int) -> Callable[[], Callable]:
     kind_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = []
             for text in batch.column(1):
-                base, below = scan(text.as_py() or "", limit)
+                base, below = scan(text.as_py() or "", size, overlap)
                 rows.append([{"kind": f.kind, "start": f.start, "stop": f.end} for f in sorted(base + below, key=_order)])
             return pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(rows, kind_type)], names=["doc_id", "findings"]
@@ -314,16 +363,18 @@ def _scanner(limit: int) -> Callable[[], Callable]:
 
 
 def find_secrets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_layer_bytes: int = MAX_LAYER_BYTES
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", piece_bytes: int = PIECE_BYTES,
+    overlap_bytes: int = OVERLAP_BYTES,
 ) -> DataFrame:
     """``doc_id, findings`` for each row of ``docs``: kind, start, stop (code points, end excluded).
 
     Null and empty texts have an empty list; repeated rows are scanned each; an empty table
     gives no rows; other columns are not read. A kind with a dot was found below the text: the
-    part before the last dot is how it was unwrapped. Row-local, without a shuffle.
+    part before the last dot is how it was unwrapped. Compressed layers are scanned in pieces of
+    ``piece_bytes`` that overlap. Row-local, without a shuffle.
     """
     rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
-    return map_rows(rows, _scanner(max_layer_bytes), FOUND)
+    return map_rows(rows, _scanner(piece_bytes, overlap_bytes), FOUND)
 
 
 def digest(found: DataFrame) -> DataFrame:

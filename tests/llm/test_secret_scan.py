@@ -114,11 +114,90 @@ def test_base64_that_is_not_clean():
             assert any(f.kind.endswith("access") and f.start >= 4 for f in found), wrapped
 
 
-def test_oversize_is_reported():
-    bomb = b64(gzip.compress(b"0" * 10_000))
-    assert [f.kind for f in scan(bomb, limit=1000)[1]] == ["base64.oversize"]
-    assert scan(b64(gzip.compress(b"fine")), limit=1000)[1] == []
+def test_large_layers_are_read_in_pieces():
+    """A secret behind, across and in front of the pieces' ends, in layers beyond a piece."""
+    noise = "".join(chr(33 + i * i % 60) for i in range(997))
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        for before in (0, 990, 1900, 5000):
+            raw = (noise * 10)[:before].encode() + b" " + KEY.encode() + b" " + noise.encode()
+            below = scan(b64(pack(raw)), 1000, 200)[1]
+            assert [f.kind.rpartition(".")[2] for f in below] == ["access"], (pack, before)
+    big = b64(gzip.compress(b"0 " * 9_500_000 + KEY.encode()))
+    assert len(big) < 60_000 and [f.kind for f in scan(big)[1]] == ["base64.gzip.access"]
     assert scan(b64(b"\x1f\x8b" + b"broken gzip data....")) == ([], [])
+    half = gzip.compress((noise * 3 + KEY).encode())
+    assert scan(b64(half[: len(half) // 2]), 1000, 100)[1] == []
+
+
+def test_deep_nesting():
+    raw = f"see {KEY} there".encode()
+    for _ in range(1100):
+        raw = gzip.compress(raw, 1, mtime=0)
+    (f,) = scan(b64(raw))[1]
+    assert f.kind == "base64." + "gzip." * 1100 + "access"
+
+
+def test_many_findings_take_no_square_of_time():
+    import time
+
+    text = " ".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(8_000)) + " %41"
+    start = time.process_time()
+    base, below = scan(text)
+    assert len(base) == 8_000 and below == [] and time.process_time() - start < 3
+
+
+def recursive(text, size=10**9, path="", seen=frozenset()):
+    """Kinds and secrets in a text and all that it wraps, by plain recursion; no places."""
+    out = {(path, kind, text[a:b]) for kind, a, b in brute(text)}
+    steps = [("url", re.sub(r"(%[0-9A-Fa-f]{2})+", lambda m: bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "replace"), text)),
+             ("unicode", re.sub(r"\\u[0-9A-Fa-f]{4}", lambda m: chr(int(m[0][2:], 16)), text))]
+    for m in re.finditer(r"[A-Za-z0-9+/]{16,}={0,2}", text):
+        try:
+            raw = base64.b64decode(m[0], validate=True)
+        except ValueError:
+            continue
+        for name, unpack in (("", bytes), (".gzip", gzip.decompress), (".zlib", zlib.decompress), (".bzip2", bz2.decompress)):
+            try:
+                steps.append((f"base64{name}", unpack(raw).decode("latin-1")))
+            except (OSError, EOFError, zlib.error, ValueError):
+                pass
+    for name, inner in steps:
+        if inner != text and inner not in seen:
+            out |= recursive(inner, size, f"{path}.{name}".lstrip("."), seen | {text})
+    return out
+
+
+WRAPS = {
+    "url": lambda t: "".join(f"%{b:02X}" for b in t.encode()),
+    "unicode": lambda t: "".join(f"\\u{ord(c):04x}" for c in t),
+    "base64": lambda t: b64(t.encode()),
+    "gzip": lambda t: b64(gzip.compress(t.encode())),
+    "bzip2": lambda t: b64(bz2.compress(t.encode())),
+}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(
+    st.sampled_from([KEY, "token=abc123", "0f" * 13, "plain words here"]), st.lists(st.sampled_from(sorted(WRAPS)), max_size=4)
+), max_size=4))
+def test_decoded_layers_against_plain_recursion(parts):
+    text = ""
+    for secret, wraps in parts:
+        for name in wraps:
+            secret = WRAPS[name](f"<{secret}>")
+        text += f" {secret} ;"
+    base, below = scan(text)
+    got = {(f.kind.rpartition(".")[2]) for f in below}
+    # What stands in the text itself is base; of a place and kind the shortest path is kept.
+    want = {(path, kind) for path, kind, _ in recursive(text)}
+    own = {kind for path, kind in want if not path}
+    assert {f.kind for f in base} == own
+    assert got <= {kind for path, kind in want if path}
+    assert {kind for path, kind in want if path} - own <= got
+    paths = {f.kind for f in below}
+    assert paths <= {f"{path}.{kind}" for path, kind in want}
+    for f in below:
+        assert 0 <= f.start < f.end <= len(text)
 
 
 def test_table(documents):
