@@ -31,7 +31,7 @@ PIVOT_ROWS = 4 * PIVOTS
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 512
 SHARE, LEAST = 0.25, 200
 
-INDEXED = "vec_id bigint, vector binary, nearest binary"
+INDEXED = "vec_id bigint, dim int, vector binary, nearest binary"
 NEAREST = "query_id bigint, vec_id bigint, score double"
 
 
@@ -41,50 +41,59 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _pivots(rows: DataFrame, count: int) -> np.ndarray:
+def _pivots(rows: DataFrame, count: int) -> dict[int, np.ndarray]:
+    """Pivots for each length of vectors in a bounded sample."""
     drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_ROWS).select("vec_id", "vector").collect()
-    distinct = dict.fromkeys(tuple(r.vector) for r in drawn)
-    return np.array(list(distinct)[:count], dtype=np.float64)
+    distinct: dict[int, dict[tuple, None]] = {}
+    for r in drawn:
+        distinct.setdefault(len(r.vector), {})[tuple(r.vector)] = None
+    return {dim: np.array(list(own)[:count], dtype=np.float64) for dim, own in distinct.items()}
 
 
 def build_index(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     pivots: int = PIVOTS, prefix: int = PREFIX,
 ) -> DataFrame:
-    """A stored table ``vec_id, vector, nearest``: packed doubles, packed ranks of pivots.
+    """A stored table ``vec_id, dim, vector, nearest``: packed doubles, packed ranks of pivots.
 
     Rows whose id is null or whose vector is null, zero, or holds a null or a number that is
-    not finite take no part, nor do vectors of another length than the most frequent one. The
-    pivots are at most ``pivots`` distinct vectors out of ``PIVOT_ROWS`` rows, a fixed bound;
-    every row is indexed.
+    not finite take no part. Vectors are near those of their own length only, and each length
+    has pivots of its own: at most ``pivots`` distinct vectors out of ``PIVOT_ROWS`` rows, a
+    fixed bound; a length too rare to be among those rows has none, and is searched in full.
+    Every row is indexed.
     """
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).alias("vector"))
     rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    length = F.size("vector")
-    lengths = rows.groupBy(length.alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    if lengths is None:
-        return rows.sparkSession.createDataFrame([], INDEXED)
-    rows = rows.filter(length == lengths.d)
     chosen = _pivots(rows, pivots)
-    kept = min(prefix, len(chosen))
-    square = (chosen * chosen).sum(axis=1)
 
     def run(batches):
         for batch in batches:
-            x = np.array(batch.column(1).flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
-            x = x.reshape(batch.num_rows, -1)
-            order = np.argsort(square - 2 * (x @ chosen.T), axis=1, kind="stable")[:, :kept].astype("<u2")
+            lists = batch.column(1)
+            dims = np.diff(lists.offsets.to_numpy()).astype(np.int32)
+            vector, nearest = [b""] * batch.num_rows, [b""] * batch.num_rows
+            for dim in np.unique(dims):
+                at = np.flatnonzero(dims == dim)
+                x = lists.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
+                x = x.astype(np.float64).reshape(len(at), dim)
+                for i, row in zip(at, x.astype("<f8")):
+                    vector[i] = row.tobytes()
+                own = chosen.get(int(dim))
+                if own is not None:
+                    away = (own * own).sum(axis=1) - 2 * (x @ own.T)
+                    order = np.argsort(away, axis=1, kind="stable")[:, : min(prefix, len(own))].astype("<u2")
+                    for i, row in zip(at, order):
+                        nearest[i] = row.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([r.tobytes() for r in x.astype("<f8")], pa.binary()),
-                 pa.array([r.tobytes() for r in order], pa.binary())],
-                names=["vec_id", "vector", "nearest"],
+                [batch.column(0), pa.array(dims), pa.array(vector, pa.binary()), pa.array(nearest, pa.binary())],
+                names=["vec_id", "dim", "vector", "nearest"],
             )
 
     return materialize(arrow_rows(rows).mapInArrow(run, INDEXED))
 
 
 def _unpack(column: pd.Series, dtype: str) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype).reshape(len(column), -1)
+    width = len(column.iloc[0]) // np.dtype(dtype).itemsize
+    return np.frombuffer(b"".join(column) or bytes(0), dtype).reshape(len(column), width)
 
 
 def _inverted(nearest: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -113,12 +122,12 @@ def search_block(rows: pd.DataFrame, queries: pd.DataFrame, k: int, share: float
     """The ``k`` nearest of ``rows`` for each query, as far as the footrule finds them."""
     out = []
     if len(rows) and len(queries):
-        rows = rows.sort_values(["vec_id", "vector"], kind="stable")
+        rows = rows.drop_duplicates(["vec_id", "vector"]).sort_values(["vec_id", "vector"], kind="stable")
         # More than k + 1 copies of a vector: those of larger ids are never among the k nearest.
         rows = rows[rows.groupby("vector", sort=False).cumcount() <= k]
         ids, x, nearest = rows["vec_id"].to_numpy(), _unpack(rows["vector"], "<f8"), _unpack(rows["nearest"], "<u2")
-        files = _inverted(nearest)
-        take = min(len(ids), max(least, math.ceil(share * len(ids))))
+        files = _inverted(nearest) if nearest.size else []
+        take = min(len(ids), max(least, math.ceil(share * len(ids)))) if nearest.size else len(ids)
         own = _unpack(queries["vector"], "<f8")
         for query_id, vector, order in zip(queries["query_id"], own, _unpack(queries["nearest"], "<u2")):
             footrule = footrules(nearest, files, order)
@@ -149,7 +158,7 @@ def search(
     those copies that can be in a result.
     """
     n_rows = max(1, math.ceil(index.count() / block_rows))
-    own = queries.select(F.col("vec_id").alias("query_id"), "vector", "nearest").distinct()
+    own = queries.select(F.col("vec_id").alias("query_id"), "dim", "vector", "nearest").distinct()
     n_queries = max(1, math.ceil(own.count() / block_queries))
 
     def block(column: str, count: int) -> Column:
@@ -160,7 +169,7 @@ def search(
 
     left = index.withColumn("rows_of", block("vec_id", n_rows)).withColumn("queries_of", every(n_queries))
     right = own.withColumn("queries_of", block("query_id", n_queries)).withColumn("rows_of", every(n_rows))
-    keys = ["rows_of", "queries_of"]
+    keys = ["dim", "rows_of", "queries_of"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         lambda a, b: search_block(a, b, k, share, least), NEAREST
     )

@@ -88,3 +88,37 @@ def test_odd_vectors_copies_and_ties(spark):
 def test_empty(spark):
     index = build_index(spark.createDataFrame([], SCHEMA))
     assert search(index, index).count() == 0
+
+
+def test_a_repeated_row_crowds_no_other_out(spark):
+    """Twelve copies of one row, and another row of the same vector."""
+    rows = [(0, [1.0, 1.0])] + [(5, [1.0, 2.0])] * 12 + [(6, [1.0, 2.0]), (7, [9.0, 9.0])]
+    index = build_index(spark.createDataFrame([(i, v, 0.0, 1) for i, v in rows], SCHEMA))
+    got = search(index, index.filter("vec_id = 0"), k=2).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(5, 1.0), (6, 1.0)]
+
+
+def test_each_length_by_itself(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(a) for a in rng.normal(size=3)]) for i in range(80)]
+    rows += [(100 + i, [float(a) for a in rng.normal(size=5)]) for i in range(15)]
+    rows = [(i, np.float32(v).tolist()) for i, v in rows]
+    index = build_index(spark.createDataFrame([(i, v, 0.0, 1) for i, v in rows], SCHEMA).repartition(4))
+    got = search(index, index.filter("vec_id IN (0, 100)"), k=10)
+    for q, low, high in ((0, 0, 100), (100, 100, 200)):
+        want = brute([(i, v) for i, v in rows if low <= i < high])[q]
+        assert [r.vec_id for r in got.filter(f"query_id = {q}").orderBy("rank").collect()] == [i for i, _ in want]
+
+
+def test_a_length_without_pivots(spark, monkeypatch):
+    """A length that the sample does not hold is searched in full."""
+    from fathom.llm import neighbours
+
+    monkeypatch.setattr(neighbours, "PIVOT_ROWS", 1)
+    rows = [(i, [float(i + 1), 1.0] if i % 9 else [float(i + 1), 1.0, 2.0]) for i in range(40)]
+    index = build_index(spark.createDataFrame([(i, v, 0.0, 1) for i, v in rows], SCHEMA))
+    assert index.filter("length(nearest) = 0").count()
+    got = search(index, index.filter("vec_id IN (0, 1)"), k=3, least=1, share=0.01).orderBy("query_id", "rank").collect()
+    lone = index.filter("length(nearest) = 0").first().dim
+    own = [r.vec_id for r in got if r.query_id == (0 if lone == 3 else 1)]
+    assert own == ([9, 18, 27] if lone == 3 else [2, 3, 4])
