@@ -37,6 +37,12 @@ def token_sorted(text: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(words, lambda w: w != "")), " ")
 
 
+def numbered_letters(text: Column) -> Column:
+    """Its letters in order, each with the number of equal ones up to it: no two are the same."""
+    ordered = F.array_sort(F.split(text, ""))
+    return F.transform(ordered, lambda c, i: F.concat(c, (i + 2 - F.array_position(ordered, c)).cast("string")))
+
+
 def _common_subsequence(a: str, b: str) -> int:
     """Length of the longest common subsequence, a row of bits per character of ``b``."""
     where: dict[str, int] = {}

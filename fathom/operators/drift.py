@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fathom.functions.attributes import MAPPED_FIELDS, normalize_name
-from fathom.functions.similarity import natural_sort_key, sorted_ratio, token_sorted
+from fathom.functions.attributes import MAPPED_FIELDS, normalize_name, to_number
+from fathom.functions.similarity import natural_sort_key
+from fathom.operators import alike
+from fathom.operators.extract import readable
 from fathom.session import materialize
 
 # Likeness from which names are alike, likeness of a suggestion, and the two
@@ -23,28 +23,6 @@ FLAG_POPULATED_PCT = 5.0
 _TEXTS = "map<string,string>"
 
 
-def infer_json_schema(payloads: DataFrame, column: str = "metadata") -> DataFrame:
-    """The merged schema of all payloads: ``path, kind, n_rows, required``, a row per path and kind.
-
-    A path is required if it is there in every object that its parent is (for a path without
-    parent: in every payload that is an object). A table, since the number of paths follows
-    the names that occur.
-    """
-    counted = materialize(_path_counts(payloads, column))
-    there = counted.groupBy("path").agg(F.sum("n_rows").alias("n_there"))
-    holders = counted.filter(F.col("kind") == "object").groupBy(F.col("path").alias("parent")).agg(
-        F.sum("n_rows").alias("n_holders")
-    )
-    is_object = _json_kind(F.parse_json(column)) == "object"
-    payload_rows = payloads.agg(F.lit("").alias("parent"), F.count_if(is_object).alias("n_holders"))
-    holders = holders.unionByName(payload_rows)
-    return (
-        counted.join(there, "path")
-        .join(holders, "parent", "left")
-        .select("path", "kind", "n_rows", (F.col("n_there") == F.col("n_holders")).alias("required"))
-    )
-
-
 def global_attribute_names(column: str = "metadata") -> Column:
     attrs = F.from_json(F.get_json_object(column, "$.global_attrs"), _TEXTS)
     return F.map_keys(attrs)
@@ -57,209 +35,9 @@ def attribute_keys(payloads: DataFrame, column: str = "metadata") -> DataFrame:
     return counted.orderBy(natural_sort_key(F.col("attribute")), "attribute")
 
 
-def _json_kind(value: Column) -> Column:
-    """JSON type name of a variant."""
-    kind = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull(), "null")
-        .when(kind.startswith("OBJECT"), "object")
-        .when(kind.startswith("ARRAY"), "array")
-        .when(kind == "STRING", "string")
-        .when(kind == "BOOLEAN", "boolean")
-        .when(kind == "VOID", "null")
-        .when(kind == "BIGINT", "integer")
-        .otherwise("number")
-    )
-
-
-#: Levels exploded in one pass: section, variable, attribute group, attribute.
-LEVELS = 4
-
-
-def _walked(rows: DataFrame, levels: int) -> DataFrame:
-    """``rows`` (above, value_0) with their keys, positions and values ``levels`` down."""
-    tvf = rows.sparkSession.tvf
-    for i in range(levels):
-        below = tvf.variant_explode_outer(F.col(f"value_{i}").outer()).select(
-            F.col("pos").alias(f"pos_{i + 1}"),
-            F.col("key").alias(f"key_{i + 1}"),
-            F.col("value").alias(f"value_{i + 1}"),
-        )
-        rows = rows.lateralJoin(below)
-    return rows
-
-
-def _path(levels: int) -> Column:
-    return F.concat_ws(".", "above", *[F.col(f"key_{j}") for j in range(1, levels + 1)])
-
-
-def _counted(walked: DataFrame, levels: int) -> DataFrame:
-    """``path, parent, kind, last, n_rows``; a node is counted where all deeper places are first."""
-    nodes = []
-    for i in range(1, levels + 1):
-        keys = [F.col(f"key_{j}") for j in range(1, i + 1)]
-        counts = reduce(lambda a, b: a & b, (k.isNotNull() for k in keys))
-        for j in range(i + 1, levels + 1):
-            counts = counts & (F.coalesce(f"pos_{j}", F.lit(0)) == 0)
-        kind = _json_kind(F.col(f"value_{i}"))
-        if i < levels:
-            # A node with children shows its kind by them; only leaves are looked into.
-            kind = (
-                F.when(F.col(f"key_{i + 1}").isNotNull(), "object")
-                .when(F.col(f"pos_{i + 1}").isNotNull(), "array")
-                .otherwise(kind)
-            )
-        node = F.struct(
-            _path(i).alias("path"), _path(i - 1).alias("parent"), kind.alias("kind"),
-            F.lit(i == levels).alias("last"),
-        )
-        nodes.append(F.when(counts, node))
-    found = walked.select(F.inline(F.filter(F.array(*nodes), lambda n: n.isNotNull())))
-    return found.groupBy("path", "parent", "kind", "last").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
-def _path_counts(payloads: DataFrame, column: str, levels: int = LEVELS) -> DataFrame:
-    """``path, parent, kind, n_rows`` of all levels; a further pass only where there are objects
-    below the last level of one."""
-    rows = payloads.select(F.lit(None).cast("string").alias("above"), F.parse_json(column).alias("value_0"))
-    total = None
-    while True:
-        walked = _walked(rows, levels)
-        part = materialize(_counted(walked, levels))
-        total = part if total is None else total.unionByName(part)
-        if part.filter(F.col("last") & (F.col("kind") == "object")).isEmpty():
-            return total.drop("last")
-        deeper = walked.filter(
-            F.col(f"key_{levels}").isNotNull() & (_json_kind(F.col(f"value_{levels}")) == "object")
-        )
-        rows = deeper.select(_path(levels).alias("above"), F.col(f"value_{levels}").alias("value_0"))
-
-
-def payload_paths(payloads: DataFrame, column: str = "metadata", levels: int = LEVELS) -> DataFrame:
-    """Every path of the payloads, with value type and row count, however deep it lies.
-
-    Payloads are parsed once and object keys exploded level by level; array elements have no
-    key and are not paths. ``levels`` is how many a pass takes, not a bound.
-    """
-    return _path_counts(payloads, column, levels).select("path", "kind", "n_rows")
-
-
-def _letters(text: Column) -> Column:
-    """Its letters as a set: each with the number of equal ones before it."""
-    ordered = F.array_sort(F.split(text, ""))
-    return F.transform(ordered, lambda c, i: F.concat(c, (i + 1 - F.array_position(ordered, c)).cast("string")))
-
-
-def likely(pairs: DataFrame, least: float) -> DataFrame:
-    """Pairs ``(short, long)`` with letters enough in common for a score of ``least``."""
-    both = F.size(F.array_intersect(_letters(F.col("short")), _letters(F.col("long"))))
-    total = F.length("short") + F.length("long")
-    return pairs.filter(2 * both >= least * total - 1e-9)
-
-
 def similar_pairs(names: DataFrame, cutoff: int = ALIKE, column: str = "attribute") -> DataFrame:
-    """Pairs ``(a, b, score)`` of distinct names whose score reaches the cutoff.
-
-    Two texts with few insertions and deletions between them share a piece: if the shorter one
-    is cut into one piece more than there may be edits, some piece occurs unchanged in the
-    longer one, not far from its place. Pieces and the longer text's candidates meet in an
-    equi-join on (length, piece number, piece text). At low cutoffs pieces are short and many
-    texts meet; of those only pairs with enough letters in common are scored, since a common
-    subsequence cannot be longer than that. Neither rule loses a pair.
-    """
-    distinct = names.select(column).distinct().withColumn("sorted", token_sorted(F.col(column)))
-    distinct = materialize(distinct.filter(F.col("sorted") != ""))
-    texts = distinct.select("sorted").distinct().withColumn("len", F.length("sorted"))
-
-    # score >= cutoff means 2*lcs/(l1+l2) >= least, so edits <= (1-least)*(l1+l2). A unit in
-    # the last place is granted so that rounding never drops an edit.
-    least = (cutoff - 0.5) / 100.0
-    if not 0.5 < least <= 1.0:
-        raise ValueError("cutoff must lie between 51 and 100")
-
-    def edits(total: Column) -> Column:
-        return F.floor((1.0 - least) * total + 1e-9)
-
-    # Each text is indexed once for every edit bound a longer partner may imply.
-    longest = F.floor(F.col("len") * (2.0 - least) / least + 1e-9)
-    short = texts.select(
-        F.col("sorted").alias("short"),
-        F.col("len").alias("short_len"),
-        F.explode(
-            F.array_distinct(
-                F.transform(
-                    F.sequence(F.col("len").cast("bigint"), longest),
-                    lambda other: edits(F.col("len") + other),
-                )
-            )
-        ).alias("edits"),
-    )
-    size = F.col("short_len")
-    count = F.col("edits") + 1
-    start = F.floor(F.col("piece") * size / count)
-    stop = F.floor((F.col("piece") + 1) * size / count)
-    pieces = short.withColumn(
-        "piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("edits")))
-    ).select(
-        "short",
-        "short_len",
-        "edits",
-        "piece",
-        F.substring(F.col("short"), (start + 1).cast("int"), (stop - start).cast("int")).alias(
-            "text"
-        ),
-    )
-
-    # The longer text offers, per shorter length and piece, its substrings near that place.
-    shortest = F.ceil(F.col("len") * least / (2.0 - least) - 1e-9)
-    offers = texts.select(
-        F.col("sorted").alias("long"),
-        F.col("len").alias("long_len"),
-        F.explode(F.sequence(F.greatest(shortest, F.lit(1)), F.col("len").cast("bigint"))).alias(
-            "short_len"
-        ),
-    ).withColumn("edits", edits(F.col("long_len") + F.col("short_len")))
-    offers = offers.withColumn(
-        "piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("edits")))
-    )
-    width = stop - start
-    offers = (
-        offers.withColumn(
-            "at",
-            F.explode(
-                F.sequence(
-                    F.greatest(start - F.col("edits"), F.lit(0)),
-                    F.greatest(start - F.col("edits"), F.least(
-                        start + F.col("edits"), F.col("long_len") - width)),
-                )
-            ),
-        )
-        .select(
-            "long",
-            "short_len",
-            "edits",
-            "piece",
-            F.substring(F.col("long"), (F.col("at") + 1).cast("int"), width.cast("int")).alias(
-                "text"
-            ),
-        )
-    )
-    met = pieces.join(offers, ["short_len", "edits", "piece", "text"])
-    scored = (
-        likely(met.select("short", "long").distinct(), least)
-        .withColumn("score", sorted_ratio("short", "long"))
-        .filter(F.col("score") >= cutoff)
-    )
-    both = scored.select(F.col("short").alias("x"), F.col("long").alias("y"), "score").unionAll(
-        scored.filter(F.col("short") != F.col("long")).select("long", "short", "score")
-    )
-    both = both.distinct()
-    left = distinct.select(F.col(column).alias("a"), F.col("sorted").alias("x"))
-    right = distinct.select(F.col(column).alias("b"), F.col("sorted").alias("y"))
-    return (
-        both.join(left, "x").join(right, "y").filter(F.col("a") != F.col("b"))
-        .select("a", "b", "score")
-    )
+    """Pairs ``(a, b, score)`` of distinct names whose score reaches the cutoff."""
+    return alike.similar_pairs(names, cutoff, column)
 
 
 def attribute_clusters(
@@ -333,83 +111,86 @@ def _number_of(numbers: dict[str, int]):
     return lambda name: F.coalesce(F.element_at(table, name), F.lit(-1))
 
 
-def mapping_correctness(
-    structured: DataFrame, unstructured: DataFrame, column: str = "metadata"
-) -> DataFrame:
-    """Per facility and mapped field, how often the source key is there and the field filled.
+def _flags_of(names: Column) -> list[tuple[Column, Column]]:
+    """Per mapped field whether its name is among ``names``, and whether only spelled otherwise.
 
-    ``n_key`` counts files with one of the field's names, ``n_populated`` filled fields,
-    ``n_cast_failed`` files with the name but, for a number, no value, and ``n_case_only``
-    files in which only a differently written name is found. The row with the null facility
-    sums over all.
+    Names become numbers of the fields they belong to, once exactly and once without case.
     """
-    # Both sides are reduced to flags before they meet, so the shuffle carries no text.
-    filled = structured.select(
-        "hash", "facility", *[F.col(f.name).isNotNull().alias(f"_p_{f.name}") for f in MAPPED_FIELDS]
-    )
-    listed = unstructured.select("hash", global_attribute_names(column).alias("_names"))
-    # Names become numbers of the fields they belong to, once exactly and once without case.
     exact_of = _number_of({a: i for i, f in enumerate(MAPPED_FIELDS) for a in f.aliases})
     loose_of = _number_of({a.lower(): i for i, f in enumerate(MAPPED_FIELDS) for a in f.aliases})
-    listed = listed.select(
-        "hash",
-        F.transform("_names", exact_of).alias("_exact"),
-        F.transform("_names", lambda n: loose_of(F.lower(n))).alias("_loose"),
-    )
-    flags = []
-    for i, f in enumerate(MAPPED_FIELDS):
-        exact = F.array_contains("_exact", i)
-        flags += [
-            exact.alias(f"_k_{f.name}"),
-            (F.array_contains("_loose", i) & ~exact).alias(f"_c_{f.name}"),
-        ]
-    joined = filled.join(listed.select("hash", *flags), "hash")
-    tests = []
-    for f in MAPPED_FIELDS:
-        key, populated = F.col(f"_k_{f.name}"), F.col(f"_p_{f.name}")
-        lost = key & ~populated if f.numeric else F.lit(False)
-        tests.append(
-            F.struct(
-                key.alias("key"),
-                populated.alias("populated"),
-                lost.alias("lost"),
-                F.col(f"_c_{f.name}").alias("case_only"),
-            ).alias(f.name)
-        )
-    flat = joined.select("facility", *tests)
-    sums = []
-    for f in MAPPED_FIELDS:
-        sums.append(
-            F.struct(
-                *[
-                    F.count_if(F.col(f"{f.name}.{part}")).alias(f"n_{part}")
-                    for part in ("key", "populated", "lost", "case_only")
-                ]
-            ).alias(f.name)
-        )
-    wide = (
-        flat.groupingSets([[], ["facility"]], "facility")
-        .agg(F.count(F.lit(1)).alias("n_files"), *sums)
-    )
+    exact = F.transform(names, exact_of)
+    loose = F.transform(names, lambda n: loose_of(F.lower(n)))
+    return [
+        (F.array_contains(exact, i), F.array_contains(loose, i) & ~F.array_contains(exact, i))
+        for i in range(len(MAPPED_FIELDS))
+    ]
+
+
+def _field_sums(files: DataFrame, names: Column, populated: list[Column]) -> DataFrame:
+    """Per facility and mapped field the counts of ``mapping_correctness``, and those over all.
+
+    Files are read once and only added up, map-side first; the sums over all facilities come
+    from those of each.
+    """
+    tests = [
+        F.struct(key.alias("key"), filled.alias("populated"), (key & ~filled if f.numeric else F.lit(False)).alias("lost"),
+                 case_only.alias("case_only")).alias(f"_{f.name}")
+        for f, (key, case_only), filled in zip(MAPPED_FIELDS, _flags_of(names), populated)
+    ]
+    parts = ("key", "populated", "lost", "case_only")
+    flagged = files.select("facility", *tests)
+    sums = [F.struct(*[F.count_if(f"_{f.name}.{p}").alias(p) for p in parts]).alias(f"_{f.name}") for f in MAPPED_FIELDS]
+    wide = materialize(flagged.groupBy("facility").agg(F.count(F.lit(1)).alias("n_files"), *sums))
+    totals = [F.struct(*[F.sum(f"_{f.name}.{p}").alias(p) for p in parts]).alias(f"_{f.name}") for f in MAPPED_FIELDS]
+    whole = wide.agg(F.sum("n_files").alias("n_files"), *totals).filter("n_files > 0")
+    every = wide.unionByName(whole.withColumn("facility", F.lit(None).cast("string")))
     cells = F.array(
         *[
             F.struct(
-                F.lit(f.name).alias("field"),
-                F.col(f"{f.name}.n_key").alias("n_key"),
-                F.col(f"{f.name}.n_populated").alias("n_populated"),
-                F.col(f"{f.name}.n_lost").alias("n_cast_failed"),
-                F.col(f"{f.name}.n_case_only").alias("n_case_only"),
+                F.lit(f.name).alias("field"), F.col(f"_{f.name}.key").alias("n_key"),
+                F.col(f"_{f.name}.populated").alias("n_populated"), F.col(f"_{f.name}.lost").alias("n_cast_failed"),
+                F.col(f"_{f.name}.case_only").alias("n_case_only"),
             )
             for f in MAPPED_FIELDS
         ]
     )
-    return wide.select("facility", "n_files", F.inline(cells)).select(
+    return every.select("facility", "n_files", F.inline(cells)).select(
         "*",
         (F.col("n_key") * 100.0 / F.col("n_files")).alias("key_pct"),
         (F.col("n_populated") * 100.0 / F.col("n_files")).alias("populated_pct"),
     )
 
 
+def mapping_correctness(headers: DataFrame) -> DataFrame:
+    """Per facility and mapped field, how often the source key is there and the field filled.
+
+    ``n_key`` counts files with one of the field's names, ``n_populated`` filled fields,
+    ``n_cast_failed`` files with the name but, for a number, no value, and ``n_case_only``
+    files in which only a differently written name is found. The row with the null facility
+    sums over all. Counted where headers are extracted: nothing is parsed again or joined.
+    """
+    files = readable(headers)
+    filled = [
+        (to_number(F.col(f"raw.{f.name}")) if f.numeric else F.col(f"raw.{f.name}")).isNotNull() for f in MAPPED_FIELDS
+    ]
+    return _field_sums(files, F.col("global_attrs.name"), filled)
+
+
+def mapping_correctness_of_tables(
+    structured: DataFrame, unstructured: DataFrame, column: str = "metadata"
+) -> DataFrame:
+    """``mapping_correctness`` of index tables, where the headers are no longer at hand.
+
+    Names and filled fields of a file are in two tables; only names and flags meet.
+    """
+    filled = structured.select(
+        "hash", "facility", *[F.col(f.name).isNotNull().alias(f"_p_{f.name}") for f in MAPPED_FIELDS]
+    )
+    listed = unstructured.select("hash", global_attribute_names(column).alias("_names"))
+    joined = filled.join(listed, "hash")
+    return _field_sums(joined, F.col("_names"), [F.col(f"_p_{f.name}") for f in MAPPED_FIELDS])
+
+
 def mapping_flags(correctness: DataFrame) -> DataFrame:
     """Fields whose key is often there while the field is hardly ever filled."""
     return correctness.filter(
@@ -424,9 +205,9 @@ def mapping_suggestions(names: DataFrame, column: str = "attribute") -> DataFram
         [(f.name, a) for f in MAPPED_FIELDS for a in f.aliases], "field string, alias string"
     )
     every = names.select(F.col(column).alias("name")).unionAll(known.select("alias"))
-    alike = similar_pairs(every, SUGGESTION, "name")
+    pairs = similar_pairs(every, SUGGESTION, "name")
     same_spelling = names.select(F.col(column).alias("key")).distinct()
-    hits = alike.join(F.broadcast(known), alike["a"] == known["alias"]).select(
+    hits = pairs.join(F.broadcast(known), pairs["a"] == known["alias"]).select(
         "field", "alias", F.col("b").alias("key"), "score"
     )
     hits = hits.join(same_spelling, "key", "left_semi")

@@ -84,18 +84,26 @@ def _error() -> Column:
     return F.coalesce(F.col("read_error"), found)
 
 
+def _checked(headers: DataFrame) -> DataFrame:
+    """Headers with ``raw`` and ``error``."""
+    df = raw_values(headers)
+    if "read_error" not in df.columns:
+        df = df.withColumn("read_error", F.lit(None).cast("string"))
+    return df.withColumn("error", _error())
+
+
+def readable(headers: DataFrame) -> DataFrame:
+    """Headers that can be indexed, with ``raw`` and ``facility``."""
+    return _checked(headers).filter(F.col("error").isNull()).withColumn("facility", derive_facility(F.col("key")))
+
+
 def extract(headers: DataFrame) -> DataFrame:
     """Reference columns, ``structured``, ``unstructured`` and ``error``.
 
     One projection without a shuffle or a Python function. A bad header gives an error row;
     it cannot fail the job.
     """
-    df = raw_values(headers)
-    if "read_error" not in df.columns:
-        df = df.withColumn("read_error", F.lit(None).cast("string"))
-    df = df.withColumn("error", _error()).withColumn(
-        "_identity", object_hash(*[F.col(c) for c in IDENTITY_FIELDS])
-    )
+    df = _checked(headers).withColumn("_identity", object_hash(*[F.col(c) for c in IDENTITY_FIELDS]))
     base = {
         "bucket": F.col("bucket"),
         "key": F.col("key"),

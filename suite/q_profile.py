@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fathom.functions import attributes as A
 from fathom.functions.identity import derive_facility
 from fathom.operators import drift as R
+from fathom.operators import paths as T
 from fathom.operators import profile as P
 from fathom.operators.extract import extract
 from fathom.operators import dead_letters as D
@@ -237,7 +238,7 @@ PATHS_SQL = f"""
 
 @query("payload_paths", f"WITH {PATHS_SQL} SELECT path, kind, n_rows FROM paths")
 def payload_paths(spark, sf_dir):
-    return R.payload_paths(unstructured(spark, sf_dir))
+    return T.payload_paths(unstructured(spark, sf_dir))
 
 
 @query(
@@ -251,7 +252,7 @@ def payload_paths(spark, sf_dir):
         FROM paths x""",
 )
 def infer_json_schema(spark, sf_dir):
-    return R.infer_json_schema(unstructured(spark, sf_dir))
+    return T.infer_json_schema(unstructured(spark, sf_dir))
 
 
 @query(
@@ -293,9 +294,7 @@ def field_coverage(spark, sf_dir):
 
 
 def _correctness(spark, sf_dir):
-    good, _ = D.split_results(extract(V.header(spark, sf_dir)))
-    good = materialize(good)
-    return R.mapping_correctness(good.select("structured.*"), good.select("unstructured.*"))
+    return R.mapping_correctness(V.header(spark, sf_dir))
 
 
 _NUMERIC = [f.name for f in A.MAPPED_FIELDS if f.numeric]

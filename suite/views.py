@@ -209,10 +209,10 @@ _STORED: dict[tuple[str, str], DataFrame] = {}
 
 
 def header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The header table, written once per session as a reader's run would leave it."""
+    """The header table, written once per session as a reader's run would leave it: by many tasks."""
     place = (spark.sparkContext.applicationId, sf_dir)
     if place not in _STORED:
-        _STORED[place] = materialize(_header_rows(spark, sf_dir))
+        _STORED[place] = materialize(_header_rows(spark, sf_dir).repartition(2 * spark.sparkContext.defaultParallelism))
     return _STORED[place]
 
 

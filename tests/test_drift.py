@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions.similarity import _common_subsequence, natural_sort_key
 from fathom.operators import drift as R
+from fathom.operators import paths as P
 
 
 def lcs(a, b):
@@ -102,7 +103,7 @@ PAYLOADS = [
 
 def test_payload_paths(spark):
     df = spark.createDataFrame([(p,) for p in PAYLOADS], "metadata string")
-    got = {(r.path, r.kind): r.n_rows for r in R.payload_paths(df).collect()}
+    got = {(r.path, r.kind): r.n_rows for r in P.payload_paths(df).collect()}
     assert got == {
         ("global_attrs", "object"): 2, ("variables", "object"): 2, ("coordinates", "object"): 2,
         ("global_attrs.title", "string"): 1, ("global_attrs.title", "null"): 1,
@@ -110,7 +111,7 @@ def test_payload_paths(spark):
         ("variables.T", "object"): 1, ("variables.T.attrs", "object"): 1,
         ("variables.T.dims", "array"): 1, ("variables.T.attrs.u", "number"): 1,
     }
-    merged = {(r.path, r.kind): r.required for r in R.infer_json_schema(df).collect()}
+    merged = {(r.path, r.kind): r.required for r in P.infer_json_schema(df).collect()}
     assert merged.keys() == got.keys()
     assert {p for (p, _), required in merged.items() if not required} == {"variables.T"}
     keys = [(r.attribute, r.n_files) for r in R.attribute_keys(df).collect()]
@@ -125,28 +126,59 @@ def test_suggestions(spark):
     assert ("site_code", "site_code") not in got and ("conventions", "Conventions") not in got
 
 
-def test_deep_payload_paths(spark):
+def test_deep_payload_paths(spark, monkeypatch):
+    """Any depth, one parse of a payload, whatever the size of a task's tree."""
     deep = '{"a":{"b":{"c":{"d":{"e":{"f":{"g":{"h":{"i":1}}}},"x":{}}}}}}'
-    df = spark.createDataFrame([(deep,), ('{"a":{"b":2}}',), ("[1]",)], "metadata string")
-    for levels in (1, 2, 4, 9):
-        got = {(r.path, r.kind): r.n_rows for r in R.payload_paths(df, levels=levels).collect()}
-        path = "a.b.c.d.e.f.g.h.i"
-        want = {(path[: 2 * i + 1], "object"): 1 for i in range(8)} | {("a", "object"): 2, (path, "integer"): 1}
-        assert got == want | {("a.b", "integer"): 1, ("a.b.c.d.x", "object"): 1}, levels
-    required = {r.path: r.required for r in R.infer_json_schema(df).collect()}
-    assert required["a"] and required["a.b"] and required["a.b.c"] and required[path]
-
-
-def test_few_pairs_are_scored(spark):
-    """The bound on common letters keeps most pairs from being scored, and loses none."""
-    from suite.q_profile import _vocabulary
+    payloads = [(deep,), ('{"a":{"b":2}}',), ("[1]",), (None,), ('{"a":%d,"n":NULL}'.replace("NULL", "1e400") % 2**70,)]
+    df = spark.createDataFrame(payloads, "metadata string")
+    path = "a.b.c.d.e.f.g.h.i"
+    want = {(path[: 2 * i + 1], "object"): 1 for i in range(8)} | {("a", "object"): 2, (path, "integer"): 1}
+    want |= {("a.b", "integer"): 1, ("a.b.c.d.x", "object"): 1, ("a", "number"): 1, ("n", "number"): 1}
+    for nodes in (200_000, 3):
+        monkeypatch.setattr(P, "MOST_NODES", nodes)
+        assert {(r.path, r.kind): r.n_rows for r in P.payload_paths(df).collect()} == want
+    required = {r.path: r.required for r in P.infer_json_schema(df).collect()}
+    assert required["a"] and required["a.b"] and required["a.b.c"] and required[path] and not required["n"]
+    plan = P.payload_paths(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "variant" not in plan
+    chain = 900
+    one = spark.createDataFrame([('{"k":' * chain + "0" + "}" * chain,)], "metadata string")
+    assert P.payload_paths(one).count() == chain
+    assert P.payload_paths(df.limit(0)).collect() == P.infer_json_schema(df.limit(0)).collect() == []
+
+
+def test_payload_that_is_not_json(spark):
+    for bad in ('{"a":NaN}', "{", ""):
+        with pytest.raises(Exception, match="JSON|Expecting"):
+            P.payload_paths(spark.createDataFrame([(bad,)], "metadata string")).collect()
+
+
+def test_few_pairs_meet(spark):
+    """Below a twentieth of all pairs meet in the join, fewer are scored, and none is lost."""
     from fathom.functions.similarity import sorted_ratio, token_sorted
+    from fathom.operators import alike
+    from suite.q_profile import _vocabulary
 
-    names = _vocabulary(spark, "/root/testdata/sf0.001")
-    texts = names.select(token_sorted(F.col("attribute")).alias("t")).filter("t <> ''").distinct().limit(150)
-    a, b = texts.select(F.col("t").alias("short")), texts.select(F.col("t").alias("long"))
-    pairs = a.join(b, F.length("short") <= F.length("long"))
-    left = R.likely(pairs, 0.795)
-    alike = lambda df: {tuple(r) for r in df.withColumn("s", sorted_ratio("short", "long")).filter("s >= 80").select("short", "long").collect()}
-    assert alike(left) == alike(pairs)
-    assert left.count() < 0.05 * pairs.count()
+    names = _vocabulary(spark, "/root/testdata/sf0.01")
+    texts = names.select(token_sorted(F.col("attribute")).alias("text")).filter("text <> ''").distinct()
+    index = alike.letter_index(texts).cache()
+    met = alike.met_pairs(index, 0.795).cache()
+    left = alike.likely(met, index, 0.795)
+    n = index.count()
+    assert left.count() <= met.count() < 0.05 * n * (n + 1) / 2
+    some = index.filter("crc32(text) % 8 = 0").select("text", "len")
+    a, b = some.toDF("short", "m"), some.toDF("long", "n")
+    every = a.join(b, (F.col("m") < F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("short") < F.col("long"))))
+    alike_ones = lambda df: {tuple(r) for r in df.withColumn("s", sorted_ratio("short", "long")).filter("s >= 80").select("short", "long").collect()}
+    want = alike_ones(every)
+    assert len(want) > 10 and want == alike_ones(left.join(a.select("short"), "short").join(b.select("long"), "long"))
+
+
+def test_short_texts_and_wide_cutoffs(spark):
+    """Texts of a letter or two, and cutoffs at which nearly all letters may be missing."""
+    rng = random.Random(7)
+    names = sorted({"".join(rng.choices("abé0", k=rng.randint(1, 7))) for _ in range(150)} | {"a", "A", "aa", "a a", "é"})
+    for cutoff in (51, 67, 100):
+        want = {(a, b): ratio(a, b) for a, b in itertools.permutations(names, 2) if ratio(a, b) >= cutoff}
+        got = R.similar_pairs(frame(spark, names), cutoff).collect()
+        assert {(r.a, r.b): r.score for r in got} == want and len(got) == len(want)
