@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 from fathom.functions.identity import derive_facility, object_hash
 from fathom.operators.store import as_of
 from fathom.schema import IDENTITY_FIELDS, OBJECT_REFERENCE
+from fathom.session import materialize
 
 # Default scan projection, indexed facilities, sample size per facility.
 DEFAULT_FIELDS = ("bucket", "key", "version_id", "size", "sequence_number", "is_delete_marker")
@@ -150,33 +151,44 @@ def delta_inventory(
     return source.join(keys, same, "left_anti")
 
 
+#: Buckets of a draw whose rows are counted per facility.
+DRAW_BUCKETS = 4096
+
+
 def facility_subset(
     inventory: DataFrame,
     per_facility: int = SUBSET_PER_FACILITY,
     seed: str = "0",
-    salts: int = 64,
+    buckets: int = DRAW_BUCKETS,
 ) -> DataFrame:
     """Seeded random sample of at most ``per_facility`` rows of each facility.
 
-    A facility may hold most of the corpus, so it is ranked twice: first in ``salts`` parts,
-    then over the survivors of all parts. The second ranking sees at most
-    ``salts * per_facility`` rows of a facility. The result is exactly that of one ranking.
+    Every row has a draw, and a facility's sample are its rows of least draw. How many rows fall
+    into each of ``buckets`` equal ranges of draws is counted first, with at most that many
+    numbers a facility in a task; it tells the range that holds the last row of the sample. Rows
+    beyond it are left out by a filter, and only the rest is ranked: the sample and at most one
+    range more, which is a facility's rows over ``buckets``.
     """
     if per_facility < 1:
         raise ValueError("per_facility must be at least 1")
-    names = inventory.columns
     df = inventory
-    if "facility" not in names:
+    if "facility" not in inventory.columns:
         df = df.withColumn("facility", derive_facility(F.col("key")))
     identity = object_hash(*[F.col(c) for c in IDENTITY_FIELDS])
     draw = F.sha2(F.concat(F.lit(f"{seed}:"), identity), 256)
-    df = (
-        df.filter(F.col("facility").isNotNull())
-        .withColumn("_draw", draw)
-        .withColumn("_salt", F.pmod(F.xxhash64("_draw"), F.lit(salts)))
+    # The draw's first 32 bits, cut into ranges in the order of the draws.
+    head = F.conv(F.substring("_draw", 1, 8), 16, 10).cast("bigint")
+    drawn = df.filter(F.col("facility").isNotNull()).withColumn("_draw", draw).withColumn(
+        "_range", F.floor(head * buckets / F.lit(1 << 32)).cast("int")
+    )
+    counts = drawn.groupBy("facility", "_range").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(
+        Window.partitionBy("facility").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     )
-    order = [F.col("_draw"), F.col("size")]
-    for keys in (["facility", "_salt"], ["facility"]):
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        df = df.withColumn("_rank", rank).filter(F.col("_rank") <= per_facility)
-    return df.drop("_draw", "_salt", "_rank")
+    needed = counts.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < per_facility)
+    # A row a facility; its stored size decides whether it is broadcast.
+    bounds = materialize(needed.groupBy(F.col("facility").alias("_of")).agg(F.max("_range").alias("_last")))
+    within = drawn.join(bounds, (F.col("facility") == F.col("_of")) & (F.col("_range") <= F.col("_last")))
+    rank = F.row_number().over(Window.partitionBy("facility").orderBy("_draw", "size"))
+    ranked = within.withColumn("_rank", rank).filter(F.col("_rank") <= per_facility)
+    return ranked.drop("_draw", "_range", "_of", "_last", "_rank")

@@ -72,11 +72,11 @@ def test_prefixes_reach_the_files(spark, tmp_path):
     assert "StringStartsWith" in plan and "version_id" not in plan.split("ReadSchema")[1]
 
 
-@pytest.mark.parametrize("salts", [1, 7])
-def test_facility_subset_equals_one_ranking(spark, salts):
+@pytest.mark.parametrize("buckets", [1, 7, 4096])
+def test_facility_subset_equals_one_ranking(spark, buckets):
     rows = [("b", f"r/F{0 if i % 10 else 1}/{i}/x.nc", str(i), i) for i in range(500)]
     df = refs(spark, *rows)
-    got = I.facility_subset(df, per_facility=40, seed="s", salts=salts)
+    got = I.facility_subset(df, per_facility=40, seed="s", buckets=buckets)
     drawn = df.withColumn("f", F.split("key", "/")[1]).withColumn(
         "d", F.sha2(F.concat(F.lit("s:"), object_hash(*map(F.col, ("bucket", "key", "version_id")))), 256)
     ).collect()
