@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -144,6 +145,13 @@ def write(
     return _write_commit(typed, path, partition_by)
 
 
+def commits_since_compaction(spark: SparkSession, path: str) -> int:
+    """Commits that a read resolves beside the newest compaction, or beside the first commit."""
+    done, compacted = commits(spark, path), commits(spark, f"{path}/{COMPACTED}")
+    base = max([n for n in compacted if n in done], default=min(done))
+    return sum(n > base for n in done)
+
+
 def compact(spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None) -> int:
     """Write the state after the last commit in one piece; the number of that commit.
 
@@ -226,15 +234,30 @@ def current(log: DataFrame) -> DataFrame:
     return joined.filter(stays).drop("_hash", "_last")
 
 
+#: Row numbers (8 bytes each) up to which the optimizer may choose how rows are left out.
+FEW_ROWS = 500_000
+
+
 def latest(df: DataFrame, order: Column, keys: Sequence[str] = ("hash",)) -> DataFrame:
-    """Last row per key by ``order``.
+    """Last row per key by ``order``, nulls first; of equal orders the one that is stored last.
 
-    An aggregate, not a window: each task keeps one row per key before the shuffle, so a
-    key with very many copies costs its receiver one row per task.
+    Rows are stored once with a number each. What is grouped are keys, order and number, and
+    only of keys that occur again; the wide rows meet the numbers that are to go in the end, in
+    a hash join, so that they are sorted nowhere. A key with very many copies costs its
+    receiver one row per task.
     """
-    row = F.struct(*[F.col(c) for c in df.columns])
-    last = F.max_by(row, order).alias("_row")
-    return df.groupBy(*keys).agg(last).select("_row.*")
+    order_name, number = "_latest_order", "_latest_row"
+    stored = materialize(df.withColumn(order_name, order).withColumn(number, F.monotonically_increasing_id()))
+    narrow = stored.select(*keys, number, order_name)
+    place = F.struct(order_name, number)
+    again = narrow.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        F.max(place).alias("_last"), F.count(F.lit(1)).alias("_n")
+    ).filter("_n > 1")
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys))
+    gone = materialize(narrow.join(again, same).filter(F.col(number) != F.col(f"_last.{number}")).select(number))
+    if gone.limit(FEW_ROWS + 1).count() > FEW_ROWS:
+        gone = gone.hint("shuffle_hash")
+    return stored.join(gone, number, "left_anti").drop(order_name, number)
 
 
 def dedupe_last(df: DataFrame, order: Column, keys: Sequence[str] = ("hash",)) -> DataFrame:
