@@ -1,12 +1,19 @@
 """Schema variance: which sets of variables occur, where, and how they differ.
 
 Everything after the first count runs on distinct schemas, not on files. Lists that grow
-with the corpus (directories of a schema) stay rows; lists that are bounded by one schema or
-by the vocabulary of variable names are arrays.
+with the corpus (directories of a schema, the vocabulary) stay rows; lists that are bounded by
+one schema are arrays.
+
+What schemas lack is coded by its difference to a common core, the variables that more than half
+of the schemas have: a schema's rows are the core variables it lacks and the others it has. The
+core is at most twice as long as the mean schema, and there are never more rows than variables
+in all schemas together, whatever the number of schemas and of names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +22,13 @@ from fathom.functions.identity import dir_prefix
 from fathom.operators.ranking import with_position
 from fathom.session import materialize
 
-# Fixed value: how many schemas the overview shows.
+# How many schemas the overview shows, and the report's heads.
 TOP_SCHEMAS = 10
+ALL_HEAD = "All Variables Found"
+DETAILS_HEAD = "Schema Variance Details"
+UNIQUE_HEAD = "  Variables Unique to This Schema:"
+MISSING_HEAD = "  Variables Missing from This Schema"
+PREFIXES_HEAD = "  Associated Prefixes"
 # End of fixed values.
 
 _ITEM = r"""'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+\""""
@@ -143,11 +155,20 @@ def _unique(schemas: DataFrame) -> DataFrame:
     )
 
 
-def _missing(schemas: DataFrame) -> DataFrame:
-    # One list of the distinct variable names: every output row is up to that long anyway.
-    names = F.sort_array(F.collect_set("variable"))
-    every = _variables(schemas).agg(names).scalar()
-    return schemas.select("schema", F.array_except(every, F.col("names")).alias("missing"))
+def _spread(schemas: DataFrame) -> DataFrame:
+    """``variable, n_schemas, in_core``: in how many schemas each variable is, and if in most."""
+    total = schemas.agg(F.count(F.lit(1))).scalar()
+    counted = _variables(schemas).groupBy("variable").agg(F.count(F.lit(1)).alias("n_schemas"))
+    return counted.withColumn("in_core", 2 * F.col("n_schemas") > total)
+
+
+def _departures(schemas: DataFrame, spread: DataFrame) -> DataFrame:
+    """``schema, variable, departs``: core variables a schema ``lacks``, others that it ``adds``."""
+    core = spread.filter("in_core").agg(F.sort_array(F.collect_list("variable"))).scalar()
+    lacks = schemas.select("schema", F.explode(F.array_except(core, "names")).alias("variable"), F.lit("lacks").alias("departs"))
+    others = spread.filter("NOT in_core").select("variable")
+    adds = _variables(schemas).join(others, "variable").select("schema", "variable", F.lit("adds").alias("departs"))
+    return lacks.unionByName(adds)
 
 
 def all_variables(df: DataFrame, column: str = "variables") -> DataFrame:
@@ -160,9 +181,32 @@ def unique_variables(df: DataFrame, column: str = "variables") -> DataFrame:
     return _unique(_distinct(df, column))
 
 
-def missing_variables(df: DataFrame, column: str = "variables") -> DataFrame:
-    """Per schema the variables of other schemas that it lacks."""
-    return _missing(_distinct(df, column))
+def variable_spread(df: DataFrame, column: str = "variables") -> DataFrame:
+    """Each variable with the number of schemas that have it, and whether most do (the core)."""
+    return _spread(materialize(_distinct(df, column)))
+
+
+def variable_departures(df: DataFrame, column: str = "variables") -> DataFrame:
+    """Per schema how it departs from the core: rows ``(schema, variable, departs)``.
+
+    With ``variable_spread`` this tells all that any schema lacks: the core variables it
+    ``lacks``, and of those outside the core all but the ones it ``adds``.
+    """
+    schemas = materialize(_distinct(df, column))
+    return _departures(schemas, materialize(_spread(schemas)))
+
+
+def missing_variables(df: DataFrame, wanted: Sequence[str], column: str = "variables") -> DataFrame:
+    """``schema, variable``: all that the ``wanted`` schemas (a short list of texts) lack."""
+    schemas = materialize(_distinct(df, column))
+    spread = materialize(_spread(schemas))
+    chosen = schemas.filter(F.col("schema").isin(*wanted))
+    departs = _departures(chosen, spread)
+    lacks = departs.filter("departs = 'lacks'").select("schema", "variable")
+    adds = departs.filter("departs = 'adds'").select("schema", "variable")
+    known = F.array_sort(F.collect_set("schema"))
+    others = spread.filter("NOT in_core").select(F.explode(chosen.agg(known).scalar()).alias("schema"), "variable")
+    return lacks.unionByName(others.join(adds, ["schema", "variable"], "left_anti"))
 
 
 def variance_summary(df: DataFrame, column: str = "variables") -> DataFrame:
@@ -218,9 +262,10 @@ def variance_report(
 ) -> DataFrame:
     """The report as ordered lines ``(block, line, item, text)``.
 
-    Block 0 is the head, block 1 the list of all variables, and the blocks from 2 on are the
-    schemas by frequency. Every line is a row, so a schema with very many directories is not
-    one long text. The run's time is left out; ``write_report`` puts it in front.
+    Block 0 is the head, then come all variables, those of the common core, and from block 4 on
+    the schemas by frequency. What a schema lacks is listed as far as most schemas have it; of
+    the rest the number is given. Every line is a row, so a schema with very many directories is
+    not one long text. The run's time is left out; ``write_report`` puts it in front.
     """
     bar = "=" * 80
     # Files are read once; the report is made from their counts per schema and directory.
@@ -231,77 +276,69 @@ def variance_report(
         .agg(F.count(F.lit(1)).alias("n_files"))
     )
     known = places.filter(F.col("schema").isNotNull())
-    counts = materialize(known.groupBy("schema", "names").agg(F.sum("n_files").alias("n_files")))
+    counts = materialize(
+        known.groupBy("schema", "names").agg(F.sum("n_files").alias("n_files"), F.count(F.lit(1)).alias("n_prefixes"))
+    )
     ranked = materialize(_ranked(counts))
+    spread = materialize(_spread(counts))
+    departs = materialize(_departures(counts, spread))
+    n_variables = spread.agg(F.count(F.lit(1))).scalar()
+    n_core = spread.agg(F.count_if("in_core")).scalar()
     summary = counts.agg(F.count(F.lit(1)).alias("total_schemas")).select(
         "total_schemas",
         F.coalesce(places.agg(F.sum("n_files")).scalar(), F.lit(0)).alias("total_records"),
-        _vocabulary(counts).agg(F.count(F.lit(1))).scalar().alias("total_variables"),
+        n_variables.alias("total_variables"), n_core.alias("total_core"),
     )
 
-    def lines(source: DataFrame, block: Column, line: int, item: Column, text: Column):
+    def lines(source: DataFrame, block: Column, line: int, item: Column, *text: Column | str):
+        parts = [F.lit(t) if isinstance(t, str) else t.cast("string") for t in text]
         return source.select(
-            block.cast("bigint").alias("block"),
-            F.lit(line).alias("line"),
-            item.cast("string").alias("item"),
-            text.alias("text"),
+            block.cast("bigint").alias("block"), F.lit(line).alias("line"), item.cast("string").alias("item"),
+            F.concat(*parts).alias("text"),
+        )
+
+    def heads(block: int, *text: Column | str):
+        parts = F.array(*[F.lit(t) if isinstance(t, str) else t for t in text])
+        return summary.select(F.lit(block).cast("bigint").alias("block"), F.posexplode(parts).alias("line", "text")).select(
+            "block", "line", F.lit("").alias("item"), "text"
         )
 
+    def total(name: str) -> Column:
+        return F.col(f"total_{name}").cast("string")
+
     none = F.lit("")
-    block = F.col("rank") + 1
-    head = summary.select(
-        F.posexplode(
-            F.array(
-                F.lit("Schema variance"),
-                F.lit(bar),
-                F.lit(f"Query Prefix: {prefix or 'All data'}"),
-                F.concat(F.lit("Total Records: "), F.col("total_records").cast("string")),
-                F.concat(F.lit("Total Distinct Schemas: "), F.col("total_schemas").cast("string")),
-                F.concat(F.lit("Total Unique Variables: "), F.col("total_variables").cast("string")),
-            )
-        ).alias("line", "text")
-    ).select(F.lit(0).cast("bigint").alias("block"), "line", F.lit("").alias("item"), "text")
-    listed = lines(
-        _vocabulary(counts), F.lit(1), 1, F.col("variable"), F.concat(F.lit("  - "), F.col("variable"))
-    )
-    title = lines(ranked, block, 0, none, F.concat(F.lit("Schema #"), F.col("rank").cast("string")))
-    shown = lines(
-        ranked,
-        block,
-        1,
-        none,
-        F.concat(
-            F.lit("  Variables ("), F.size("names").cast("string"), F.lit("): "), F.col("schema")
-        ),
-    )
-    files = lines(
-        ranked, block, 2, none, F.concat(F.lit("  Record Count: "), F.col("n_files").cast("string"))
-    )
+    block = F.col("rank") + 3
+    variable = F.col("variable")
     rank_of = ranked.select("schema", "rank")
-    own = lines(
-        _unique(counts).join(rank_of, "schema"),
-        block,
-        3,
-        F.col("variable"),
-        F.concat(F.lit("  Only here: "), F.col("variable")),
-    )
-    lacking = _missing(counts).select("schema", F.explode("missing").alias("variable"))
-    lacks = lines(
-        lacking.join(rank_of, "schema"),
-        block,
-        4,
-        F.col("variable"),
-        F.concat(F.lit("  Missing: "), F.col("variable")),
+    unique = materialize(_unique(counts).join(rank_of, "schema"))
+    lacks = departs.filter("departs = 'lacks'").join(rank_of, "schema")
+    n_lacks = departs.groupBy("schema").agg(F.count_if(F.col("departs") == "lacks").alias("n_lacks"))
+    lacking = ranked.join(n_lacks, "schema", "left").withColumn(
+        "n_missing", n_variables - F.size(F.array_distinct("names"))
+    ).withColumn("n_other", F.col("n_missing") - F.coalesce("n_lacks", F.lit(0)))
+    report = heads(
+        0, "Schema variance", bar, f"Query Prefix: {prefix or 'All data'}",
+        F.concat(F.lit("Total Records: "), total("records")), F.concat(F.lit("Total Distinct Schemas: "), total("schemas")),
+        F.concat(F.lit("Total Unique Variables: "), total("variables")),
     )
-    folders = lines(
-        known.select("schema", "prefix").join(rank_of, "schema"),
-        block,
-        5,
-        F.col("prefix"),
-        F.concat(F.lit("    - "), F.col("prefix")),
+    parts = (
+        heads(1, bar, ALL_HEAD, bar),
+        lines(spread, F.lit(1), 3, variable, "  - ", variable),
+        heads(2, bar, F.concat(F.lit("Variables of Most Schemas ("), total("core"), F.lit(")")), bar),
+        lines(spread.filter("in_core"), F.lit(2), 3, variable, "  - ", variable, ": ", F.col("n_schemas")),
+        heads(3, bar, DETAILS_HEAD, bar),
+        lines(ranked, block, 0, none, "Schema #", F.col("rank")),
+        lines(ranked, block, 1, none, "  Variables (", F.size("names"), "): ", F.col("schema")),
+        lines(ranked, block, 2, none, "  Record Count: ", F.col("n_files")),
+        lines(unique.select("rank").distinct(), block, 3, none, UNIQUE_HEAD),
+        lines(unique, block, 4, variable, "    + ", variable),
+        lines(lacking.filter("n_missing > 0"), block, 5, none, MISSING_HEAD, " (", F.col("n_missing"), "):"),
+        lines(lacks, block, 6, variable, "    - ", variable),
+        lines(lacking.filter("n_other > 0"), block, 7, none, "    and ", F.col("n_other"), " that most schemas lack"),
+        lines(ranked, block, 8, none, PREFIXES_HEAD, " (", F.col("n_prefixes"), "):"),
+        lines(known.select("schema", "prefix").join(rank_of, "schema"), block, 9, F.col("prefix"), "    - ", F.col("prefix")),
     )
-    report = head
-    for part in (listed, title, shown, files, own, lacks, folders):
+    for part in parts:
         report = report.unionByName(part)
     return report.orderBy("block", "line", "item")
 

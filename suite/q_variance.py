@@ -96,17 +96,39 @@ def unique_variables(spark, sf_dir):
     return found.select(plain.alias("schema"), "variable")
 
 
+# Variables by the number of schemas that have them; how schemas depart from what most have.
+SPREAD_SQL = """
+    schemas AS (SELECT DISTINCT schema, names FROM variance_rows),
+    spread AS (SELECT v AS variable, count(*) AS n_schemas,
+                      2 * count(*) > (SELECT count(*) FROM schemas) AS in_core
+               FROM (SELECT unnest(list_distinct(names)) AS v FROM schemas) GROUP BY v),
+    departures AS (
+      SELECT schema, variable, CASE WHEN in_core THEN 'lacks' ELSE 'adds' END AS departs
+      FROM schemas, spread WHERE list_contains(names, variable) <> in_core)"""
+
+
+@query("missing_variables", f"WITH {SPREAD_SQL} SELECT schema, variable, departs FROM departures")
+def missing_variables(spark, sf_dir):
+    """What schemas lack, coded by the difference to the variables of most schemas."""
+    return X.variable_departures(rows(spark, sf_dir))
+
+
+@query("variable_spread", f"WITH {SPREAD_SQL} SELECT variable, n_schemas, in_core FROM spread")
+def variable_spread(spark, sf_dir):
+    return X.variable_spread(rows(spark, sf_dir))
+
+
 @query(
-    "missing_variables",
-    """SELECT schema, coalesce(string_agg(v, ',' ORDER BY v), '') AS missing
-       FROM (SELECT DISTINCT schema, names FROM variance_rows) s
-       LEFT JOIN (SELECT DISTINCT unnest(names) AS v FROM variance_rows) a
-         ON NOT list_contains(names, v)
-       GROUP BY schema""",
+    "missing_of_top_schemas",
+    f"""WITH {SPREAD_SQL},
+        top AS (SELECT schema FROM variance_rows GROUP BY schema ORDER BY count(*) DESC, schema LIMIT 10)
+        SELECT schema, variable FROM schemas JOIN top USING (schema), spread WHERE NOT list_contains(names, variable)""",
 )
-def missing_variables(spark, sf_dir):
-    found = X.missing_variables(rows(spark, sf_dir))
-    return found.select("schema", F.array_join("missing", ",").alias("missing"))
+def missing_of_top_schemas(spark, sf_dir):
+    """In full for the most frequent schemas."""
+    files = rows(spark, sf_dir)
+    wanted = [r.schema for r in X.top_schemas(files).select("schema").collect()]
+    return X.missing_variables(files, wanted)
 
 
 @query(
@@ -151,28 +173,43 @@ def variable_contains(spark, sf_dir):
     )
 
 
+_BAR = "repeat('=', 80)"
+
+
 @query(
     "variance_report",
-    f"""WITH ranked AS (
+    f"""WITH {SPREAD_SQL},
+        ranked AS (
           SELECT schema, any_value(names) AS names, count(*) AS n,
                  row_number() OVER (ORDER BY count(*) DESC, schema) AS rank
           FROM variance_rows GROUP BY schema),
-        vocabulary AS (SELECT DISTINCT unnest(names) AS v FROM variance_rows)
+        places AS (SELECT DISTINCT schema, prefix FROM {PREFIXED}),
+        lacking AS (
+          SELECT rank, (SELECT count(*) FROM spread) - len(list_distinct(names)) AS n_missing,
+                 (SELECT count(*) FROM departures d WHERE d.schema = r.schema AND departs = 'lacks') AS n_lacks
+          FROM ranked r),
+        lone AS (SELECT schema, variable FROM schemas, spread WHERE n_schemas = 1 AND list_contains(names, variable))
         SELECT text FROM (
-          SELECT unnest(['Schema variance', repeat('=', 80), 'Query Prefix: IMOS/%',
+          SELECT unnest(['Schema variance', {_BAR}, 'Query Prefix: IMOS/%',
             'Total Records: ' || (SELECT count(*) FROM idx),
             'Total Distinct Schemas: ' || (SELECT count(*) FROM ranked),
-            'Total Unique Variables: ' || (SELECT count(*) FROM vocabulary)]) AS text
-          UNION ALL SELECT '  - ' || v FROM vocabulary
+            'Total Unique Variables: ' || (SELECT count(*) FROM spread),
+            {_BAR}, 'All Variables Found', {_BAR},
+            {_BAR}, 'Variables of Most Schemas (' || (SELECT count(*) FROM spread WHERE in_core) || ')', {_BAR},
+            {_BAR}, 'Schema Variance Details', {_BAR}]) AS text
+          UNION ALL SELECT '  - ' || variable FROM spread
+          UNION ALL SELECT '  - ' || variable || ': ' || n_schemas FROM spread WHERE in_core
           UNION ALL SELECT 'Schema #' || rank FROM ranked
           UNION ALL SELECT '  Variables (' || len(names) || '): ' || schema FROM ranked
           UNION ALL SELECT '  Record Count: ' || n FROM ranked
-          UNION ALL SELECT '  Only here: ' || v FROM (
-            SELECT v, count(*) AS c FROM ranked, vocabulary WHERE list_contains(names, v)
-            GROUP BY v) WHERE c = 1
-          UNION ALL SELECT '  Missing: ' || v FROM ranked, vocabulary
-            WHERE NOT list_contains(names, v)
-          UNION ALL SELECT '    - ' || prefix FROM (SELECT DISTINCT schema, prefix FROM {PREFIXED}))""",
+          UNION ALL SELECT '  Variables Unique to This Schema:' FROM (SELECT DISTINCT schema FROM lone)
+          UNION ALL SELECT '    + ' || variable FROM lone
+          UNION ALL SELECT '  Variables Missing from This Schema (' || n_missing || '):' FROM lacking WHERE n_missing > 0
+          UNION ALL SELECT '    - ' || variable FROM departures WHERE departs = 'lacks'
+          UNION ALL SELECT '    and ' || (n_missing - n_lacks) || ' that most schemas lack'
+            FROM lacking WHERE n_missing > n_lacks
+          UNION ALL SELECT '  Associated Prefixes (' || count(*) || '):' FROM places GROUP BY schema
+          UNION ALL SELECT '    - ' || prefix FROM places)""",
 )
 def variance_report(spark, sf_dir):
     path = shared_dir(spark)

@@ -36,9 +36,14 @@ def test_differences(files):
     assert {(r.schema, r.variable) for r in X.unique_variables(files).collect()} == {
         ("['a', 'b']", "b"), ("['a', 'c']", "c"),
     }
-    assert {r.schema: r.missing for r in X.missing_variables(files).collect()} == {
-        "['a', 'b']": ["c"], "['a', 'c']": ["b"], "[]": ["a", "b", "c"],
+    assert {(r.variable, r.n_schemas, r.in_core) for r in X.variable_spread(files).collect()} == {
+        ("a", 2, True), ("b", 1, False), ("c", 1, False),
     }
+    assert {tuple(r) for r in X.variable_departures(files).collect()} == {
+        ("['a', 'b']", "b", "adds"), ("['a', 'c']", "c", "adds"), ("[]", "a", "lacks"),
+    }
+    missing = X.missing_variables(files, ["['a', 'b']", "[]"]).collect()
+    assert {tuple(r) for r in missing} == {("['a', 'b']", "c"), ("[]", "a"), ("[]", "b"), ("[]", "c")}
     assert X.variance_summary(files).first() == (3, 6, 3)
 
 
@@ -55,11 +60,26 @@ def test_report(files):
         "Query Prefix: All data", "Total Records: 6", "Total Distinct Schemas: 3",
         "Total Unique Variables: 3",
     ]
+    assert lines[6:10] == ["=" * 80, "All Variables Found", "=" * 80, "  - a"]
     at = lines.index("Schema #1")
-    assert lines[at + 1:at + 7] == [
-        "  Variables (2): ['a', 'b']", "  Record Count: 3", "  Only here: b", "  Missing: c",
-        "    - IMOS/A/x/", "    - IMOS/B/y/",
+    assert lines[at - 7 : at] == [
+        "=" * 80, "Variables of Most Schemas (1)", "=" * 80, "  - a: 2", "=" * 80, "Schema Variance Details", "=" * 80,
+    ]
+    assert lines[at + 1 : at + 10] == [
+        "  Variables (2): ['a', 'b']", "  Record Count: 3", "  Variables Unique to This Schema:", "    + b",
+        "  Variables Missing from This Schema (1):", "    and 1 that most schemas lack",
+        "  Associated Prefixes (2):", "    - IMOS/A/x/", "    - IMOS/B/y/",
     ]
+    assert "    - a" in lines[lines.index("Schema #3"):]
+
+
+def test_departures_are_no_more_than_names(spark):
+    """Many schemas with names of their own: all pairs would be 40,000 rows."""
+    rows = [(f"a/{i}.nc", ["time", "lat", *([] if i % 10 == 0 else ["depth"]), f"own_{i}"]) for i in range(200)]
+    df = spark.createDataFrame(rows, "key string, variables array<string>")
+    found = X.variable_departures(df).collect()
+    assert len(found) == 200 + 20 and {r.variable for r in found if r.departs == "lacks"} == {"depth"}
+    assert X.variance_report(df).count() < 200 * 12
 
 
 def test_list_text_is_never_run(spark):
