@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Names and units that tell a coordinate's role, and pressure units.
+from fathom.functions.units import of_pressure, with_dimension
+
+# Names and units that tell a coordinate's role.
 NAMED_ROLES = ("latitude", "longitude", "depth", "time")
 LATITUDE_UNITS = (
     "degrees_north", "degree_north", "degree_N", "degrees_N", "degreeN", "degreesN",
@@ -13,10 +15,6 @@ LATITUDE_UNITS = (
 LONGITUDE_UNITS = (
     "degrees_east", "degree_east", "degree_E", "degrees_E", "degreeE", "degreesE",
 )
-PRESSURE_UNITS = (
-    "bar", "dbar", "decibar", "decibars", "mbar", "millibar", "millibars", "Pa", "pascal",
-    "hPa", "kPa", "MPa", "atm", "psi",
-)
 TIME_REFERENCE = (
     r"(?i)^\s*(microsecond|millisecond|second|sec|s|minute|min|hour|hr|h|day|d|week|month|year)s?"
     r"\s+since\s+\S"
@@ -35,18 +33,23 @@ def classify_coord(
     """``latitude``, ``longitude``, ``time``, ``depth`` or ``other``.
 
     The standard name decides; then angular units; then a time type or ``... since ...``
-    units; then pressure units or a vertical direction, except for air and stress.
+    units; then any unit of pressure or a vertical direction, except for air and stress. A text
+    that is no unit makes the role ``other``, whatever the direction.
     """
     name = F.lower(F.coalesce(standard_name, F.lit("")))
-    vertical = units.isin(*PRESSURE_UNITS) | F.lower(positive).isin("up", "down")
     foreign = name.contains("air") | name.contains("stress")
+    vertical = F.coalesce(F.lower(positive).isin("up", "down"), F.lit(False))
+
+    def measured(powers: Column) -> Column:
+        return F.when(powers.isNotNull() & (vertical | of_pressure(powers)) & ~foreign, "depth").otherwise("other")
+
     return (
         F.when(name.isin(*NAMED_ROLES), name)
         .when(units.isin(*LATITUDE_UNITS), "latitude")
         .when(units.isin(*LONGITUDE_UNITS), "longitude")
         .when(dtype.startswith("datetime64") | units.rlike(TIME_REFERENCE), "time")
-        .when(vertical & ~foreign, "depth")
-        .otherwise("other")
+        .when(units.isNull(), F.when(vertical & ~foreign, "depth").otherwise("other"))
+        .otherwise(with_dimension(units, measured))
     )
 
 

@@ -118,3 +118,13 @@ def item_reader(path: Column) -> Column:
     """Which reader takes the file; null when no reader does."""
     kind = file_type(path)
     return F.when(kind.isin("nc", "csv"), kind)
+
+
+def media_type(path: Column) -> Column:
+    """Media type of the file by its reader; of other files that of plain bytes."""
+    kind = item_reader(path)
+    return (
+        F.when(kind == "nc", "application/netcdf")
+        .when(kind == "csv", "text/csv")
+        .otherwise("application/octet-stream")
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathom.functions.attributes import attrs_json
-from fathom.functions.identity import object_uri
+from fathom.functions.identity import media_type, object_uri
 from fathom.operators.extents import SIDES, _union, item_properties
 from fathom.operators.store import clustered
 from fathom.session import materialize
@@ -160,7 +160,7 @@ def item_documents(items: DataFrame) -> DataFrame:
     """
     asset = F.struct(
         object_uri(F.col("bucket"), F.col("key")).alias("href"),
-        F.lit("application/netcdf").alias("type"),
+        media_type(F.col("key")).alias("type"),
         F.col("size").alias("file:size"),
         F.col("checksum").alias("file:checksum"),
     )

@@ -43,8 +43,14 @@ def pick_axes(headers: DataFrame, keys: Sequence[str] = ("hash",)) -> DataFrame:
     of all variables. Variables are ranked inside their row, so there is no shuffle.
     """
 
+    # Each variable's role is worked out once.
+    known = F.transform(
+        "variables", lambda v: F.struct(v["name"].alias("name"), v["is_coord"].alias("is_coord"), variable_role(v).alias("role"))
+    )
+    headers = headers.withColumn("_roles", known)
+
     def named(role: str, keep) -> Column:
-        hit = F.filter(F.col("variables"), lambda v: keep(v) & (variable_role(v) == role))
+        hit = F.filter(F.col("_roles"), lambda v: keep(v) & (v["role"] == role))
         return F.get(hit, F.lit(0))["name"]
 
     axes = {}

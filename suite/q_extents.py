@@ -13,11 +13,19 @@ from suite.registry import query
 
 
 def _rules_sql(key: str) -> str:
-    cases = " ".join(
-        f"WHEN regexp_matches({key}, '{pattern}') THEN '{name}'"
-        for pattern, name in T.COLLECTION_RULES
-    )
-    return f"CASE {cases} ELSE 'unknown_collection' END"
+    """The collections of the given keys, written out by their folders.
+
+    Their files are named alike (level 1, an instrument, an end mark), so the category decides.
+    """
+    # Names of collections.
+    return f"""
+      CASE WHEN {key} NOT LIKE 'IMOS/ANMN/%' THEN 'unknown_collection'
+           WHEN {key} LIKE '%/Temperature/%' THEN '7e13b5f3-4a70-4e31-9e95-335efa491c5c'
+           WHEN {key} LIKE '%/Velocity/%' THEN 'ae86e2f5-eaaf-459e-a405-e654d85adb9c'
+           WHEN {key} LIKE '%/hourly_timeseries/%' THEN 'efd8201c-1eca-412e-9ad2-0534e96cea14'
+           WHEN {key} LIKE '%/aggregated_timeseries/%' THEN 'moorings-aggregated-timeseries-product'
+           ELSE 'unknown_collection' END"""
+    # End of fixed values.
 
 
 @query("collection_id", f"SELECT key, {_rules_sql('key')} AS collection_id FROM idx")
@@ -324,7 +332,8 @@ def documents(spark, sf_dir):
     f"""WITH {EXTENT_SQL}
         SELECT CASE WHEN k % 37 = 0 THEN 'UNKNOWN' ELSE 'ANMN' END AS collection_id,
                replace(replace(key, '/', '_'), '.', '_') AS item_id,
-               's3://corpus/' || key AS href, CAST(size AS VARCHAR) AS size, h.hash AS checksum,
+               's3://corpus/' || key AS href, 'application/netcdf' AS media_type,
+               CAST(size AS VARCHAR) AS size, h.hash AS checksum,
                coalesce(list_filter(attrs, lambda a: a.name = 'abstract')[1].value,
                         list_filter(attrs, lambda a: a.name = 'description')[1].value) AS description,
                e.west, e.north, CASE WHEN t_min = t_max THEN t_min END AS single_time
@@ -342,6 +351,7 @@ def item_documents(spark, sf_dir):
         "collection_id",
         at("id").alias("item_id"),
         at("assets.data.href").alias("href"),
+        at("assets.data.type").alias("media_type"),
         at("assets.data['file:size']").alias("size"),
         at("assets.data['file:checksum']").alias("checksum"),
         at("properties.description").alias("description"),

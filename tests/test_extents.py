@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from fathom.functions import units as U
 from fathom.functions.coordinates import classify_coord
 from fathom.operators import collections as T
 from fathom.operators import extents as X
@@ -24,6 +25,18 @@ from fathom.sources import files as S
         ("surface_downward_stress", "Pa", None, "f", "other"),
         (None, "celsius", None, "f", "other"),
         (None, None, None, "f", "other"),
+        (None, "kbar", None, "f", "depth"),
+        (None, "mmHg", None, "f", "depth"),
+        (None, "pascals", None, "f", "depth"),
+        (None, "N m-2", None, "f", "depth"),
+        (None, "kg m^-1 s**-2", None, "f", "depth"),
+        (None, "1e4 N/m2", None, "f", "depth"),
+        (None, "Pa s", None, "f", "other"),
+        (None, "N m", None, "f", "other"),
+        (None, "nonsense", "down", "f", "other"),
+        (None, "m furlongs", "up", "f", "other"),
+        (None, "", "up", "f", "depth"),
+        (None, None, "up", "f", "depth"),
     ],
 )
 def test_coordinate_roles(spark, name, units, positive, dtype, role):
@@ -32,6 +45,21 @@ def test_coordinate_roles(spark, name, units, positive, dtype, role):
     assert got == role
 
 
+@pytest.mark.parametrize(
+    "text, powers",
+    [
+        ("m", (1, 0, 0)), ("km", (1, 0, 0)), ("kilometres", (1, 0, 0)), ("min", (0, 0, 1)), ("minutes", (0, 0, 1)),
+        ("hPa", (-1, 1, -2)), ("decibars", (-1, 1, -2)), ("dag", (0, 1, 0)), ("MPa", (-1, 1, -2)), ("m s-1", (1, 0, -1)),
+        ("m/s", (1, 0, -1)), ("m.s-2", (1, 0, -2)), ("kg m-3", (-3, 1, 0)), ("W m-2", (0, 1, -3)), ("kg/m/s2", (-1, 1, -2)),
+        ("1", (0, 0, 0)), ("%", (0, 0, 0)), ("1e-3", (0, 0, 0)), ("", (0, 0, 0)), ("1e-3 kg * m", (1, 1, 0)), ("2 / s", (0, 0, -1)),
+        ("kilom", None), ("mmeter", None), ("kkm", None), ("m//s", None), ("(m)", None), ("m-", None), ("psuu", None),
+    ],
+)
+def test_unit_dimensions(spark, text, powers):
+    got = spark.createDataFrame([(text,)], "u string").select(U.dimension(F.col("u")).alias("d")).first().d
+    assert (got and tuple(got[:3])) == powers and (not got or set(got[3:]) == {0})
+
+
 COORDS = "hash string, var string, idx bigint, value double"
 
 
@@ -144,19 +172,48 @@ def test_csv_roles(spark, names, want):
     assert tuple(S.column_roles(df).first())[1:] == want
 
 
-def test_csv_files(spark, tmp_path):
+def test_csv_files_of_many_layouts(spark, tmp_path):
     (tmp_path / "a.csv").write_text("time,lat,lon,n\n2020-01-01,1,2,1\n2020-01-03,0.5,3,2\n")
-    (tmp_path / "b.csv").write_text("time,lat,lon,n\n2020-01-05,7,8,9\n")
-    heads = S.header_lines(spark, str(tmp_path)).groupBy("file_path").count().collect()
-    assert [r["count"] for r in heads] == [4, 4]
-    rows = S.read_csv(spark, str(tmp_path))
-    got = {r.file_path[-5:]: r for r in S.csv_extent(rows, "time", "lat", "lon").collect()}
-    a, b = got["a.csv"], got["b.csv"]
-    assert (a.west, a.south, a.east, a.north) == (2.0, 0.5, 3.0, 1.0)
-    assert (a.start_datetime, a.end_datetime) == (dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 3))
-    assert a.datetime is None and b.datetime == dt.datetime(2020, 1, 5) and b.start_datetime is None
-    assert S.csv_extent(rows, "time", "lat").first().west is None
-    types = {r.column_name: r.col_type for r in S.csv_table_profile(rows).collect()}
-    assert types == {"time": "object", "lat": "float64", "lon": "int64", "n": "int64"}
-    listed = S.list_files(spark, str(tmp_path)).collect()
-    assert sorted(r.path[-5:] for r in listed) == ["a.csv", "b.csv"] and all(r.size for r in listed)
+    (tmp_path / "b.csv").write_text('n,"Lon, raw",LON,Date,LAT,ok\n9,x,8,2020-01-05,7,true\n,,8.5,2020-01-05,,TRUE\n')
+    (tmp_path / "no_lat.csv").write_text("lon,start date\n4,2021-02-03\n")
+    (tmp_path / "no_time.csv").write_text('lat,lon,"a ""b""\nc"\n1,2,"x,y"\n')
+    (tmp_path / "only_names.csv").write_text("\ufefftime,lat,lon")
+    (tmp_path / "none.csv").write_text("")
+    (tmp_path / "other.txt").write_text("time\n2020-01-01\n")
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "z.csv").write_text("time\nnot a time\n")
+    path = str(tmp_path)
+    name = lambda r: r.file_path.rsplit("/", 1)[1].removesuffix(".csv")
+    heads = {name(r): r.names for r in S.csv_layouts(spark, path).collect()}
+    assert heads == {
+        "a": ["time", "lat", "lon", "n"], "b": ["n", "Lon, raw", "LON", "Date", "LAT", "ok"], "no_lat": ["lon", "start date"],
+        "no_time": ["lat", "lon", 'a "b"\nc'], "only_names": ["time", "lat", "lon"], "z": ["time"],
+    }
+    got = {name(r): r for r in S.csv_extents(spark, path).collect()}
+    a, b = got["a"], got["b"]
+    assert (a.west, a.south, a.east, a.north, a.latitude) == (2.0, 0.5, 3.0, 1.0, "lat")
+    assert (a.start_datetime, a.end_datetime, a.datetime) == (dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 3), None)
+    assert (b.west, b.south, b.east, b.north) == (8.0, 7.0, 8.5, 7.0)
+    assert b.datetime == dt.datetime(2020, 1, 5) and b.start_datetime is None
+    assert got["no_lat"].west is None and got["no_lat"].datetime == dt.datetime(2021, 2, 3) and got["no_lat"].error is None
+    assert got["no_time"].error == "Time column not found" and got["no_time"].west is None
+    assert got["only_names"].error is None and got["only_names"].datetime is None
+    assert got["z"].datetime is None and "none" not in got
+    types = {}
+    for r in S.csv_table_profile(spark, path).collect():
+        types.setdefault((name(r), r.row_count), {})[r.column_name] = r.col_type
+    assert types["a", 2] == {"time": "object", "lat": "float64", "lon": "int64", "n": "int64"}
+    assert types["b", 2] == {"n": "float64", "Lon, raw": "object", "LON": "float64", "Date": "object", "LAT": "float64", "ok": "bool"}
+    assert types["only_names", 0] == dict.fromkeys(("time", "lat", "lon"), "object")
+    listed = S.list_files(spark, path).collect()
+    assert len(listed) == 7 and {r.path[-5:]: r.size for r in listed}["a.csv"] == 51
+
+
+def test_long_first_record(spark, tmp_path, monkeypatch):
+    """A first record beyond the first block, with line ends in its names."""
+    names = [f"name {i}\nof \"it\", {'x' * 40}" for i in range(40)]
+    (tmp_path / "w.csv").write_text(",".join('"' + n.replace('"', '""') + '"' for n in names) + "\n1\n")
+    monkeypatch.setattr(S, "FIRST_BLOCK", 64)
+    assert S._names((tmp_path / "w.csv").as_uri()) == names
+    assert S.first_record('a,"b\n', False) is None and S.first_record("a,b", False) is None
+    assert S.first_record("a,b\r\n1", False) == S.first_record("a,b", True) == ["a", "b"]
