@@ -23,12 +23,14 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.llm.common import arrow_rows, materialize, table
+from fathom.llm.common import arrow_rows, join_keys, materialize, table
 from fathom.llm.zip_directory import data_start, members
 from fathom.session import shared_dir
 
 #: An archive is closed when it has so many bytes; records are read in ranges of about so many.
 ARCHIVE_BYTES, RANGE_BYTES = 1 << 28, 1 << 22
+#: Archives that a task lists, and ranges that it reads, on average.
+ARCHIVES_A_TASK, RANGES_A_TASK = 4, 2
 #: Payloads of fewer bytes are never revisits.
 LEAST_BYTES = 0
 #: The pages have no time of capture.
@@ -159,7 +161,8 @@ def write_archives(
     an empty table gives an empty manifest; other columns are not read.
 
     Payloads are compared by digest on narrow rows, counted before they are shuffled; only
-    digests that occur more than once meet the pages again. The manifest is a stored table: it
+    digests that occur more than once meet the pages again, and pages are not shuffled for that
+    unless there are very many of them. The manifest is a stored table: it
     names what finished tasks wrote, so archives of lost or repeated tasks are never read.
     """
     html = F.coalesce(F.col(html_col), F.lit(""))
@@ -170,10 +173,11 @@ def write_archives(
     long_enough = F.octet_length("html") >= least_bytes
     equal = rows.filter(long_enough).groupBy("digest").agg(
         F.max("page_id").alias("leader"), F.count(F.lit(1)).alias("n")
-    ).filter("n > 1").select(F.col("digest").alias("equal_digest"), "leader")
-    marked = rows.join(equal, (F.col("digest") == F.col("equal_digest")) & long_enough, "left").select(
+    ).filter("n > 1").select(F.col("digest").alias("equal_digest"), "leader", F.lit(True).alias("again"))
+    keyed = rows.withColumn("equal_digest", F.when(long_enough, F.col("digest")))
+    marked = join_keys(keyed, materialize(equal), "equal_digest", "left").select(
         "page_id", "url", "html", "digest", "leader",
-        (F.col("equal_digest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("leader"))).alias("revisit"),
+        (F.col("again").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("leader"))).alias("revisit"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,8 +225,10 @@ def locate_records(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataF
                     schema=pa.schema([("archive", pa.string()), ("start", pa.int64()), ("lengths", pa.list_(pa.int64()))]),
                 )
 
-    # One archive to a task: a directory is small beside what it describes.
-    return arrow_rows(manifest.select("archive").repartition(F.col("archive"))).mapInArrow(run, RANGES)
+    # A directory is small beside what it describes. The number of tasks is stated: the manifest
+    # itself is so small that adaptive execution would take it for the work of one.
+    tasks = -(-manifest.count() // ARCHIVES_A_TASK) or 1
+    return materialize(arrow_rows(manifest.select("archive").repartition(tasks)).mapInArrow(run, RANGES))
 
 
 def _checked(raw: bytes, with_payload: bool) -> dict:
@@ -255,7 +261,7 @@ def read_records(ranges: DataFrame, with_payload: bool = True) -> DataFrame:
     """One row per record, its payload checked against the digest.
 
     Lengths and digests are those of the full payload, for revisits too; their ``payload`` is
-    null. Ranges are dealt out evenly, whatever archive they are of.
+    null. Ranges are dealt out evenly, a few to a task, whatever archive they are of.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,8 +274,8 @@ def read_records(ranges: DataFrame, with_payload: bool = True) -> DataFrame:
                     at += length
                 yield pa.RecordBatch.from_pylist(rows, schema=_READ_TYPES)
 
-    spread = ranges.repartition(F.col("archive"), F.col("start"))
-    return arrow_rows(spread).mapInArrow(run, READ)
+    tasks = -(-ranges.count() // RANGES_A_TASK) or 1
+    return arrow_rows(ranges.repartition(tasks)).mapInArrow(run, READ)
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
