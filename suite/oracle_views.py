@@ -165,12 +165,14 @@ VIEWS: dict[str, str] = {
                sha256('bucket:' || bucket || '|key:' || key || '|version:' || version_id) AS hash,
                's3://' || bucket || '/' || key AS s3_uri
         FROM idx_base""",
+    # The patterns of a moorings file's columns.
     "moorings_sql": r"""
         SELECT *, split_part(key, '/', 3) AS subfac,
                regexp_extract(s3_uri, 'Temperature|(CTD|Biogeochem)_(timeseries|profiles)|Velocity|Wave|CO2|Meteorology|aggregated_products|(aggregated|hourly|gridded)_timeseries') AS data_category,
                TRY_CAST(regexp_extract(file_version, 'Level ([0-4])', 1) AS INTEGER) AS fv,
                regexp_matches(s3_uri, 'real[-_]?time', 'i') AS is_realtime
         FROM idx WHERE key LIKE 'IMOS/ANMN/%'""",
+    # End of fixed values.
     "variance_rows": """
         SELECT key, facility, names,
                CASE WHEN len(names) = 0 THEN '[]'

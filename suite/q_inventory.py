@@ -74,13 +74,16 @@ def scan_empty_typed(spark, sf_dir):
     return empty.apply(V.inv(spark, sf_dir)).unionByName(I.empty_inventory(spark))
 
 
+# Folders of the indexed facilities.
+_INDEXED = (
+    "SOOP", "AATAMS", "ANMN", "FAIMMS", "OceanCurrent", "DWM", "AUV", "COASTAL-WAVE-BUOYS", "NTP", "ANFOG", "eMII",
+)
+# End of fixed values.
+
+
 @query(
     "facility_prefix_scan",
-    """SELECT key, size FROM inv
-       WHERE key LIKE 'IMOS/SOOP/%' OR key LIKE 'IMOS/AATAMS/%' OR key LIKE 'IMOS/ANMN/%'
-          OR key LIKE 'IMOS/FAIMMS/%' OR key LIKE 'IMOS/OceanCurrent/%' OR key LIKE 'IMOS/DWM/%'
-          OR key LIKE 'IMOS/AUV/%' OR key LIKE 'IMOS/COASTAL-WAVE-BUOYS/%'
-          OR key LIKE 'IMOS/NTP/%' OR key LIKE 'IMOS/ANFOG/%' OR key LIKE 'IMOS/eMII/%'""",
+    "SELECT key, size FROM inv WHERE " + " OR ".join(f"key LIKE 'IMOS/{name}/%'" for name in _INDEXED),
 )
 def facility_prefix_scan(spark, sf_dir):
     scan = I.Scan(row_filter=I.starts_with_any(F.col("key")), fields=("key", "size"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fathom.operators import variance as X
+from fathom.plans.analyse import analyse
 from fathom.session import shared_dir
 from suite import views as V
 from suite.registry import query
@@ -215,3 +216,16 @@ def variance_report(spark, sf_dir):
     path = shared_dir(spark)
     X.write_report(X.variance_report(rows(spark, sf_dir), prefix="IMOS/%"), path)
     return spark.read.text(path).select(F.col("value").alias("text"))
+
+
+@query(
+    "analyse_job",
+    """SELECT (SELECT count(DISTINCT schema) FROM variance_rows WHERE key LIKE 'IMOS/ANMN/%') AS total_schemas,
+              (SELECT count(*) FROM idx WHERE key LIKE 'IMOS/ANMN/%') AS total_records,
+              (SELECT count(DISTINCT v) FROM (SELECT unnest(names) AS v FROM variance_rows WHERE key LIKE 'IMOS/ANMN/%'))
+                AS total_variables""",
+)
+def analyse_job(spark, sf_dir):
+    """The whole job over a key pattern, its report written; its summary."""
+    summary, _, _ = analyse(V.idx(spark, sf_dir), "IMOS/ANMN/%", output=shared_dir(spark))
+    return summary
