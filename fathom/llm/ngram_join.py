@@ -257,23 +257,28 @@ def _screener(size: int, rule: Jaccard) -> Callable[[], Callable]:
 
 def _possible(classes: DataFrame, rule: Jaccard) -> DataFrame:
     """``node`` of the classes that share enough of their first n-grams to be linked to some other."""
-    posted = classes.select(F.explode("first").alias("h"), "node", rule.least_screened_column(F.col("n")).alias("need"))
+    posted = classes.select(F.explode("first").alias("h"), "node")
     shared = posted.groupBy("h").count().filter("count > 1").select("h")
     lists = materialize(posted.join(shared, "h"))
+    needs = materialize(classes.select("node", rule.least_screened_column(F.col("n")).alias("need")))
     enough = None
     for again in range(2):  # leaving some out leaves others alone
-        enough = lists.groupBy("node").agg(F.count(F.lit(1)).alias("has"), F.first("need").alias("need"))
-        enough = materialize(enough.filter(F.col("has") >= F.col("need")).select("node"))
+        counted = materialize(lists.groupBy("node").agg(F.count(F.lit(1)).alias("has")))
+        enough = materialize(join_keys(needs, counted, "node", "inner").filter(F.col("has") >= F.col("need")).select("node"))
         if not again:
-            left = lists.join(enough, "node")
+            left = join_keys(lists, enough, "node", "inner")
             shared = left.groupBy("h").count().filter("count > 1").select("h")
             lists = materialize(left.join(shared, "h"))
     return enough
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """``node, grams``: full sets of the classes in ``nodes`` (node, key), from one text each."""
-    texts = join_keys(docs, nodes, "key", "inner").select("node", "text").dropDuplicates(["node"])
+    """``node, grams``: full sets of the classes in ``nodes`` (node, key, rows), from one text each.
+
+    Only where a class has several rows two of them can have its key.
+    """
+    texts = join_keys(docs, nodes, "key", "inner").select("node", "text", "rows")
+    texts = texts.filter("rows = 1").unionByName(texts.filter("rows > 1").dropDuplicates(["node"]))
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         words = _Words()
@@ -286,22 +291,21 @@ def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
 
         return step
 
-    return materialize(map_rows(texts, make, SETS))
+    return materialize(map_rows(texts.select("node", "text"), make, SETS))
 
 
 def _first_grams(sets: DataFrame, rule: Jaccard) -> DataFrame:
-    """``h, node, n, at``: shared n-grams among the rarest of each set, one of which linked sets share.
+    """``h, node, n, at``: shared n-grams among the first of each set, one of which linked sets share.
 
     ``at`` counts the set's rarer ones. N-grams of one set alone come first and are not returned.
     """
     each = sets.select("node", F.explode("grams").alias("h"))
     common = materialize(each.groupBy("h").agg(F.count(F.lit(1)).cast("int").alias("often")).filter("often > 1"))
-    ranked = each.join(common, "h").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("often", "h"))).alias("rest"))
-    sized = sets.select("node", F.size("grams").alias("n")).join(ranked, "node")
-    own = F.col("n") - F.size("rest")
-    room = (rule.spare_column(F.col("n")) + 1 - own).cast("int")
-    placed = sized.filter(room > 0).select("node", "n", own.alias("own"), F.posexplode(F.slice("rest", 1, room)))
-    rows = materialize(placed.select(F.col("col.h").alias("h"), "node", "n", (F.col("own") + F.col("pos")).alias("at")))
+    ranked = each.join(common, "h").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("often", "h")))["h"].alias("rest"))
+    known = sets.select("node", F.size("grams").alias("n")).join(ranked, "node").withColumn("own", F.col("n") - F.size("rest"))
+    room = (rule.spare_column(F.col("n")) + 1 - F.col("own")).cast("int")
+    placed = known.filter(room > 0).select("node", "n", "own", F.posexplode(F.slice("rest", 1, room)).alias("pos", "h"))
+    rows = materialize(placed.select("h", "node", "n", (F.col("own") + F.col("pos")).alias("at")))
     met = rows.groupBy("h").count().filter("count > 1").select("h")
     return materialize(rows.join(met, "h"))
 
@@ -326,8 +330,8 @@ def _chunked(rows: DataFrame, chunk_sets: int, chunk_grams: int) -> DataFrame:
 def _first_links(sets: DataFrame, chunks: DataFrame, rule: Jaccard) -> DataFrame:
     """Links found inside chunks, the hub taking part in each."""
     hubs = chunks.select(F.col("hub").alias("node"), "hub", "salt").distinct()
-    members = chunks.select("node", "hub", "salt").unionByName(hubs)
-    grouped = members.join(sets, "node").groupBy("hub", "salt")
+    members = materialize(chunks.select("node", "hub", "salt").unionByName(hubs))
+    grouped = join_keys(sets, members, "node", "inner").groupBy("hub", "salt")
     return materialize(grouped.applyInPandas(lambda rows: self_links(rows, rule), LINKS))
 
 
@@ -362,11 +366,16 @@ def _other_links(
     keys = ["hub", "salt", "block"]
     asked = join_keys(visits, blocks, ["hub", "salt"], "inner").select(
         "hub", "salt", F.pmod(F.xxhash64("probe"), F.col("blocks")).cast("int").alias("block"), F.col("probe").alias("node")
-    ).join(placed.select("node", "root"), "node").join(sets, "node").select(*keys, "node", "root", "grams")
-    asked = asked.toDF(*asked.columns)  # columns of its own: both sides come from the same tables
-    stored = join_keys(placed, blocks, ["hub", "salt"], "inner").join(sets, "node").select(
-        "hub", "salt", "node", "root", "grams", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
     )
+    asked = materialize(join_keys(asked, placed.select("node", "root"), "node", "inner"))
+    stored = join_keys(placed, blocks, ["hub", "salt"], "inner").select(
+        "hub", "salt", "node", "root", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    )
+    asked, stored = (
+        join_keys(sets, narrow, "node", "inner").select(*keys, "node", "root", "grams")
+        for narrow in (asked, materialize(stored))
+    )
+    asked = asked.toDF(*asked.columns)  # columns of its own: both sides come from the same tables
     found = stored.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(
         lambda a, b: cross_links(a, b, rule), LINKS
     )
@@ -391,10 +400,11 @@ def ngram_join(
     rows = rows.withColumn("key", row_key("doc_id", "text"))
     screened = materialize(map_rows(rows.select("doc_id", "key", "text"), _screener(size, rule), SCREENED))
     classes = screened.filter("n > 0").groupBy("set_key").agg(
-        F.min("doc_id").alias("least_id"), F.min("key").alias("key"), F.first("n").alias("n"), F.first("first").alias("first")
+        F.min("doc_id").alias("least_id"), F.min("key").alias("key"), F.count(F.lit(1)).alias("rows"),
+        F.first("n").alias("n"), F.first("first").alias("first"),
     )
     classes = materialize(materialize(classes).withColumn("node", F.monotonically_increasing_id()))
-    possible = join_keys(classes.select("node", "key"), _possible(classes, rule), "node", "inner")
+    possible = join_keys(classes.select("node", "key", "rows"), _possible(classes, rule), "node", "inner")
     sets = _sets(rows, materialize(possible), size)
 
     first = _first_grams(sets, rule)
