@@ -136,7 +136,9 @@ def similar_pairs(names: DataFrame, cutoff: int, column: str = "attribute") -> D
         raise ValueError("cutoff must lie between 51 and 100")
     distinct = names.select(column).distinct().withColumn("sorted", token_sorted(F.col(column)))
     distinct = materialize(distinct.filter(F.col("sorted") != ""))
-    index = materialize(letter_index(distinct.select(F.col("sorted").alias("text")).distinct()))
+    index = letter_index(distinct.select(F.col("sorted").alias("text")).distinct())
+    # A text of some bytes names some hundred groups: its rows are the work of all cores.
+    index = materialize(index.repartition(index.sparkSession.sparkContext.defaultParallelism))
     scored = (
         likely(met_pairs(index, least), index, least)
         .withColumn("score", sorted_ratio("short", "long"))
