@@ -9,8 +9,6 @@ from fathom.functions.identity import derive_facility
 from fathom.operators import drift as R
 from fathom.operators import paths as T
 from fathom.operators import profile as P
-from fathom.operators.extract import extract
-from fathom.operators import dead_letters as D
 from fathom.session import materialize
 from suite import views as V
 from suite.q_extract import UNSTRUCTURED_SQL, unstructured
