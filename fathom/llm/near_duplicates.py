@@ -14,20 +14,23 @@ A list may hold a third of all documents, so its pairs are never all written out
 4. Long lists: a prefix-filtered join on full sets, of the classes that long lists alone could
    link. Rarest shingles come first, so classes with own content have no common prefix.
 
-Steps 3 and 4 test every pair that could still be linked, so no link is lost but for the chance
-(under 1e-10 a pair) that sketches of documents over the threshold agree in less than a quarter.
+Steps 3 and 4 test every pair that could still be linked, so no link is lost but by chance: that
+sketches of two sets at the threshold agree in less than a quarter (with 32 values 3e-15 a pair at
+85 per cent, 3e-12 at 80), or that the union sketch holds so few common values that the binomial
+tail gives less than ``MISSED`` for it (at most 1e-12 a pair).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.llm.common import arrow_rows, bind, join_keys, map_rows, materialize, row_key, table
+from fathom.llm.common import bind, join_keys, map_rows, materialize, row_key, table
 from fathom.llm.components import components
 
 #: Values of a sketch, and the share of them that two alike documents have in common at least.
@@ -35,8 +38,8 @@ SKETCH = 32
 LEAST_SHARED = 4
 #: Members of a list whose pairs are all compared.
 SHORT_LIST = 32
-#: Standard errors by which the estimate may fall short of the threshold.
-SLACK = 5.0
+#: Chance with which the estimate may rule out a pair at the threshold.
+MISSED = 1e-12
 KEPT_WORDS = 500_000
 
 SKETCHED = "doc_id bigint, key string, n_shingles bigint, set_key binary, sketch array<bigint>"
@@ -135,9 +138,22 @@ class Threshold:
         """Rarest shingles of n of which a linked set must hold one."""
         return (n - F.ceil(self.percent * n / 100.0 - 1e-9) + 1).cast("int")
 
-    def estimate(self, k: Column) -> Column:
-        t = self.percent / 100.0
-        return F.lit(t) - SLACK * F.sqrt(F.lit(t * (1 - t)) / k)
+    def least_common(self, k: int) -> int:
+        """Common values in a union sketch of k below which a pair at the threshold is hardly ever.
+
+        Values are drawn alike, so their number is binomial; this is its exact tail.
+        """
+        t, tail = self.percent / 100.0, 0.0
+        for common in range(k + 1):
+            tail += math.comb(k, common) * t**common * (1 - t) ** (k - common)
+            if tail > MISSED:
+                return common
+        return k
+
+    def likely(self, common: Column, k: Column, sketch: int) -> Column:
+        """Whether ``common`` of ``k`` values in a union sketch leave a link possible."""
+        least = F.array(*[F.lit(self.least_common(i)) for i in range(1, sketch + 1)])
+        return common >= F.get(least, k - 1)
 
 
 def _estimated(pairs: DataFrame, sketches: DataFrame, k: int, threshold: Threshold) -> DataFrame:
@@ -148,7 +164,7 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, k: int, threshold: Thresho
 
     def passes(union: Column) -> Column:
         shared = F.size(F.array_intersect(F.array_intersect("of_a", "of_b"), union))
-        return shared / F.size(union) >= threshold.estimate(F.size(union))
+        return threshold.likely(shared, F.size(union), k)
 
     union = F.slice(F.array_sort(F.array_union("of_a", "of_b")), 1, k)
     return both.filter(bind(union, passes)).select("a", "b")

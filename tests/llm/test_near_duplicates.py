@@ -128,3 +128,15 @@ def test_given_documents(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, sf_dir, "documents").collect()]
     got = sorted(map(tuple, op5_near_duplicates(spark, sf_dir).collect()), key=str)
     assert got == brute(rows, 3, 85)
+
+
+def test_estimate_follows_the_binomial_tail():
+    from math import comb
+
+    from fathom.llm.near_duplicates import MISSED, Threshold
+
+    for percent in (80, 85, 95):
+        for k in (1, 7, 32):
+            least, t = Threshold(percent).least_common(k), percent / 100
+            below = [sum(comb(k, c) * t**c * (1 - t) ** (k - c) for c in range(n)) for n in (least, least + 1)]
+            assert below[0] <= MISSED < below[1]
