@@ -8,11 +8,17 @@ first ``gained + g`` of the longer text's too, and the first ``g`` common letter
 both: equal letters in the same order of places, each moved by no more than the missing letters.
 So each text names all groups of ``g`` of its first letters, and two alike texts have a group in
 common, near the same places. Groups of rare letters bring few texts together.
+
+Texts that are short for what they may lack name what is left of them instead: the shorter one
+without any ``lost`` of its letters, the longer one without any ``gained``. Two texts have such a
+rest in common exactly if they have letters enough in common in order, so no others meet. In short
+texts the rare letters may be the ones that most of them end in (``html`` among numbers).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +30,9 @@ from fathom.session import materialize
 #: of them would name too many groups.
 GROUPS = ((3, 6), (2, 18))
 
+#: Missing letters, and the most letters of a text that names its rests without so many of them.
+RESTS = ((1, 200), (2, 20), (3, 11))
+
 
 @dataclass(frozen=True)
 class Bounds:
@@ -46,6 +55,11 @@ class Bounds:
     def gained(self) -> Column:
         return self.long - self.common
 
+    @property
+    def by_rests(self) -> Column:
+        """Whether texts of these lengths meet by their rests: the longer one has few."""
+        return reduce(lambda a, b: a | b, ((self.gained <= missing) & (self.long <= most) for missing, most in RESTS))
+
     @property
     def letters(self) -> Column:
         """How many letters make a group: never more than are common."""
@@ -72,6 +86,22 @@ def _groups(letters: Column, size: Column) -> Column:
     return F.when(size == 3, threes).when(size == 2, twos).otherwise(ones)
 
 
+def _rests(text: Column, missing: Column) -> Column:
+    """All different texts that are left of ``text`` without ``missing`` of its letters."""
+    def one_less(texts: Column) -> Column:
+        return F.array_distinct(F.flatten(F.transform(texts, lambda t: F.transform(
+            F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t)))
+        ))))
+
+    left = [F.array(text)]
+    for _ in RESTS:
+        left.append(one_less(left[-1]))
+    chosen = left[0]
+    for n, texts in enumerate(left[1:], 1):
+        chosen = F.when(missing == n, texts).otherwise(chosen)
+    return chosen
+
+
 def letter_index(texts: DataFrame) -> DataFrame:
     """``text, len, counted, letters``: a row per text with its letters, the rarest first.
 
@@ -86,17 +116,26 @@ def letter_index(texts: DataFrame) -> DataFrame:
     return ranked.select("text", F.length("text").alias("len"), numbered_letters(F.col("text")).alias("counted"), "letters")
 
 
-def met_pairs(index: DataFrame, least: float) -> DataFrame:
-    """``short, long``: different texts with a group in common; all that may be alike are among them."""
+def _met_by_both(index: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """``short, long``: different texts that have a rest in common, and those with a group in common.
+
+    All that may be alike are among them; the first have letters enough in common in order.
+    """
     most = F.floor(F.col("len") * (2.0 - least) / least + 1e-9)
     fewest = F.greatest(F.ceil(F.col("len") * least / (2.0 - least) - 1e-9), F.lit(1))
     length = F.col("len").cast("bigint")
     keys = ["short_len", "long_len"]
     bounds = Bounds(F.col("short_len"), F.col("long_len"), least)
+    different = (F.col("short_len") < F.col("long_len")) | (F.col("short") < F.col("long"))
+    # Without a missing letter only equal texts are alike.
+    apart = bounds.lost + bounds.gained > 0
+
+    def rest(side: DataFrame, role: str, missing: Column) -> DataFrame:
+        side = side.filter(apart & bounds.by_rests)
+        return side.select(*keys, F.col("text").alias(role), F.explode(_rests(F.col("text"), missing)).alias("rest"))
 
     def named(side: DataFrame, role: str, missing: Column) -> DataFrame:
-        # Without a missing letter only equal texts are alike.
-        side = side.filter(bounds.lost + bounds.gained > 0)
+        side = side.filter(apart & ~bounds.by_rests)
         first = F.slice("letters", 1, (missing + bounds.letters).cast("int"))
         by_place = F.array_sort(F.transform(first, lambda x: F.struct(x["at"].alias("at"), x["letter"].alias("letter"))))
         side = side.select(*keys, F.col("text").alias(role), bounds.letters.alias("size"), by_place.alias("first"))
@@ -105,12 +144,17 @@ def met_pairs(index: DataFrame, least: float) -> DataFrame:
 
     shorter = index.select("text", "letters", length.alias("short_len"), F.explode(F.sequence(length, most)).alias("long_len"))
     longer = index.select("text", "letters", length.alias("long_len"), F.explode(F.sequence(fewest, length)).alias("short_len"))
+    by_rests = rest(shorter, "short", bounds.lost).join(rest(longer, "long", bounds.gained), [*keys, "rest"]).filter(different)
     moved = F.zip_with("long_at", "short_at", lambda a, b: a - b)
-    fits = F.forall(moved, lambda m: (m >= -bounds.lost) & (m <= bounds.gained)) & (
-        (F.col("short_len") < F.col("long_len")) | (F.col("short") < F.col("long"))
-    )
+    fits = F.forall(moved, lambda m: (m >= -bounds.lost) & (m <= bounds.gained)) & different
     met = named(shorter, "short", bounds.lost).join(named(longer, "long", bounds.gained), [*keys, "name"])
-    return met.filter(fits).select("short", "long").distinct()
+    return by_rests.select("short", "long").distinct(), met.filter(fits).select("short", "long").distinct()
+
+
+def met_pairs(index: DataFrame, least: float) -> DataFrame:
+    """``short, long``: different texts that meet; all that may be alike are among them."""
+    by_rests, by_groups = _met_by_both(index, least)
+    return by_rests.unionByName(by_groups)
 
 
 def likely(pairs: DataFrame, index: DataFrame, least: float) -> DataFrame:
@@ -128,8 +172,8 @@ def similar_pairs(names: DataFrame, cutoff: int, column: str = "attribute") -> D
     """Pairs ``(a, b, score)`` of distinct names whose score reaches the cutoff, in both directions.
 
     Names are compared by their words in order (``token_sorted``); names without letter or digit
-    have no pair. Texts of a group meet in an equi-join on both lengths and the group; what meets
-    is scored only if it has letters enough in common. Neither rule loses a pair.
+    have no pair. Texts of a rest or a group meet in an equi-join on both lengths and that; of those
+    that meet by a group only the ones with letters enough in common are scored. No rule loses a pair.
     """
     least = (cutoff - 0.5) / 100.0
     if not 0.5 < least <= 1.0:
@@ -139,8 +183,9 @@ def similar_pairs(names: DataFrame, cutoff: int, column: str = "attribute") -> D
     index = letter_index(distinct.select(F.col("sorted").alias("text")).distinct())
     # A text of some bytes names some hundred groups: its rows are the work of all cores.
     index = materialize(index.repartition(index.sparkSession.sparkContext.defaultParallelism))
+    by_rests, by_groups = _met_by_both(index, least)
     scored = (
-        likely(met_pairs(index, least), index, least)
+        by_rests.unionByName(likely(by_groups, index, least))
         .withColumn("score", sorted_ratio("short", "long"))
         .filter(F.col("score") >= cutoff)
     )

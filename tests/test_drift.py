@@ -182,3 +182,15 @@ def test_short_texts_and_wide_cutoffs(spark):
         want = {(a, b): ratio(a, b) for a, b in itertools.permutations(names, 2) if ratio(a, b) >= cutoff}
         got = R.similar_pairs(frame(spark, names), cutoff).collect()
         assert {(r.a, r.b): r.score for r in got} == want and len(got) == len(want)
+
+
+def test_numbers_with_a_common_ending_meet_by_their_digits(spark):
+    """Among many plain numbers the letters of ``html`` are the rare ones, but no pair meets by them."""
+    from fathom.functions.similarity import sorted_ratio
+    from fathom.operators import alike
+
+    rng = random.Random(3)
+    texts = {f"{n} html" for n in rng.sample(range(10_000, 100_000), 300)} | {str(n) for n in rng.sample(range(10_000, 100_000), 1_200)}
+    index = alike.letter_index(frame(spark, texts).withColumnRenamed("attribute", "text"))
+    met = alike.met_pairs(index, 0.795).cache()
+    assert 0 < met.count() == met.filter(sorted_ratio("short", "long") >= 80).count()
