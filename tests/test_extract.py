@@ -164,3 +164,18 @@ def test_no_shuffle_and_no_python(spark, tmp_path):
     header(spark, variables=VARIABLES).write.parquet(path)
     plan = E.extract(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Pandas" not in plan
+
+
+def test_headers_are_not_shuffled(spark, monkeypatch):
+    """What is dealt to the tasks that write the header table are orders, not the rows made of them."""
+    from suite import views as V
+
+    seen = []
+    monkeypatch.setattr(V, "_STORED", {})
+    monkeypatch.setattr(V, "materialize", lambda df: seen.append(df) or df)
+    V.header(spark, "/root/testdata/sf0.001")
+    shuffle = seen[0]._jdf.queryExecution().optimizedPlan()
+    while "Repartition" not in shuffle.nodeName():
+        shuffle = shuffle.children().head()
+    names = {a.name() for a in (shuffle.output().apply(i) for i in range(shuffle.output().size()))}
+    assert names and all(n.startswith("o_") for n in names)
