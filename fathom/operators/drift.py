@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,6 +14,7 @@ from fathom.functions.attributes import MAPPED_FIELDS, normalize_name, to_number
 from fathom.functions.similarity import natural_sort_key
 from fathom.operators import alike
 from fathom.operators.extract import readable
+from fathom.operators.ranking import with_position
 from fathom.session import materialize
 
 # Likeness from which names are alike, likeness of a suggestion, and the two
@@ -20,6 +25,9 @@ FLAG_PRESENT_PCT = 20.0
 FLAG_POPULATED_PCT = 5.0
 # End of fixed values.
 
+#: Names of a block, which one task settles together with their matches before them.
+BLOCK_NAMES = 8_192
+
 _TEXTS = "map<string,string>"
 
 
@@ -49,20 +57,16 @@ def attribute_clusters(
     """Clusters of alike names as rows ``(leader, member)``.
 
     In natural order a name that no earlier leader took becomes a leader and takes its still
-    free matches (with ``limit`` its best ones only, itself included). The rule is applied in rounds:
-    a name is a leader once all earlier names matching it are known to be members, and a
-    member once one of them is a leader. Each round is a join, and a round settles many names.
+    free matches (with ``limit`` its best ones only, itself included). The names are cut into blocks
+    of that order, each the work of a task, and the rule is applied in rounds: a task goes through
+    its block, and a name is a leader once all earlier names matching it are known to be members,
+    and a member once one of them is a leader. A block is settled the round after those before it at
+    the latest, so there are no more rounds than blocks, however long a chain of names is.
     """
-    spark = names.sparkSession
     pairs = similar_pairs(names, cutoff, column)
-    distinct = materialize(
-        names.select(F.col(column).alias("name")).distinct().withColumn(
-            "place", F.struct(natural_sort_key(F.col("name")).alias("k"), F.col("name").alias("n"))
-        )
-    )
-    places = distinct.select(F.col("name").alias("a"), F.col("place").alias("place_a"))
-    others = distinct.select(F.col("name").alias("b"), F.col("place").alias("place_b"))
-    edges = pairs.join(places, "a").join(others, "b")
+    distinct = names.select(F.col(column).alias("name")).distinct()
+    placed = materialize(with_position(distinct, [natural_sort_key(F.col("name")), F.col("name")]).select("name", "idx"))
+    edges = pairs.join(placed.toDF("a", "place_a"), "a").join(placed.toDF("b", "place_b"), "b")
     if limit is not None:
         # The best matches per name, ties by order; the name itself is one of them.
         best = Window.partitionBy("a").orderBy(F.desc("score"), "place_b")
@@ -70,39 +74,61 @@ def attribute_clusters(
             F.col("_rank") <= limit - 1
         )
     edges = materialize(
-        edges.filter(F.struct("place_a") < F.struct("place_b")).select("a", "b", "place_a")
+        edges.filter("place_a < place_b").select(F.col("place_a").alias("a"), F.col("place_b").alias("b"))
     )
-    state = distinct.select("name", F.lit(None).cast("string").alias("role"))
-    # Each round settles the first open name at least.
-    for _ in range(distinct.count() + 1):
-        known = state.select(F.col("name").alias("a"), F.col("role").alias("role_a"))
-        votes = (
-            edges.join(known, "a")
-            .groupBy(F.col("b").alias("name"))
-            .agg(
-                F.bool_or(F.coalesce(F.col("role_a") == "leader", F.lit(False))).alias("taken"),
-                F.bool_or(F.col("role_a").isNull()).alias("open"),
-            )
+    roles = _roles(placed.select("idx"), edges)
+    leaders = roles.filter("leads").select(F.col("idx").alias("a"))
+    # All that a leader matches are members.
+    taken = edges.join(leaders, "a").groupBy("b").agg(F.min("a").alias("a"))
+    pairs_taken = taken.unionByName(leaders.withColumn("b", F.col("a")))
+    return (
+        pairs_taken.join(placed.toDF("leader", "a"), "a").join(placed.toDF("member", "b"), "b").select("leader", "member")
+    )
+
+
+def _roles(places: DataFrame, edges: DataFrame) -> DataFrame:
+    """``idx, leads`` for each place; ``edges`` (a, b) from earlier to later places."""
+    block_names = BLOCK_NAMES
+
+    def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        """Roles of a block's names that can be told; a row without ``a`` stands for the name itself."""
+        rows = rows.sort_values("b")
+        a, b = rows["a"].fillna(-1).to_numpy().astype("int64"), rows["b"].to_numpy()
+        led = rows["leads"].to_numpy().astype(bool)
+        first = int(b[0]) // block_names * block_names
+        known = np.zeros(block_names, dtype="int8")  # 1 for leaders, 2 for members
+        cuts = np.flatnonzero(np.diff(b, prepend=-1))
+        for low, high in zip(cuts, [*cuts[1:], len(b)]):
+            before = a[low:high]
+            inside = known[np.maximum(before - first, 0)] * (before >= first)
+            if led[low:high].any() or (inside == 1).any():
+                known[b[low] - first] = 2
+            elif ((inside == 2) | (before < 0)).all():
+                known[b[low] - first] = 1
+        told = np.flatnonzero(known)
+        return pd.DataFrame({"idx": told + first, "leads": known[told] == 1})
+
+    free, done = places, []
+    edges = edges.withColumn("leads", F.lit(False))
+    n_blocks = places.count() // block_names + 1
+    for _ in range(n_blocks):
+        own = free.select(F.lit(None).cast("bigint").alias("a"), F.col("idx").alias("b"), F.lit(False).alias("leads"))
+        block = F.floor(F.col("b") / block_names)
+        told = materialize(
+            edges.select("a", "b", "leads").unionByName(own).groupBy(block.alias("_block")).applyInPandas(settle, "idx bigint, leads boolean")
         )
-        role = (
-            F.when(F.col("role").isNotNull(), F.col("role"))
-            .when(F.col("taken"), "member")
-            .when(~F.coalesce("open", F.lit(False)), "leader")
+        done.append(told)
+        free = materialize(free.join(told, "idx", "left_anti"))
+        if free.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        # What is between names still free, or from a leader to one.
+        role = told.toDF("a", "_leads")
+        edges = materialize(
+            edges.join(told.select(F.col("idx").alias("b")), "b", "left_anti").join(role, "a", "left")
+            .filter("_leads is null or _leads")
+            .select("a", "b", (F.col("leads") | F.coalesce("_leads", F.lit(False))).alias("leads"))
         )
-        state = materialize(state.join(votes, "name", "left").select("name", role.alias("role")))
-        if state.filter(F.col("role").isNull()).isEmpty():
-            break
-    else:
-        raise RuntimeError("attribute_clusters: a round settled no name")
-    leaders = state.filter(F.col("role") == "leader").select("name")
-    taken = (
-        edges.join(leaders, edges["a"] == leaders["name"])
-        .join(state.filter(F.col("role") == "member").select(F.col("name").alias("b")), "b")
-        .groupBy(F.col("b").alias("member"))
-        .agg(F.min_by("a", "place_a").alias("leader"))
-        .select("leader", "member")
-    )
-    return taken.unionByName(leaders.select(F.col("name").alias("leader"), F.col("name").alias("member")))
+    raise RuntimeError("attribute_clusters: a round settled no block")
 
 
 def _number_of(numbers: dict[str, int]):

@@ -194,3 +194,15 @@ def test_numbers_with_a_common_ending_meet_by_their_digits(spark):
     index = alike.letter_index(frame(spark, texts).withColumnRenamed("attribute", "text"))
     met = alike.met_pairs(index, 0.795).cache()
     assert 0 < met.count() == met.filter(sorted_ratio("short", "long") >= 80).count()
+
+
+@pytest.mark.parametrize("block", [1_000, 7])
+def test_a_chain_of_names_takes_no_more_rounds_than_blocks(spark, monkeypatch, block):
+    """Each name is like the next one only, so every role depends on the one before."""
+    names = ["".join(chr(0x4E00 + i + j) for j in range(10)) for i in range(40)]
+    written = []
+    monkeypatch.setattr(R, "BLOCK_NAMES", block)
+    monkeypatch.setattr(R, "materialize", lambda df, real=R.materialize: written.append(df) or real(df))
+    got = {r.member: r.leader for r in R.attribute_clusters(frame(spark, names), 90).collect()}
+    assert got == {n: names[i - i % 2] for i, n in enumerate(names)}
+    assert len(written) <= 2 + 3 * (len(names) // block + 1)
