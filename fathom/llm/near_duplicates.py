@@ -8,8 +8,9 @@ A list may hold a third of all documents, so its pairs are never all written out
 
 1. Documents with equal sets are one class, and only classes go on. A class that shares too few
    retained values with others to be alike any of them is left out.
-2. In each list every class is compared with one hub, the one that shares most. Links found
-   give first components.
+2. In each list every class is compared with one hub, the one that shares most, if their sizes
+   allow a link. A class looks for hubs in its shortest lists only: two alike ones have as many
+   values in common as leave one of them there. Links found give first components.
 3. Short lists: all pairs whose classes are not yet in one component.
 4. Long lists: a prefix-filtered join on full sets, of the classes that long lists alone could
    link. Rarest shingles come first, so classes with own content have no common prefix.
@@ -29,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fathom.llm.common import bind, join_keys, map_rows, materialize, row_key, table
 from fathom.llm.components import components
@@ -130,6 +132,10 @@ class Threshold:
     def linked(self, shared: Column, union: Column) -> Column:
         return 100 * shared >= self.percent * union
 
+    def sizes_fit(self, n: Column, m: Column) -> Column:
+        """Whether sets of n and m shingles can be linked at all."""
+        return self.linked(F.least(n, m), F.greatest(n, m))
+
     def least_shared(self, n: Column, m: Column) -> Column:
         """Smallest overlap with which sets of n and m shingles can be linked."""
         return F.ceil(self.percent * (n + m) / (100.0 + self.percent) - 1e-9)
@@ -183,23 +189,45 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """``v, node, need, cen``: retained values that classes share, of those that share enough.
+    """``v, node, need, n, cen, members``: retained values that classes share, of those that share enough.
 
-    ``need``: values that the class shares with any class like it; ``cen``: values it shares.
+    ``need``: values that the class shares with any class like it; ``n``: its shingles; ``cen``:
+    values it shares; ``members``: classes of the list.
     """
     need = F.greatest(F.lit(1), F.floor(F.size("sketch") / LEAST_SHARED)).cast("int")
-    posted = classes.select(F.explode("sketch").alias("v"), "node", need.alias("need"))
+    posted = classes.select(F.explode("sketch").alias("v"), "node", need.alias("need"), "n")
     shared = posted.groupBy("v").count().filter("count > 1").select("v")
     lists = materialize(posted.join(shared, "v"))
     for _ in range(2):  # leaving some out shortens the lists of the others
         enough = lists.groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("cen"), F.first("need").alias("least"))
         enough = enough.filter(F.col("cen") >= F.col("least")).select("node", "cen")
-        left = lists.select("v", "node", "need").join(enough, "node")
+        left = lists.select("v", "node", "need", "n").join(enough, "node")
         shared = left.groupBy("v").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-        lists = materialize(left.join(shared, "v").select("v", "node", "need", "cen", "members"))
+        lists = materialize(left.join(shared, "v").select("v", "node", "need", "n", "cen", "members"))
     return lists
 
 
+def _shortest_lists(lists: DataFrame) -> DataFrame:
+    """Of each class's lists as many of the shortest as hold a value of any class like it.
+
+    Two classes that have ``need`` values in common have one among all but the ``need - 1`` in
+    the longest lists, in an order that is the same for all; a class is in few lists.
+    """
+    mine = Window.partitionBy("node")
+    place = F.row_number().over(mine.orderBy("members", "v"))
+    placed = lists.select("*", place.alias("place"), F.count(F.lit(1)).over(mine).alias("n_lists"))
+    return placed.filter(F.col("place") <= F.col("n_lists") - F.col("need") + 1).drop("place", "n_lists")
+
+
+def _spokes(lists: DataFrame, threshold: Threshold) -> DataFrame:
+    """Each class of a list with the list's hub, of sizes that allow a link."""
+    near = _shortest_lists(lists)
+    hub = F.max(F.struct("cen", F.xxhash64("node", "v").alias("chance"), "node", "n")).alias("hub")
+    hubs = near.groupBy("v").agg(hub).select("v", F.col("hub.node").alias("b"), F.col("hub.n").alias("n_b"))
+    met = near.select("v", F.col("node").alias("a"), F.col("n").alias("n_a")).join(hubs, "v").filter("a <> b")
+    return met.filter(threshold.sizes_fit(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
+
+
 def _long_list_pairs(
     docs: DataFrame, nodes: DataFrame, roots: DataFrame, size: int, threshold: Threshold
 ) -> DataFrame:
@@ -230,7 +258,7 @@ def _long_list_pairs(
     fits = (
         (F.col("root_a") != F.col("root_b"))
         & ((F.col("root_b") == F.col("most")) | (F.col("a") < F.col("b")))
-        & threshold.linked(F.least("n_a", "n_b"), F.greatest("n_a", "n_b"))
+        & threshold.sizes_fit(F.col("n_a"), F.col("n_b"))
         & (still >= threshold.least_shared(F.col("n_a"), F.col("n_b")))
     )
     return a.join(b, "h").filter(fits).select("a", "b").distinct()
@@ -254,17 +282,16 @@ def near_duplicates(
     rows = rows.withColumn("key", row_key("doc_id", "text"))
     sketched = materialize(map_rows(rows.select("doc_id", "key", "text"), _sketcher(shingle, sketch), SKETCHED))
     classes = sketched.filter("n_shingles > 0").groupBy("set_key").agg(
-        F.min("doc_id").alias("least_id"), F.min("key").alias("key"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("least_id"), F.min("key").alias("key"), F.first("sketch").alias("sketch"),
+        F.first("n_shingles").alias("n"),
     )
     classes = materialize(classes)
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()))
     sketches = classes.select("node", "sketch")
     lists = _postings(classes)
 
-    hub = F.max(F.struct("cen", F.xxhash64("node", "v").alias("chance"), "node")).alias("hub")
-    hubs = lists.groupBy("v").agg(hub).select("v", F.col("hub.node").alias("b"))
-    spokes = lists.select("v", F.col("node").alias("a")).join(hubs, "v").filter("a <> b").select("a", "b").distinct()
-    first = _verified(rows, _estimated(spokes, sketches, sketch, threshold), classes, shingle, threshold)
+    # Sizes and shortest lists leave the estimate little to rule out here.
+    first = _verified(rows, _spokes(lists, threshold), classes, shingle, threshold)
     roots = components(first)
 
     placed = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -276,10 +303,11 @@ def near_duplicates(
     mixed = placed.filter(~is_long).groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = mixed.filter("low < high").select("v")
     short = materialize(placed.filter(~is_long).join(mixed, "v").join(long_values.select("node", "n_long"), "node"))
-    names = ("node", "root", "need", "n_long")
+    names = ("node", "root", "need", "n", "n_long")
     a = short.select("v", *(F.col(c).alias(f"{c}_a") for c in names))
     b = short.select("v", *(F.col(c).alias(f"{c}_b") for c in names))
     met = a.join(b, "v").filter((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")))
+    met = met.filter(threshold.sizes_fit(F.col("n_a"), F.col("n_b")))
     overlap = met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
         F.count(F.lit(1)).alias("shared"),
         F.least(F.first("n_long_a"), F.first("n_long_b")).alias("more"),

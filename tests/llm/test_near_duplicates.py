@@ -4,6 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from fathom.llm import near_duplicates as module
 from fathom.llm.common import table
 from fathom.llm.components import components
 from fathom.llm.near_duplicates import _Words, near_duplicates, one_of_each, op5_near_duplicates, shingle_hashes
@@ -140,3 +141,28 @@ def test_estimate_follows_the_binomial_tail():
             least, t = Threshold(percent).least_common(k), percent / 100
             below = [sum(comb(k, c) * t**c * (1 - t) ** (k - c) for c in range(n)) for n in (least, least + 1)]
             assert below[0] <= MISSED < below[1]
+
+
+def test_only_sizes_that_fit_are_compared(spark, monkeypatch):
+    """Texts with one long passage in common and ends of many lengths: a class meets few hubs."""
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join(passage + [f"own{d}x{i}" for i in range(d % 60)]) for d in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    compared, verified = [], module._verified
+
+    def watched(rows, pairs, classes, *args):
+        n = {r["node"]: r["n"] for r in classes.select("node", "n").collect()}
+        compared.extend((n[r["a"]], n[r["b"]]) for r in pairs.collect())
+        return verified(rows, pairs, classes, *args)
+
+    monkeypatch.setattr(module, "_verified", watched)
+    found = near_duplicates(docs, shingle=5, percent=80)
+    got = {r["doc_id"]: r["component_id"] for r in found.collect()}
+    assert compared and all(100 * min(p) >= 80 * max(p) for p in compared)
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    least = list(range(len(sets)))
+    links = [(a, b) for a, one in enumerate(sets) for b, other in enumerate(sets) if 100 * len(one & other) >= 80 * len(one | other)]
+    for _ in sets:
+        for a, b in links:
+            least[a] = min(least[a], least[b])
+    assert [got[d] for d in range(len(sets))] == least
