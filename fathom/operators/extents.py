@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fathom.functions.coordinates import attribute, geometry, time_range, variable_role
+from fathom.session import tasks_for
 
 # What a file without a needed axis is reported as.
 AXIS_ERRORS = (
@@ -113,11 +114,34 @@ def dim_steps(
     two differences. Values are compared inside stretches of the index, and the stretches by
     their first and last values, so that one huge dimension is spread over many tasks.
     """
+    placed = coords.withColumn("_stretch", F.floor(F.col(order[0]) / stretch))
+    ends = placed.agg(F.min("_stretch"), F.max("_stretch")).first()
+    if ends[0] == ends[1]:
+        return _whole_steps(coords, keys, order)
+    return _stretched_steps(placed, keys, order)
+
+
+def _whole_steps(coords: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Steps where no dimension is longer than a stretch: one shuffle, one sort."""
+    line = Window.partitionBy(*keys).orderBy(*order)
+    dealt = coords.repartition(tasks_for(coords), *keys)
+    gaps = dealt.withColumn("_gap", F.col("value") - F.lag("value").over(line))
+    regular = (F.count("_gap") > 1) & (F.min("_gap") == F.max("_gap"))
+    return gaps.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_values"),
+        F.min("value").alias("extent_min"),
+        F.max("value").alias("extent_max"),
+        F.when(regular, F.min("_gap")).alias("step"),
+    )
+
+
+def _stretched_steps(placed: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Steps by stretches of the index, which meet by their first and last values."""
     place = F.struct(*order)
     part = [*keys, "_stretch"]
     line = Window.partitionBy(*part).orderBy(*order)
     inner = (
-        coords.withColumn("_stretch", F.floor(F.col(order[0]) / stretch))
+        placed.repartition(tasks_for(placed), *part)
         .withColumn("_gap", F.col("value") - F.lag("value").over(line))
         .groupBy(*part)
         .agg(
