@@ -177,15 +177,12 @@ def dim_profile(
     headers: DataFrame, coords: DataFrame, order: Sequence[str] = ("idx",)
 ) -> DataFrame:
     """Per dimension of a file: type, axis, ends, step, description and unit."""
-    axes = pick_axes(headers).drop("error")
-    v = F.col("variable")
-    described = headers.select("hash", F.explode("variables").alias("variable")).select(
-        "hash",
-        v["name"].alias("var"),
-        _first_text(v["attrs"], "long_name", "description").alias("description"),
-        _first_text(v["attrs"], "units", "unit").alias("unit"),
-    )
-    dims = headers.select("hash", F.explode("dims.name").alias("var"))
+    names, texts = F.col("variables.name"), F.col("variables.attrs")
+    # All that a header says of its dimensions is in its row, so nothing is shuffled for it.
+    dims = pick_axes(headers.withColumn("_names", names).withColumn("_attrs", texts), ("hash", "dims", "_names", "_attrs"))
+    dims = dims.select("*", F.explode("dims.name").alias("var"))
+    attrs = F.get("_attrs", (F.array_position("_names", F.col("var")) - 1).cast("int"))
+    dims = dims.withColumn("_own", attrs)
     role = (
         F.when(F.col("var") == F.col("time"), "temporal")
         .when(F.col("var").isin(F.col("longitude"), F.col("latitude"), F.col("depth")), "spatial")
@@ -197,21 +194,16 @@ def dim_profile(
         .when(F.col("var") == F.col("latitude"), "y")
         .when(F.col("var") == F.col("depth"), "z")
     )
-    return (
-        dims.join(axes, "hash")
-        .join(described, ["hash", "var"], "left")
-        .join(dim_steps(coords, order=order), ["hash", "var"], "left")
-        .select(
-            "hash",
-            "var",
-            F.coalesce(role, F.lit("other")).alias("type"),
-            axis.alias("axis"),
-            "extent_min",
-            "extent_max",
-            "step",
-            "description",
-            "unit",
-        )
+    described = dims.select(
+        "hash",
+        "var",
+        F.coalesce(role, F.lit("other")).alias("type"),
+        axis.alias("axis"),
+        _first_text(F.col("_own"), "long_name", "description").alias("description"),
+        _first_text(F.col("_own"), "units", "unit").alias("unit"),
+    )
+    return described.join(dim_steps(coords, order=order), ["hash", "var"], "left").select(
+        "hash", "var", "type", "axis", "extent_min", "extent_max", "step", "description", "unit"
     )
 
 

@@ -25,3 +25,10 @@ def test_dim_steps_shuffles_once(spark):
     assert plan(steps).count("Exchange hashpartitioning") == 1
     split = X.dim_steps(V.coords(spark, SF), order=("idx", "tie", "value"), stretch=2)
     assert sorted(steps.collect()) == sorted(split.collect())
+
+
+def test_dim_profile_has_one_row_a_dimension_and_moves_no_headers(spark):
+    header = V.header(spark, SF).withColumn("hash", F.regexp_extract("key", r"(\d+)\.nc$", 1))
+    twice = header.withColumn("variables", F.concat("variables", "variables"))
+    profile = X.dim_profile(twice, V.coords(spark, SF), order=("idx", "tie", "value"))
+    assert profile.count() == header.select(F.explode("dims")).count()
