@@ -32,3 +32,7 @@ def test_dim_profile_has_one_row_a_dimension_and_moves_no_headers(spark):
     twice = header.withColumn("variables", F.concat("variables", "variables"))
     profile = X.dim_profile(twice, V.coords(spark, SF), order=("idx", "tie", "value"))
     assert profile.count() == header.select(F.explode("dims")).count()
+
+
+def test_tasks_grow_with_the_rows(spark):
+    assert tasks_for(spark.range(1000), rows=2) == 500
