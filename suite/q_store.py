@@ -229,11 +229,11 @@ def split_load(spark, sf_dir):
     structured, unstructured = shared_dir(spark), shared_dir(spark)
     S.provision(spark, structured, C.STRUCTURED, "facility")
     S.provision(spark, unstructured, C.UNSTRUCTURED, "facility")
-    good, _ = D.split_results(materialize(E.extract(V.header(spark, sf_dir))))
+    good, _ = D.split_results(E.extract(V.header(spark, sf_dir)))  # each write works out its half
     failed = D.split_load(
         good,
-        lambda rows: S.write(structured, rows, C.STRUCTURED, "facility", unique=True),
-        lambda rows: S.write(unstructured, rows, C.UNSTRUCTURED, "facility", unique=True),
+        lambda rows: S.write(structured, rows, C.STRUCTURED, "facility", unique=True, spread=True),
+        lambda rows: S.write(unstructured, rows, C.UNSTRUCTURED, "facility", unique=True, spread=True),
     )
     assert failed is None
     a = S.read(spark, structured, C.STRUCTURED).groupBy("facility")

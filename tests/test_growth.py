@@ -36,3 +36,14 @@ def test_dim_profile_has_one_row_a_dimension_and_moves_no_headers(spark):
 
 def test_tasks_grow_with_the_rows(spark):
     assert tasks_for(spark.range(1000), rows=2) == 500
+
+
+def test_spread_write_keeps_rows_in_their_tasks(spark, tmp_path):
+    schema = C.struct_type({"hash": str, "facility": str})
+    rows = spark.range(40, numPartitions=2).select(
+        F.col("id").cast("string").alias("hash"), F.concat(F.lit("f"), F.col("id") % 2).alias("facility")
+    )
+    S.write(str(tmp_path), rows, schema, "facility", unique=True, spread=True)
+    assert sorted(S.read(spark, str(tmp_path), schema).collect()) == sorted(rows.collect())
+    assert len(glob.glob(f"{tmp_path}/commit_id=*/facility=f0/*.parquet")) == 2
+    assert spark.conf.get(S.OPEN_FILES_CONF) == "0"
