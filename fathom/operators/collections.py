@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fathom.functions.attributes import attrs_json
 from fathom.functions.identity import media_type, object_uri
 from fathom.operators.extents import SIDES, _union, item_properties
-from fathom.operators.store import clustered
+from fathom.operators.store import spreading
 from fathom.session import materialize
 
 # Rules from key to collection, first match wins, and the name for no match.
@@ -186,6 +186,7 @@ def item_documents(items: DataFrame) -> DataFrame:
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
-    """Documents as JSON lines, one folder per collection."""
-    rows = clustered(documents.select("collection_id", "document"), "collection_id")
-    rows.write.partitionBy("collection_id").text(path)
+    """Documents as gzipped JSON lines, one folder per collection; every task writes its own."""
+    rows = documents.select("collection_id", "document")
+    with spreading(documents.sparkSession):
+        rows.write.partitionBy("collection_id").option("compression", "gzip").text(path)

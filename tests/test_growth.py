@@ -47,3 +47,10 @@ def test_spread_write_keeps_rows_in_their_tasks(spark, tmp_path):
     assert sorted(S.read(spark, str(tmp_path), schema).collect()) == sorted(rows.collect())
     assert len(glob.glob(f"{tmp_path}/commit_id=*/facility=f0/*.parquet")) == 2
     assert spark.conf.get(S.OPEN_FILES_CONF) == "0"
+
+
+def test_documents_are_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "i", "{}"), ("b", "j", "{}")], "collection_id string, item_id string, document string")
+    T.write_documents(rows, str(tmp_path / "out"))
+    assert len(glob.glob(f"{tmp_path}/out/collection_id=*/*.txt.gz")) == 2
+    assert spark.read.text(str(tmp_path / "out")).count() == 2
