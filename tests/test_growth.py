@@ -54,3 +54,15 @@ def test_documents_are_compressed(spark, tmp_path):
     T.write_documents(rows, str(tmp_path / "out"))
     assert len(glob.glob(f"{tmp_path}/out/collection_id=*/*.txt.gz")) == 2
     assert spark.read.text(str(tmp_path / "out")).count() == 2
+
+
+def test_rows_of_a_half_are_those_of_extract(spark):
+    header = V.header(spark, SF)
+    good = E.extract(header).filter("error IS NULL")
+    for half, rows in (("structured", E.structured_rows(header)), ("unstructured", E.unstructured_rows(header))):
+        want = good.select(f"{half}.*")
+        assert rows.columns == want.columns
+        # Maps do not compare; their entries do.
+        show = [F.to_json(c) if t.startswith("map") else F.col(c) for c, t in want.dtypes]
+        assert rows.select(*show).exceptAll(want.select(*show)).isEmpty() and rows.count() == want.count()
+    assert "sha2" not in plan(E.structured_rows(header).select("key"))
