@@ -28,12 +28,9 @@ FLAG_POPULATED_PCT = 5.0
 #: Names of a block, which one task settles together with their matches before them.
 BLOCK_NAMES = 8_192
 
-_TEXTS = "map<string,string>"
-
 
 def global_attribute_names(column: str = "metadata") -> Column:
-    attrs = F.from_json(F.get_json_object(column, "$.global_attrs"), _TEXTS)
-    return F.map_keys(attrs)
+    return F.json_object_keys(F.get_json_object(column, "$.global_attrs"))
 
 
 def attribute_keys(payloads: DataFrame, column: str = "metadata") -> DataFrame:

@@ -66,3 +66,13 @@ def test_rows_of_a_half_are_those_of_extract(spark):
         show = [F.to_json(c) if t.startswith("map") else F.col(c) for c, t in want.dtypes]
         assert rows.select(*show).exceptAll(want.select(*show)).isEmpty() and rows.count() == want.count()
     assert "sha2" not in plan(E.structured_rows(header).select("key"))
+
+
+def test_attribute_names_are_read_without_their_values(spark):
+    payloads = spark.createDataFrame(
+        [('{"global_attrs":{"a":1,"b\\"":{"x":[2]}},"variables":{"v":{}}}',), ('{"global_attrs":{}}',), (None,), ("[",), ('{"global_attrs":{"a":null}}',)],
+        "metadata string",
+    )
+    found = R.attribute_keys(payloads)
+    assert "from_json" not in plan(found)
+    assert {(r.attribute, r.n_files) for r in found.collect()} == {("a", 2), ('b"', 1)}
