@@ -13,6 +13,9 @@ Texts that are short for what they may lack name what is left of them instead: t
 without any ``lost`` of its letters, the longer one without any ``gained``. Two texts have such a
 rest in common exactly if they have letters enough in common in order, so no others meet. In short
 texts the rare letters may be the ones that most of them end in (``html`` among numbers).
+
+Files of names are small for what they unfold to, so the optimizer, which goes by the size of files,
+would send the driver tables that grow with the names. All joins of names are merge joins by hint.
 """
 
 from __future__ import annotations
@@ -110,7 +113,8 @@ def letter_index(texts: DataFrame) -> DataFrame:
     """
     placed = texts.select("text", F.posexplode(F.split("text", "")).alias("at", "letter"))
     often = placed.groupBy("letter").agg(F.count(F.lit(1)).alias("n"))
-    ranked = placed.join(often, "letter").groupBy("text").agg(
+    # The letters of all texts are few; by letter the places would go to as few tasks.
+    ranked = placed.join(F.broadcast(often), "letter").groupBy("text").agg(
         F.array_sort(F.collect_list(F.struct("n", "letter", "at"))).alias("letters")
     )
     return ranked.select("text", F.length("text").alias("len"), numbered_letters(F.col("text")).alias("counted"), "letters")
@@ -144,10 +148,11 @@ def _met_by_both(index: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
 
     shorter = index.select("text", "letters", length.alias("short_len"), F.explode(F.sequence(length, most)).alias("long_len"))
     longer = index.select("text", "letters", length.alias("long_len"), F.explode(F.sequence(fewest, length)).alias("short_len"))
-    by_rests = rest(shorter, "short", bounds.lost).join(rest(longer, "long", bounds.gained), [*keys, "rest"]).filter(different)
+    left_over = rest(longer, "long", bounds.gained).hint("merge")
+    by_rests = rest(shorter, "short", bounds.lost).join(left_over, [*keys, "rest"]).filter(different)
     moved = F.zip_with("long_at", "short_at", lambda a, b: a - b)
     fits = F.forall(moved, lambda m: (m >= -bounds.lost) & (m <= bounds.gained)) & different
-    met = named(shorter, "short", bounds.lost).join(named(longer, "long", bounds.gained), [*keys, "name"])
+    met = named(shorter, "short", bounds.lost).join(named(longer, "long", bounds.gained).hint("merge"), [*keys, "name"])
     return by_rests.select("short", "long").distinct(), met.filter(fits).select("short", "long").distinct()
 
 
@@ -159,10 +164,9 @@ def met_pairs(index: DataFrame, least: float) -> DataFrame:
 
 def likely(pairs: DataFrame, index: DataFrame, least: float) -> DataFrame:
     """Of ``pairs`` (short, long) those with letters enough in common, whatever their order."""
-    counted = index.select("text", "counted")
-    both = pairs.join(counted.select(F.col("text").alias("short"), F.col("counted").alias("of_short")), "short").join(
-        counted.select(F.col("text").alias("long"), F.col("counted").alias("of_long")), "long"
-    )
+    of_short = index.select(F.col("text").alias("short"), F.col("counted").alias("of_short")).hint("merge")
+    of_long = index.select(F.col("text").alias("long"), F.col("counted").alias("of_long")).hint("merge")
+    both = pairs.join(of_short, "short").join(of_long, "long")
     common = F.size(F.array_intersect("of_short", "of_long"))
     total = F.size("of_short") + F.size("of_long")
     return both.filter(2 * common >= least * total - 1e-9).select("short", "long")
@@ -190,11 +194,12 @@ def similar_pairs(names: DataFrame, cutoff: int, column: str = "attribute") -> D
         .filter(F.col("score") >= cutoff)
     )
     scored = materialize(scored)
-    both = scored.toDF("x", "y", "score").unionAll(scored.select("long", "short", "score"))
-    both = both.unionAll(index.select("text", "text", F.lit(100).cast("bigint")))
-    left = distinct.select(F.col(column).alias("a"), F.col("sorted").alias("x"))
-    right = distinct.select(F.col(column).alias("b"), F.col("sorted").alias("y"))
-    return (
-        both.join(left, "x").join(right, "y").filter(F.col("a") != F.col("b"))
-        .select("a", "b", "score")
+    left = distinct.select(F.col(column).alias("a"), F.col("sorted").alias("short")).hint("merge")
+    right = distinct.select(F.col(column).alias("b"), F.col("sorted").alias("long")).hint("merge")
+    # A pair of texts is there once; its names are looked up once for both directions.
+    found = scored.join(left, "short").join(right, "long")
+    there, back = F.struct("a", "b", "score"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "score")
+    equal = left.join(right, F.col("short") == F.col("long")).filter(F.col("a") != F.col("b"))
+    return found.select(F.inline(F.array(there, back))).unionByName(
+        equal.select("a", "b", F.lit(100).cast("bigint").alias("score"))
     )

@@ -206,3 +206,19 @@ def test_a_chain_of_names_takes_no_more_rounds_than_blocks(spark, monkeypatch, b
     got = {r.member: r.leader for r in R.attribute_clusters(frame(spark, names), 90).collect()}
     assert got == {n: names[i - i % 2] for i, n in enumerate(names)}
     assert len(written) <= 2 + 3 * (len(names) // block + 1)
+
+
+def test_joins_of_names_do_not_go_by_the_size_of_files(spark):
+    """Files of names are small for what they unfold to: with stored names nothing but the letters is broadcast."""
+    from fathom.operators import alike
+    from fathom.session import materialize
+
+    names = materialize(frame(spark, names_of(5, 60)).union(frame(spark, ["a-b", "a_b", "A b", "b a"])))
+    index = materialize(alike.letter_index(names.toDF("text")))
+    pairs = materialize(index.select(F.col("text").alias("short"), F.col("text").alias("long")))
+    for joined in (alike.met_pairs(index, 0.795), alike.likely(pairs, index, 0.795), R.similar_pairs(names, 80)):
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    letters = alike.letter_index(names.toDF("text"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in letters and "BuildRight" in letters
+    got = {(r.a, r.b): r.score for r in R.similar_pairs(names, 80).collect()}
+    assert {k for k in got if set(k) <= {"a-b", "a_b", "A b", "b a"}} == set(itertools.permutations(["a-b", "a_b", "A b", "b a"], 2))
