@@ -28,6 +28,9 @@ FLAG_POPULATED_PCT = 5.0
 #: Names of a block, which one task settles together with their matches before them.
 BLOCK_NAMES = 8_192
 
+#: Rows of places (a number or two each) up to which a join may send them to all tasks.
+FEW_PLACES = 200_000
+
 
 def global_attribute_names(column: str = "metadata") -> Column:
     return F.json_object_keys(F.get_json_object(column, "$.global_attrs"))
@@ -63,7 +66,7 @@ def attribute_clusters(
     pairs = similar_pairs(names, cutoff, column)
     distinct = names.select(F.col(column).alias("name")).distinct()
     placed = materialize(with_position(distinct, [natural_sort_key(F.col("name")), F.col("name")]).select("name", "idx"))
-    edges = pairs.join(placed.toDF("a", "place_a"), "a").join(placed.toDF("b", "place_b"), "b")
+    edges = pairs.join(placed.toDF("a", "place_a").hint("merge"), "a").join(placed.toDF("b", "place_b").hint("merge"), "b")
     if limit is not None:
         # The best matches per name, ties by order; the name itself is one of them.
         best = Window.partitionBy("a").orderBy(F.desc("score"), "place_b")
@@ -76,11 +79,16 @@ def attribute_clusters(
     roles = _roles(placed.select("idx"), edges)
     leaders = roles.filter("leads").select(F.col("idx").alias("a"))
     # All that a leader matches are members.
-    taken = edges.join(leaders, "a").groupBy("b").agg(F.min("a").alias("a"))
+    taken = edges.join(_few(leaders), "a").groupBy("b").agg(F.min("a").alias("a"))
     pairs_taken = taken.unionByName(leaders.withColumn("b", F.col("a")))
-    return (
-        pairs_taken.join(placed.toDF("leader", "a"), "a").join(placed.toDF("member", "b"), "b").select("leader", "member")
-    )
+    leader, member = placed.toDF("leader", "a").hint("merge"), placed.toDF("member", "b").hint("merge")
+    return pairs_taken.join(leader, "a").join(member, "b").select("leader", "member")
+
+
+def _few(places: DataFrame) -> DataFrame:
+    """``places`` as the smaller side of a join: by their number and not by the size of their files."""
+    few = places.limit(FEW_PLACES + 1).count() <= FEW_PLACES
+    return places.hint("broadcast" if few else "merge")
 
 
 def _roles(places: DataFrame, edges: DataFrame) -> DataFrame:
@@ -115,13 +123,13 @@ def _roles(places: DataFrame, edges: DataFrame) -> DataFrame:
             edges.select("a", "b", "leads").unionByName(own).groupBy(block.alias("_block")).applyInPandas(settle, "idx bigint, leads boolean")
         )
         done.append(told)
-        free = materialize(free.join(told, "idx", "left_anti"))
+        free = materialize(free.join(_few(told), "idx", "left_anti"))
         if free.isEmpty():
             return reduce(DataFrame.unionByName, done)
         # What is between names still free, or from a leader to one.
-        role = told.toDF("a", "_leads")
+        role = _few(told.toDF("a", "_leads"))
         edges = materialize(
-            edges.join(told.select(F.col("idx").alias("b")), "b", "left_anti").join(role, "a", "left")
+            edges.join(_few(told.select(F.col("idx").alias("b"))), "b", "left_anti").join(role, "a", "left")
             .filter("_leads is null or _leads")
             .select("a", "b", (F.col("leads") | F.coalesce("_leads", F.lit(False))).alias("leads"))
         )

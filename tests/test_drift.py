@@ -222,3 +222,15 @@ def test_joins_of_names_do_not_go_by_the_size_of_files(spark):
     assert "BroadcastHashJoin" in letters and "BuildRight" in letters
     got = {(r.a, r.b): r.score for r in R.similar_pairs(names, 80).collect()}
     assert {k for k in got if set(k) <= {"a-b", "a_b", "A b", "b a"}} == set(itertools.permutations(["a-b", "a_b", "A b", "b a"], 2))
+
+
+def test_places_are_broadcast_by_their_number(spark, monkeypatch):
+    """Clusters are the same however few places a join may send to all tasks, and beyond that none is sent."""
+    names = names_of(6, 80)
+    got = []
+    for few in (R.FEW_PLACES, 3):
+        monkeypatch.setattr(R, "FEW_PLACES", few)
+        found = R.attribute_clusters(frame(spark, names), 80)
+        got.append(sorted(found.collect()))
+        assert ("Broadcast" in found._jdf.queryExecution().executedPlan().toString()) == (few > 3)
+    assert got[0] == got[1] and {r.member: r.leader for r in got[0]} == clusters(names, 80, None)
